@@ -66,16 +66,13 @@ def scratch(spark: SparkSession, purpose: str) -> str:
 
 
 @contextmanager
-def settings(spark: SparkSession, conf: dict[str, str]):
-    """Session settings for the length of a block."""
-    before = {name: spark.conf.get(name, None) for name in conf}
-    for name, value in conf.items():
-        spark.conf.set(name, value)
+def defaults(spark: SparkSession, conf: dict[str, str]):
+    """Session settings for the length of a block, where the session has none of its own."""
+    unset = [name for name in conf if spark.conf.get(name, None) is None]
+    for name in unset:
+        spark.conf.set(name, conf[name])
     try:
         yield spark
     finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
+        for name in unset:
+            spark.conf.unset(name)

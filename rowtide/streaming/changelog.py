@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rowtide.operators.changelog import decode
 from rowtide.operators.rejects import rejects
+from rowtide.session import STATE_STORE_CONF, defaults
 from rowtide.sources.records import of_table
 from rowtide.specs import TableSpec
 
@@ -46,7 +47,9 @@ def append_to_table(
         writer = writer.queryName(name)
     if trigger:
         writer = writer.trigger(**trigger)
-    return writer.start()
+    # Without effect on a log, which keeps no state; for streams that drop repeats.
+    with defaults(rows.sparkSession, STATE_STORE_CONF):
+        return writer.start()
 
 
 def start_changelog(

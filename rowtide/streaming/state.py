@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rowtide.operators.rates import change_rate
 from rowtide.operators.state import last_changes
-from rowtide.session import STATE_STORE_CONF, settings
+from rowtide.session import STATE_STORE_CONF, defaults
 from rowtide.specs import TableSpec
 
 
@@ -36,7 +36,7 @@ def start_upserts(
     )
     if trigger:
         writer = writer.trigger(**trigger)
-    with settings(rows.sparkSession, STATE_STORE_CONF):
+    with defaults(rows.sparkSession, STATE_STORE_CONF):
         return writer.start()
 
 
