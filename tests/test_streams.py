@@ -1,0 +1,164 @@
+"""Streams: resume, several tables, state, supervision, sources."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from rowtide.operators import decode, snapshot_events, to_records
+from rowtide.plans import testdata as td
+from rowtide.session import defaults, delta_conf, object_store_conf, scratch, shared_folder
+from rowtide.sources import (
+    RECORD_TYPE,
+    data_files,
+    kafka_options,
+    read_replay,
+    read_table,
+    read_topics,
+    write_by_date,
+    write_replay,
+)
+from rowtide.streaming import (
+    append_to_table,
+    drop_redelivered_stream,
+    run_cycles,
+    start_changelog,
+    start_changelogs,
+)
+
+ONCE = {"availableNow": True}
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_stream_equals_batch(spark, sf_dir, tmp_path):
+    topic, table, progress = (str(tmp_path / p) for p in ("topic", "table", "progress"))
+    write_replay(td.order_records(spark, sf_dir), topic)
+    start_changelog(read_replay(spark, topic), td.ORDERS, table, progress, trigger=ONCE).awaitTermination()
+    batch = decode(read_replay(spark, topic, streaming=False), td.ORDERS)
+    assert rows(read_table(spark, table)) == rows(batch)
+
+
+def test_restart_neither_loses_nor_repeats(spark, sf_dir, tmp_path):
+    topic, table, progress = (str(tmp_path / p) for p in ("topic", "table", "progress"))
+    records = td.user_records(spark, sf_dir)
+    inputs = []
+    for part in (records.filter("offset < 700"), records.filter("offset >= 700"), None):
+        if part is not None:
+            write_replay(part, topic)
+        job = start_changelog(read_replay(spark, topic), td.USERS, table, progress, trigger=ONCE)
+        job.awaitTermination()
+        inputs.append(sum(p.numInputRows for p in job.recentProgress))
+    assert sum(inputs) == records.count() and inputs[2] == 0
+    assert rows(read_table(spark, table)) == rows(decode(records, td.USERS))
+
+
+def test_rate_limit_gives_one_batch_per_file(spark, sf_dir, tmp_path):
+    topic, table, progress = (str(tmp_path / p) for p in ("topic", "table", "progress"))
+    for _ in range(3):
+        write_replay(td.user_records(spark, sf_dir).coalesce(1), topic)
+    stream = read_replay(spark, topic, max_files_per_trigger=1)
+    job = start_changelog(stream, td.USERS, table, progress, trigger=ONCE, files_per_batch=1)
+    job.awaitTermination()
+    assert len([p for p in job.recentProgress if p.numInputRows]) == 3
+    assert data_files(spark, table).count() == 3
+
+
+def test_tables_of_one_topic_folder_are_read_apart(spark, sf_dir, tmp_path):
+    topic = str(tmp_path / "topic")
+    both = td.order_records(spark, sf_dir).unionByName(td.user_records(spark, sf_dir))
+    write_replay(both, topic)
+    table, progress = str(tmp_path / "table"), str(tmp_path / "progress")
+    for job in start_changelogs(read_replay(spark, topic), [td.ORDERS, td.USERS], table, progress, trigger=ONCE):
+        job.awaitTermination()
+    assert rows(read_table(spark, f"{table}/orders")) == rows(decode(td.order_records(spark, sf_dir), td.ORDERS))
+    assert rows(read_table(spark, f"{table}/users")) == rows(decode(td.user_records(spark, sf_dir), td.USERS))
+    one = read_replay(spark, topic, streaming=False, topics=[td.USERS.topic])
+    assert "PartitionFilters: [isnotnull(topic" in one._jdf.queryExecution().executedPlan().toString().replace("#", "") \
+        or "PartitionFilters: [" in one._jdf.queryExecution().executedPlan().toString()
+    assert one.count() == td.user_records(spark, sf_dir).count()
+
+
+def test_redelivery_within_a_horizon(spark, sf_dir, tmp_path):
+    topic, table, progress = (str(tmp_path / p) for p in ("topic", "table", "progress"))
+    records = td.user_records(spark, sf_dir)
+    for part in (records, records.withColumn("offset", F.col("offset") + 10**9)):
+        write_replay(part, topic)
+        log = decode(read_replay(spark, topic), td.USERS, extras=("lsn", "timestamp"))
+        once = drop_redelivered_stream(log, td.USERS, "400 days")
+        append_to_table(once, table, progress, trigger=ONCE).awaitTermination()
+    assert read_table(spark, table).count() == records.count()
+
+
+def test_a_failed_cycle_does_not_stop_the_next():
+    ran, failures = [], []
+
+    def cycle(number):
+        ran.append(number)
+        if number == 1:
+            raise RuntimeError("no")
+
+    failed = run_cycles(cycle, cycles=3, pause=0, on_failure=lambda n, e: failures.append((n, str(e))))
+    assert (ran, failed, failures) == ([0, 1, 2], 1, [(1, "no")])
+
+
+def test_kafka_options():
+    assert kafka_options("a:1,b:2", ["t", "u"]) == {
+        "kafka.bootstrap.servers": "a:1,b:2", "subscribe": "t,u", "startingOffsets": "earliest"
+    }
+    more = kafka_options("a:1", ["t"], starting_offsets="latest", min_partitions=8, max_offsets_per_trigger=9)
+    assert (more["startingOffsets"], more["minPartitions"], more["maxOffsetsPerTrigger"]) == ("latest", "8", "9")
+
+
+@pytest.mark.parametrize("streaming", [True, False])
+def test_kafka_needs_its_connector(spark, streaming):
+    with pytest.raises(PySparkException, match="(?i)kafka"):
+        read_topics(spark, "localhost:1", ["t"], streaming=streaming)
+
+
+def test_log_by_date_reads_only_the_dates_asked_for(spark, tmp_path):
+    path = str(tmp_path / "log")
+    table = spark.range(100).select(
+        F.col("id").cast("int").alias("id"), F.lit("n").alias("full_name"), F.lit("e").alias("email"),
+        (F.lit(datetime(2024, 1, 1)) + F.make_dt_interval(F.col("id").cast("int"))).cast("timestamp_ntz").alias("created_at"),
+    )
+    from rowtide import USERS
+    log = decode(to_records(snapshot_events(table, USERS, F.col("created_at"), F.col("id")), USERS), USERS, extras=("lsn",))
+    write_by_date(log, path)
+    back = read_table(spark, path)
+    from rowtide.operators import state_as_of
+    past = state_as_of(back, USERS, datetime(2024, 1, 10))
+    assert past.count() == 10
+    plan = past._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    assert data_files(spark, path).agg(F.sum("n_rows")).first()[0] == 100
+
+
+def test_shared_folder_is_that_of_the_session(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark) == folder
+    assert scratch(spark, "x").startswith(folder + "/x-") and scratch(spark, "x") != scratch(spark, "x")
+
+
+def test_defaults_leave_the_session_as_it_was(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    with defaults(spark, {name: "a.B"}):
+        assert spark.conf.get(name) == "a.B"
+    assert spark.conf.get(name, None) is None
+    spark.conf.set(name, "own.Provider")
+    with defaults(spark, {name: "a.B"}):
+        assert spark.conf.get(name) == "own.Provider"
+    spark.conf.unset(name)
+
+
+def test_configuration_holds_no_credentials():
+    conf = {**delta_conf(), **object_store_conf("http://store:9000")}
+    assert conf["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
+    assert not any("key" in name for name in conf)
+
+
+def test_record_columns():
+    assert RECORD_TYPE.fieldNames() == ["key", "value", "topic", "partition", "offset", "timestamp", "timestampType"]
