@@ -2,6 +2,7 @@ from rowtide.operators.capture import (
     connect_schema,
     delete_events,
     diff_events,
+    in_commit_order,
     included,
     insert_events,
     key_only,
@@ -46,6 +47,7 @@ __all__ = [
     "delete_events",
     "diff_events",
     "drop_redelivered",
+    "in_commit_order",
     "included",
     "ingest_summary",
     "insert_events",

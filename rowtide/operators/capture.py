@@ -199,6 +199,16 @@ def connect_schema(spec: TableSpec) -> str:
     )
 
 
+def in_commit_order(changes: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Changes range-partitioned and sorted by log position, over any number of tasks.
+
+    Meant for before ``to_records``, which keeps the order: rows are smaller to move than their
+    JSON, and sampling for the ranges does not write the JSON a second time.
+    """
+    count = () if partitions is None else (partitions,)
+    return changes.repartitionByRange(*count, "lsn").sortWithinPartitions("lsn")
+
+
 def _json(struct: Column) -> Column:
     # Null fields are written: "before":null is part of an envelope.
     return F.to_json(struct, {"ignoreNullFields": "false"})

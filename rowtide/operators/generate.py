@@ -74,14 +74,11 @@ def serial_ids(
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     tied = rows.withColumn("_tie", F.monotonically_increasing_id())
     order = [*order_by, "_tie"]
-    ranged = (
-        tied.repartitionByRange(*order)
-        if partitions is None
-        else tied.repartitionByRange(partitions, *order)
-    )
+    count = () if partitions is None else (partitions,)
     position = F.monotonically_increasing_id()
     kept = (
-        ranged.sortWithinPartitions(*order)
+        tied.repartitionByRange(*count, *order)
+        .sortWithinPartitions(*order)
         .drop("_tie")
         .withColumn("_part", F.shiftright(position, 33).cast("int"))
         .withColumn("_pos", position.bitwiseAND(F.lit((1 << 33) - 1)))

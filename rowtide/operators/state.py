@@ -16,8 +16,11 @@ ORDER = ("lsn", "offset", "event_ts")
 
 
 def _order(log: DataFrame, order_by: tuple[str, ...] | None) -> Column:
+    """The order as one value that is never null, since ``max_by`` passes over nulls."""
     names = order_by or tuple(n for n in ORDER if n in log.columns)
-    return F.col(names[0]) if len(names) == 1 else F.struct(*names)
+    if len(names) == 1 and log.schema[names[0]].dataType.typeName() == "long":
+        return F.coalesce(F.col(names[0]), F.lit(-(2**63)))
+    return F.struct(*names)
 
 
 def keyed(log: DataFrame, spec: TableSpec) -> DataFrame:
@@ -67,10 +70,12 @@ def current_state(
     return last.filter(~F.col("is_deleted")).select(*carried)
 
 
-def count_rows(log: DataFrame, spec: TableSpec, *, order_by: tuple[str, ...] | None = None):
+def count_rows(
+    log: DataFrame, spec: TableSpec, *, order_by: tuple[str, ...] | None = None
+) -> DataFrame:
     """Number of rows in the current table.
 
-    Carries only the delete flag, so with one ordering column the aggregate stays a hash
+    Carries only the delete flag, so with ``lsn`` as the only order the aggregate stays a hash
     aggregate on fixed-width buffers.
     """
     flag = F.max_by("is_deleted", _order(log, order_by)).alias("is_deleted")

@@ -89,13 +89,9 @@ def in_topic_order(records: DataFrame, partitions: int | None = None) -> DataFra
 
     Every topic partition is one contiguous run over any number of tasks.
     """
-    position = ["topic", "partition", "offset"]
-    spread = (
-        records.repartitionByRange(*position)
-        if partitions is None
-        else records.repartitionByRange(partitions, *position)
-    )
-    return spread.sortWithinPartitions(*position)
+    position = ("topic", "partition", "offset")
+    count = () if partitions is None else (partitions,)
+    return records.repartitionByRange(*count, *position).sortWithinPartitions(*position)
 
 
 def of_table(records: DataFrame, spec) -> DataFrame:

@@ -1,6 +1,7 @@
 from rowtide.streaming.changelog import (
     append_to_table,
     await_any,
+    rows_read,
     run_cycles,
     start_changelog,
     start_changelogs,
@@ -23,6 +24,7 @@ __all__ = [
     "read_change_rate",
     "read_current_state",
     "read_upserts",
+    "rows_read",
     "run_cycles",
     "start_change_rate",
     "start_changelog",

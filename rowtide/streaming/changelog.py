@@ -67,15 +67,27 @@ def start_changelog(
 
 
 def start_changelogs(
-    records: DataFrame, specs: list[TableSpec], path: str, checkpoint: str, **options
+    records: DataFrame | Callable[[TableSpec], DataFrame],
+    specs: list[TableSpec],
+    path: str,
+    checkpoint: str,
+    **options,
 ) -> list[StreamingQuery]:
     """Start one log per table, below ``path`` by table name.
 
-    Each table has its own query and checkpoint, so tables advance independently.
+    Each table has its own query and checkpoint, so tables advance independently. ``records``
+    holds the records of all tables or gives those of one; on a broker the latter lets each
+    query read its own topic only.
     """
     return [
-        start_changelog(records, s, f"{path}/{s.name}", f"{checkpoint}/{s.name}", **options)
-        for s in specs
+        start_changelog(
+            records(spec) if callable(records) else records,
+            spec,
+            f"{path}/{spec.name}",
+            f"{checkpoint}/{spec.name}",
+            **options,
+        )
+        for spec in specs
     ]
 
 
@@ -93,6 +105,11 @@ def start_rejects(
     return append_to_table(rows, path, checkpoint, **sink)
 
 
+def rows_read(query: StreamingQuery) -> int:
+    """Records that the recent batches of a query took in."""
+    return sum(batch.numInputRows for batch in query.recentProgress)
+
+
 def await_any(spark: SparkSession, timeout: float | None = None) -> None:
     """Wait until any query of the session ends; its failure is raised here."""
     if timeout is None:

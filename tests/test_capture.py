@@ -18,6 +18,7 @@ from rowtide.operators import (
     delete_events,
     diff_events,
     drop_redelivered,
+    in_commit_order,
     included,
     key_only,
     snapshot_events,
@@ -155,6 +156,22 @@ def test_state_leaves_out_what_speaks_of_no_row(spark):
     assert names(current_state(log, ORDERS)) == [(1, "Anvil"), (9, "Anvil")]
 
 
+def test_state_of_changes_without_position(spark):
+    log = spark.createDataFrame([entry(1, "c", None), entry(2, "c", None, ts=None)], LOG)
+    assert names(current_state(log, ORDERS)) == [(1, "Anvil"), (2, "Anvil")]
+    assert names(current_state(log, ORDERS, order_by=("lsn",))) == [(1, "Anvil"), (2, "Anvil")]
+    assert names(current_state(log.drop("lsn"), ORDERS)) == [(1, "Anvil"), (2, "Anvil")]
+    assert count_rows(log, ORDERS, order_by=("lsn",)).first()[0] == 2
+
+
+def test_commit_order(spark):
+    t = table(spark, [row(i) for i in range(100, 0, -1)])
+    changes = in_commit_order(snapshot_events(t, ORDERS, F.col("created_at"), F.col("id")), 4)
+    records = to_records(changes, ORDERS).withColumn("task", F.spark_partition_id())
+    runs = [(r.task, r.offset) for r in records.collect()]
+    assert [o for _, o in runs] == list(range(1, 101)) and len({t for t, _ in runs}) == 4
+
+
 def test_state_of_a_hot_key(spark):
     """A third of all changes to one key: reduced in each task before the shuffle."""
     hot = spark.range(6000).select(

@@ -22,6 +22,7 @@ from rowtide.sources import (
 from rowtide.streaming import (
     append_to_table,
     drop_redelivered_stream,
+    rows_read,
     run_cycles,
     start_changelog,
     start_changelogs,
@@ -51,7 +52,7 @@ def test_restart_neither_loses_nor_repeats(spark, sf_dir, tmp_path):
             write_replay(part, topic)
         job = start_changelog(read_replay(spark, topic), td.USERS, table, progress, trigger=ONCE)
         job.awaitTermination()
-        inputs.append(sum(p.numInputRows for p in job.recentProgress))
+        inputs.append(rows_read(job))
     assert sum(inputs) == records.count() and inputs[2] == 0
     assert rows(read_table(spark, table)) == rows(decode(records, td.USERS))
 
@@ -82,6 +83,17 @@ def test_tables_of_one_topic_folder_are_read_apart(spark, sf_dir, tmp_path):
     assert one.count() == td.user_records(spark, sf_dir).count()
 
 
+def test_each_table_may_bring_its_own_records(spark, sf_dir, tmp_path):
+    topic = str(tmp_path / "topic")
+    write_replay(td.user_records(spark, sf_dir), topic)
+    jobs = start_changelogs(
+        lambda spec: read_replay(spark, topic, topics=[spec.topic]), [td.USERS],
+        str(tmp_path / "table"), str(tmp_path / "progress"), trigger=ONCE,
+    )
+    jobs[0].awaitTermination()
+    assert read_table(spark, str(tmp_path / "table/users")).count() == td.user_records(spark, sf_dir).count()
+
+
 def test_redelivery_within_a_horizon(spark, sf_dir, tmp_path):
     topic, table, progress = (str(tmp_path / p) for p in ("topic", "table", "progress"))
     records = td.user_records(spark, sf_dir)
