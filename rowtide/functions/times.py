@@ -25,10 +25,22 @@ def from_millis(millis: Column) -> Column:
     return F.timestamp_millis(millis)
 
 
-def to_micros(ts: Column) -> Column:
-    """Timestamp to microseconds; a zone-less one is read in the session zone."""
-    return F.unix_micros(ts.cast("timestamp"))
+def to_micros(ts: Column, zoneless: bool = False) -> Column:
+    """Timestamp to microseconds since the epoch.
 
-
-def to_millis(ts: Column) -> Column:
-    return F.unix_millis(ts.cast("timestamp"))
+    A zone-less timestamp is taken as UTC. Its distance from the epoch is an exact interval, so
+    the session zone plays no part.
+    """
+    if not zoneless:
+        return F.unix_micros(ts)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    seconds = (ts - epoch).cast("interval second").cast("decimal(18,6)")
+    return (seconds * F.lit(1_000_000)).cast("bigint")
+
+
+def to_millis(ts: Column, zoneless: bool = False) -> Column:
+    """Timestamp to milliseconds since the epoch; what is below them is cut off downward."""
+    if not zoneless:
+        return F.unix_millis(ts)
+    micros = to_micros(ts, True)
+    return F.call_function("div", micros - F.pmod(micros, F.lit(1000)), F.lit(1000))

@@ -156,10 +156,14 @@ def _wire(value: Column, field: Field, kind: T.DataType) -> Column:
     if field.wire == "decimal":
         return encode_decimal(value, field.scale, kind.precision)
     if field.wire == "timestamp":
-        return to_micros(value)
+        return to_micros(value, _zoneless(kind))
     return value
 
 
+def _zoneless(kind: T.DataType) -> bool:
+    return isinstance(kind, T.TimestampNTZType)
+
+
 def _wire_image(row: str, spec: TableSpec, kind: T.StructType) -> Column:
     image = F.struct(
         *(
@@ -233,9 +237,11 @@ def to_records(
 
     ``lsn`` gives the offset: it rises with the table's changes, and offsets may have gaps, so
     nothing has to be sorted or numbered. All changes of a key go to one topic partition.
+    Zone-less timestamps are taken as UTC.
     With ``tombstones`` each delete is followed by a record of the same key without a value.
     """
     keys = [F.coalesce(F.col(f"after.{k}"), F.col(f"before.{k}")).alias(k) for k in spec.key]
+    at, zoneless = F.col("event_ts"), _zoneless(changes.schema["event_ts"].dataType)
     images = [
         _wire_image(side, spec, changes.schema[side].dataType).alias(side)
         for side in ("before", "after")
@@ -243,7 +249,7 @@ def to_records(
     payload = F.struct(
         *images,
         F.col("op"),
-        to_millis(F.col("event_ts")).alias("ts_ms"),
+        to_millis(at, zoneless).alias("ts_ms"),
         F.struct(
             F.lit(spec.prefix).alias("name"),
             F.lit(spec.schema).alias("schema"),
@@ -267,6 +273,6 @@ def to_records(
         F.lit(spec.topic).alias("topic"),
         partition.alias("partition"),
         offset.cast("bigint").alias("offset"),
-        F.col("event_ts").cast("timestamp").alias("timestamp"),
+        F.timestamp_micros(to_micros(at, zoneless)).alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rowtide.operators import capture
@@ -218,22 +219,34 @@ def topic_peek(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""
-SELECT topic, count(*) AS n_records, min(lsn) AS first_offset, max(lsn) AS last_offset
+SELECT topic, count(*) AS n_records, min(lsn) AS first_offset, max(lsn) AS last_offset,
+       CAST(0 AS BIGINT) AS n_overlaps
 FROM (SELECT 'appdb.public.orders' AS topic, lsn FROM ({sql.ORDERS_LOG} SELECT * FROM log)
       UNION ALL
       SELECT 'appdb.public.users', lsn FROM ({sql.USERS_LOG} SELECT * FROM log))
 GROUP BY topic"""
 )
 def topic_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records put in topic order over many tasks, and counted as far as each task's run of a
-    topic rises without a break."""
+    """Records put in topic order over many tasks: size and ends of each topic, and how many
+    tasks begin before the one ahead of them ends, which none may."""
     records = td.order_records(spark, sf_dir).unionByName(td.user_records(spark, sf_dir))
-    return (
+    runs = (
         in_topic_order(records)
+        .groupBy("topic", F.spark_partition_id().alias("task"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("offset").alias("low"),
+            F.max("offset").alias("high"),
+        )
+    )
+    ahead = F.lag("high").over(W.partitionBy("topic").orderBy("task"))
+    return (
+        runs.withColumn("overlaps", F.col("low") <= ahead)
         .groupBy("topic")
         .agg(
-            F.count(F.lit(1)).alias("n_records"),
-            F.min("offset").alias("first_offset"),
-            F.max("offset").alias("last_offset"),
+            F.sum("n").alias("n_records"),
+            F.min("low").alias("first_offset"),
+            F.max("high").alias("last_offset"),
+            F.count_if("overlaps").alias("n_overlaps"),
         )
     )

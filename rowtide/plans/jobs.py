@@ -25,6 +25,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--max-offsets-per-trigger", type=int)
     parser.add_argument("--tables", required=True, help="folder of the change logs")
     parser.add_argument("--checkpoints", required=True, help="folder of the progress")
+    parser.add_argument("--by-date", action="store_true", help="one folder per event date")
     parser.add_argument("--rejects", help="folder to keep rejected records in")
     parser.add_argument("--format", default="parquet", help="parquet, or delta with its jar")
     parser.add_argument("--precision", default="second", choices=("second", "micro"))
@@ -68,7 +69,13 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
         "extras": tuple(args.extra),
     }
     started = start_changelogs(
-        records, specs, args.tables, args.checkpoints, decode_options=decoding, **sink
+        records,
+        specs,
+        args.tables,
+        args.checkpoints,
+        decode_options=decoding,
+        by_date=args.by_date,
+        **sink,
     )
     if args.rejects:
         started += [

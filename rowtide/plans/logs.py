@@ -196,7 +196,7 @@ def micros_second(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Microseconds to whole seconds."""
     table = td.load_spread(spark, sf_dir, "events")
     return td.zoneless(
-        table.select("event_id", from_micros(to_micros(F.col("ts"))).alias("created_at"))
+        table.select("event_id", from_micros(to_micros(F.col("ts"), True)).alias("created_at"))
     )
 
 
@@ -204,7 +204,7 @@ def micros_second(spark: SparkSession, sf_dir: str) -> DataFrame:
 def micros_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Microseconds to timestamps, nothing lost."""
     table = td.load_spread(spark, sf_dir, "events")
-    exact = from_micros(to_micros(F.col("ts")), "micro")
+    exact = from_micros(to_micros(F.col("ts"), True), "micro")
     return td.zoneless(table.select("event_id", exact.alias("created_at")))
 
 
@@ -213,7 +213,7 @@ def millis_event_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Milliseconds to timestamps."""
     table = td.load_spread(spark, sf_dir, "events")
     return td.zoneless(
-        table.select("event_id", from_millis(to_millis(F.col("ts"))).alias("event_ts"))
+        table.select("event_id", from_millis(to_millis(F.col("ts"), True)).alias("event_ts"))
     )
 
 

@@ -10,6 +10,7 @@ from rowtide.operators.changelog import decode
 from rowtide.plans import sql
 from rowtide.plans import testdata as td
 from rowtide.plans.registry import query
+from rowtide.plans.views import create_views
 from rowtide.session import scratch
 from rowtide.sources import data_files, read_table, write_by_date
 
@@ -145,3 +146,38 @@ def change_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours with more changes than the threshold."""
     hourly = rates.change_rate(events_log(spark, sf_dir))
     return td.zoneless(rates.rate_alerts(hourly, THRESHOLD))
+
+
+def open_testdata(spark: SparkSession, sf_dir: str) -> None:
+    create_views(orders_log(spark, sf_dir), td.ORDERS, "lake_")
+    create_views(users_log(spark, sf_dir), td.USERS, "lake_")
+
+
+@query(f"{sql.USERS_STATE} SELECT count(*) AS n_rows FROM state")
+def sql_count_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ad-hoc SQL on the lake: a count."""
+    open_testdata(spark, sf_dir)
+    return spark.sql("SELECT COUNT(*) AS n_rows FROM lake_users")
+
+
+@query(
+    f"""
+SELECT o.id, o.user_id, o.product_name, o.amount, o.created_at, u.full_name
+FROM ({sql.ORDERS_STATE} SELECT * FROM state) o
+JOIN ({sql.USERS_STATE} SELECT * FROM state) u ON o.user_id = u.id ORDER BY o.id LIMIT 10"""
+)
+def sql_orders_with_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ad-hoc SQL on the lake: orders with their users, the first ten."""
+    open_testdata(spark, sf_dir)
+    joined = spark.sql(
+        """SELECT o.*, u.full_name FROM lake_orders o JOIN lake_users u ON o.user_id = u.id
+        ORDER BY o.id LIMIT 10"""
+    )
+    return td.zoneless(joined)
+
+
+@query(f"{sql.ORDERS_LOG} SELECT op, count(*) AS n_changes FROM log GROUP BY op")
+def sql_changes_by_op(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ad-hoc SQL on a log: changes of each kind."""
+    open_testdata(spark, sf_dir)
+    return spark.sql("SELECT op, COUNT(*) AS n_changes FROM lake_orders_log GROUP BY op")

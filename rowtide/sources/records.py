@@ -60,6 +60,7 @@ def read_replay(
     streaming: bool = True,
     topics: list[str] | None = None,
     max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: str | None = None,
 ) -> DataFrame:
     """Records written by ``write_replay``. Files are laid out by topic, so that asking for
     some topics reads only their folders."""
@@ -67,6 +68,8 @@ def read_replay(
         reader = spark.readStream.schema(RECORD_TYPE)
         if max_files_per_trigger is not None:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        if max_bytes_per_trigger is not None:
+            reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     else:
         reader = spark.read.schema(RECORD_TYPE)
     records = reader.parquet(path).select(*RECORD_TYPE.fieldNames())

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rowtide.operators.changelog import decode
 from rowtide.operators.rejects import rejects
 from rowtide.session import STATE_STORE_CONF, defaults
+from rowtide.sources.lake import with_event_date
 from rowtide.sources.records import of_table
 from rowtide.specs import TableSpec
 
@@ -59,10 +60,14 @@ def start_changelog(
     checkpoint: str,
     *,
     decode_options: dict | None = None,
+    by_date: bool = False,
     **sink,
 ) -> StreamingQuery:
-    """Start keeping the change log of one table."""
+    """Start keeping the change log of one table, with one folder per event date if asked for."""
     log = decode(of_table(records, spec), spec, **(decode_options or {}))
+    if by_date:
+        log = with_event_date(log)
+        sink["partition_by"] = ["event_date"]
     return append_to_table(log, path, checkpoint, **sink)
 
 

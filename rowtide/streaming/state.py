@@ -19,14 +19,18 @@ def start_upserts(
     *,
     fmt: str = "parquet",
     trigger: dict | None = None,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Start writing the keys that an aggregate changes, one folder per batch.
 
     Only changed keys are written. A batch that is run again overwrites its own folder, so a
-    failure between write and commit leaves no repeats.
+    failure between write and commit leaves no repeats. The state has as many partitions as the
+    session shuffles to; ``files_per_batch`` gathers what they put out into fewer files.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if files_per_batch is not None:
+            batch = batch.repartition(files_per_batch)
         batch.write.format(fmt).mode("overwrite").save(f"{path}/batch_id={batch_id}")
 
     writer = (

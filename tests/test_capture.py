@@ -230,6 +230,20 @@ def test_records_with_connector_schema(spark):
     assert value["payload"]["op"] == "d"
 
 
+def test_zoneless_times_do_not_depend_on_the_session(spark):
+    """Half past two does not exist on this night in this zone, and is kept all the same."""
+    t = spark.createDataFrame([(1, 1, "a", Decimal(1), datetime(2024, 3, 31, 2, 30))], TABLE)
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Warsaw")
+    try:
+        gone = delete_events(t, ORDERS, F.lit(True), F.col("created_at"), F.col("id"))
+        record = to_records(gone, ORDERS).select("value", F.unix_micros("timestamp")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    payload = json.loads(bytes(record.value))["payload"]
+    assert payload["before"]["created_at"] == 1711852200000000 == record[1]
+    assert payload["ts_ms"] == 1711852200000
+
+
 def test_key_only(spark):
     t = table(spark, [row(3)])
     got = t.select(F.struct("*").alias("r")).select(key_only(F.col("r"), ORDERS, t).alias("k")).first().k

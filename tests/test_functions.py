@@ -16,6 +16,8 @@ from rowtide.functions import (
     from_micros,
     from_millis,
     money,
+    to_micros,
+    to_millis,
     uniform_int,
 )
 
@@ -112,6 +114,16 @@ def test_millis(spark):
     assert got[1] == datetime(1969, 12, 31, 23, 59, 59, 999000)
 
 
+def test_to_epoch(spark):
+    times = [datetime(1969, 12, 31, 23, 59, 58, 999999), datetime(9999, 12, 31, 23, 59, 59, 999999), datetime(1, 1, 1)]
+    df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz")
+    for column, zoneless in ((F.col("t"), True), (F.col("t").cast("timestamp"), False)):
+        got = df.select(to_micros(column, zoneless), to_millis(column, zoneless)).collect()
+        assert [tuple(r) for r in got] == [
+            (-1000001, -1001), (253402300799999999, 253402300799999), (-62135596800000000, -62135596800000)
+        ]
+
+
 def test_unknown_options():
     with pytest.raises(ValueError):
         decode_decimal(F.lit(b""), on_overflow="wrap")

@@ -1,6 +1,7 @@
 """The standing job, as it is submitted."""
 
 import json
+import os
 from datetime import datetime
 from decimal import Decimal
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from rowtide import ORDERS, USERS
 from rowtide.operators import snapshot_events, to_records
 from rowtide.plans import jobs
+from rowtide.plans.views import open_lake
 from rowtide.sources import read_table, write_replay
 
 ORDER_ROWS = [(i, 1, "Anvil", Decimal("1.25"), datetime(2024, 1, 1)) for i in range(5)]
@@ -59,6 +61,18 @@ def test_a_table_by_its_specification(spark, tmp_path, topic):
     assert log.filter("id = 3").first().lsn == 3
 
 
+def test_lake_of_the_job_answers_sql(spark, tmp_path, topic):
+    lake = str(tmp_path / "lake")
+    run(spark, "--table", "orders", "--table", "users", "--replay", topic, "--once", "--by-date",
+        "--extra", "lsn", "--tables", lake, "--checkpoints", str(tmp_path / "progress"))
+    assert [f.split("=")[0] for f in os.listdir(f"{lake}/orders") if "=" in f] == ["event_date"]
+    open_lake(spark, lake, [ORDERS, USERS], prefix="job_")
+    assert spark.sql("SELECT COUNT(*) FROM job_orders").first()[0] == 5
+    joined = "SELECT o.*, u.full_name FROM job_orders o JOIN job_users u ON o.user_id = u.id LIMIT 10"
+    assert {r.full_name for r in spark.sql(joined).collect()} == {"Ann"}
+    assert spark.sql("SELECT op FROM job_users_log").first()[0] == "r"
+
+
 def test_arguments():
     base = ["--tables", "t", "--checkpoints", "c"]
     with pytest.raises(SystemExit):
