@@ -34,6 +34,7 @@ from rowtide.operators.state import (
     drop_redelivered,
     last_changes,
     state_as_of,
+    state_for_sql,
 )
 
 __all__ = [
@@ -65,6 +66,7 @@ __all__ = [
     "serial_ids",
     "snapshot_events",
     "state_as_of",
+    "state_for_sql",
     "to_records",
     "topic_name",
     "unique_violations",

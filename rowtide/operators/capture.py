@@ -33,16 +33,21 @@ def row_of(spec: TableSpec) -> Column:
     return F.struct(*spec.columns)
 
 
+def no_row(spec: TableSpec) -> Column:
+    """A null of the same type."""
+    return F.when(F.lit(False), row_of(spec))
+
+
+def _changes(
+    rows: DataFrame, op: str, before: Column, after: Column, event_ts: Column, lsn: Column
+) -> DataFrame:
+    values = (F.lit(op), before, after, event_ts, lsn)
+    return rows.select(*(v.alias(name) for v, name in zip(values, CHANGE_COLUMNS)))
+
+
 def snapshot_events(table: DataFrame, spec: TableSpec, event_ts: Column, lsn: Column) -> DataFrame:
     """Every row of a table as a snapshot read."""
-    row = row_of(spec)
-    return table.select(
-        F.lit("r").alias("op"),
-        F.when(F.lit(False), row).alias("before"),
-        row.alias("after"),
-        event_ts.alias("event_ts"),
-        lsn.alias("lsn"),
-    )
+    return _changes(table, "r", no_row(spec), row_of(spec), event_ts, lsn)
 
 
 def diff_events(
@@ -52,10 +57,9 @@ def diff_events(
 
     Both versions are grouped by key in one shuffle, reduced before it to one row per key and
     version. A key that stands many times in a version yields one change and no row pairs.
-    ``event_ts`` and ``lsn`` may use the columns of the row that the change leaves or removes.
+    ``event_ts`` and ``lsn`` may use ``row``, the row after the change or, at a delete, before it.
     """
-    row = row_of(spec)
-    none = F.when(F.lit(False), row)
+    row, none = row_of(spec), no_row(spec)
     sides = old.select(*spec.key, row.alias("before"), none.alias("after")).unionByName(
         new.select(*spec.key, none.alias("before"), row.alias("after"))
     )
@@ -63,24 +67,18 @@ def diff_events(
         F.max("before").alias("before"), F.max("after").alias("after")
     )
     changed = pairs.filter(~F.col("before").eqNullSafe(F.col("after")))
-    op = (
-        F.when(F.col("before").isNull(), "c").when(F.col("after").isNull(), DELETE_OP).otherwise("u")
+    created, deleted = F.col("before").isNull(), F.col("after").isNull()
+    op = F.when(created, "c").when(deleted, DELETE_OP).otherwise("u")
+    return (
+        changed.withColumn("row", F.coalesce("after", "before"))
+        .withColumns({"op": op, "event_ts": event_ts, "lsn": lsn})
+        .select(*CHANGE_COLUMNS)
     )
-    return changed.select(
-        op.alias("op"), "before", "after", F.coalesce("after", "before").alias("row")
-    ).select("op", "before", "after", event_ts.alias("event_ts"), lsn.alias("lsn"))
 
 
 def insert_events(rows: DataFrame, spec: TableSpec, event_ts: Column, lsn: Column) -> DataFrame:
     """Inserted rows as create events. All sides are known, so nothing is shuffled."""
-    row = row_of(spec)
-    return rows.select(
-        F.lit("c").alias("op"),
-        F.when(F.lit(False), row).alias("before"),
-        row.alias("after"),
-        event_ts.alias("event_ts"),
-        lsn.alias("lsn"),
-    )
+    return _changes(rows, "c", no_row(spec), row_of(spec), event_ts, lsn)
 
 
 def update_events(
@@ -95,42 +93,29 @@ def update_events(
     unknown = set(changes) - set(spec.columns)
     if unknown:
         raise ValueError(f"{sorted(unknown)} are not columns of {spec.name!r}")
-    types = {f.name: table.schema[f.name].dataType for f in spec.fields}
-    after = F.struct(
-        *(changes.get(c, F.col(c)).cast(types[c]).alias(c) for c in spec.columns)
-    )
-    return table.filter(where).select(
-        F.lit("u").alias("op"),
-        row_of(spec).alias("before"),
-        after.alias("after"),
-        event_ts.alias("event_ts"),
-        lsn.alias("lsn"),
-    )
+    after = changed_row(table, spec, changes)
+    return _changes(table.filter(where), "u", row_of(spec), after, event_ts, lsn)
 
 
 def delete_events(
     table: DataFrame, spec: TableSpec, where: Column, event_ts: Column, lsn: Column
 ) -> DataFrame:
     """``DELETE FROM table WHERE where`` as delete events."""
-    row = row_of(spec)
-    return table.filter(where).select(
-        F.lit(DELETE_OP).alias("op"),
-        row.alias("before"),
-        F.when(F.lit(False), row).alias("after"),
-        event_ts.alias("event_ts"),
-        lsn.alias("lsn"),
+    return _changes(table.filter(where), DELETE_OP, row_of(spec), no_row(spec), event_ts, lsn)
+
+
+def changed_row(table: DataFrame, spec: TableSpec, changes: dict[str, Column]) -> Column:
+    """The columns of a table as one struct, some of them with new values of the same type."""
+    return F.struct(
+        *(changes.get(c, F.col(c)).cast(table.schema[c].dataType).alias(c) for c in spec.columns)
     )
 
 
-def key_only(row: Column, spec: TableSpec, table: DataFrame) -> Column:
+def key_only(table: DataFrame, spec: TableSpec) -> Column:
     """A row with nothing but its key, as a delete carries it under the default replica
     identity."""
-    return F.struct(
-        *(
-            (row[c] if c in spec.key else F.lit(None).cast(table.schema[c].dataType)).alias(c)
-            for c in spec.columns
-        )
-    )
+    nothing = {c: F.lit(None) for c in spec.columns if c not in spec.key}
+    return changed_row(table, spec, nothing)
 
 
 def included(

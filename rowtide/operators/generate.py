@@ -66,20 +66,23 @@ def serial_ids(
 
     Rows are range-partitioned and sorted, and counted per partition; a partition's ids start
     after the rows of those before it. Only those counts, one per partition, meet in one task.
-    The sorted rows are checkpointed in the shared folder between the two steps, so a lost
-    executor cannot renumber some of them. Input position splits equal values over partitions.
+    Their starts are broadcast, a row per partition. The sorted rows are checkpointed in the
+    shared folder between the two steps, so a lost executor cannot renumber some of them. Rows
+    of equal order go by their content, and by input position where that is equal too, which
+    lets any number of them spread over partitions.
     """
     spark = rows.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    tied = rows.withColumn("_tie", F.monotonically_increasing_id())
-    order = [*order_by, "_tie"]
+    ties = {"_content": F.xxhash64(*rows.columns), "_place": F.monotonically_increasing_id()}
+    order = [*order_by, *ties]
     count = () if partitions is None else (partitions,)
     position = F.monotonically_increasing_id()
     kept = (
-        tied.repartitionByRange(*count, *order)
+        rows.withColumns(ties)
+        .repartitionByRange(*count, *order)
         .sortWithinPartitions(*order)
-        .drop("_tie")
+        .drop(*ties)
         .withColumn("_part", F.shiftright(position, 33).cast("int"))
         .withColumn("_pos", position.bitwiseAND(F.lit((1 << 33) - 1)))
         .checkpoint()

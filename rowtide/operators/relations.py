@@ -52,8 +52,8 @@ def insert_if_absent(
     """Incoming rows to add: the first arrival of each key that the table does not hold.
 
     Repeats are reduced before the shuffle on both sides, and the anti join works on the
-    partitioning that the reductions leave. Rows without the key cannot be inserted; ``null_violations`` lists
-    them.
+    partitioning that the reductions leave. Rows without the key cannot be inserted;
+    ``null_violations`` lists them.
     """
     columns = incoming.columns
     others = [c for c in columns if c != unique]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rowtide.operators.changelog import AFTER_OPS, DELETE_OP
@@ -70,6 +71,25 @@ def current_state(
     return last.filter(~F.col("is_deleted")).select(*carried)
 
 
+def state_for_sql(
+    log: DataFrame, spec: TableSpec, *, order_by: tuple[str, ...] | None = None
+) -> DataFrame:
+    """The same rows as ``current_state``, as a plan for views.
+
+    A statement's own choice of columns reaches the scan through a window, where it would stop
+    at an aggregate of whole rows. The limit of one row per key is applied in each task before
+    the shuffle, too. Windows of this kind do not run on streams.
+    """
+    names = order_by or tuple(n for n in ORDER if n in log.columns)
+    latest_first = W.partitionBy(*spec.key_columns).orderBy(*map(F.desc_nulls_last, names))
+    return (
+        keyed(log, spec)
+        .withColumn("_place", F.row_number().over(latest_first))
+        .filter((F.col("_place") == 1) & ~F.col("is_deleted"))
+        .select(*spec.columns)
+    )
+
+
 def count_rows(
     log: DataFrame, spec: TableSpec, *, order_by: tuple[str, ...] | None = None
 ) -> DataFrame:

@@ -255,7 +255,8 @@ def serial_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""{_GENERATED}
-SELECT (SELECT count(*) FROM customer) AS users_total, (SELECT count(*) FROM made) AS orders_added"""
+SELECT (SELECT count(*) FROM customer) AS users_total,
+       (SELECT count(*) FROM made) AS orders_added"""
 )
 def ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a cycle leaves: all users, and the orders it added."""

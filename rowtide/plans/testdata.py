@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.operators.capture import row_of, to_records
+from rowtide.operators.capture import changed_row, key_only, no_row, row_of, to_records
 from rowtide.specs import Field, TableSpec
 
 # The tables have 64-bit keys, so their captured form has them too.
@@ -103,15 +103,8 @@ def history(
 ) -> DataFrame:
     """One to three changes per row: read or created, perhaps updated a second later, perhaps
     deleted after that, with a full or a key-only row image. One pass over the table."""
-    types = {name: table.schema[name].dataType for name in spec.columns}
-    first = row_of(spec)
-    second = F.struct(
-        *(values.get(c, F.col(c)).cast(types[c]).alias(c) for c in spec.columns)
-    )
-    stub = F.struct(
-        *((F.col(c) if c in spec.key else F.lit(None).cast(types[c])).alias(c) for c in types)
-    )
-    none = F.when(F.lit(False), first)
+    first, none = row_of(spec), no_row(spec)
+    second, stub = changed_row(table, spec, values), key_only(table, spec)
     last = F.when(keyed, stub).when(updated, second).otherwise(first)
 
     def change(step: int, op: Column, before: Column, after: Column) -> Column:

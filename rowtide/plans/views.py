@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.operators.state import current_state
+from rowtide.operators.state import state_for_sql
 from rowtide.sources.lake import read_table
 from rowtide.specs import TableSpec
 
 
 def create_views(log: DataFrame, spec: TableSpec, prefix: str = "") -> None:
-    """Views ``<prefix><table>_log`` and ``<prefix><table>``. Both are plans, nothing is stored:
-    each statement reads the columns and dates it asks for."""
+    """Views ``<prefix><table>_log`` and ``<prefix><table>``. Both are plans, nothing is stored, and
+    each statement reads only the columns it asks for."""
     log.createOrReplaceTempView(f"{prefix}{spec.name}_log")
-    current_state(log, spec).createOrReplaceTempView(f"{prefix}{spec.name}")
+    state_for_sql(log, spec).createOrReplaceTempView(f"{prefix}{spec.name}")
 
 
 def open_lake(

@@ -23,6 +23,7 @@ from rowtide.operators import (
     key_only,
     snapshot_events,
     state_as_of,
+    state_for_sql,
     to_records,
     topic_name,
     update_events,
@@ -200,6 +201,18 @@ def test_state_reads_only_what_is_asked_for(spark, tmp_path):
     assert "SortAggregate" not in counted
 
 
+def test_state_for_sql(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = [entry(1, "c", 1, "old"), entry(1, "u", 2, "new"), entry(2, "c", 3), entry(2, "d", 4),
+            entry(3, "c", None), (None, "t", None, None, None, None, None, T0, False, 9)]
+    spark.createDataFrame(rows, LOG).write.parquet(path)
+    log = spark.read.parquet(path)
+    assert names(state_for_sql(log, ORDERS)) == names(current_state(log, ORDERS)) == [(1, "new"), (3, "Anvil")]
+    plan = state_for_sql(log, ORDERS).groupBy().count()._jdf.queryExecution().executedPlan().toString()
+    assert "product_name" not in plan  # not asked for, not read
+    assert "row_number(), 1, Partial" in plan  # reduced before the shuffle
+
+
 def test_redelivered_changes_count_once(spark):
     log = spark.createDataFrame([entry(1, "c", 1), entry(1, "c", 1), entry(1, "u", 2), entry(2, "c", 1)], LOG)
     assert drop_redelivered(log, ORDERS).count() == 3
@@ -246,7 +259,7 @@ def test_zoneless_times_do_not_depend_on_the_session(spark):
 
 def test_key_only(spark):
     t = table(spark, [row(3)])
-    got = t.select(F.struct("*").alias("r")).select(key_only(F.col("r"), ORDERS, t).alias("k")).first().k
+    got = t.select(key_only(t, ORDERS).alias("k")).first().k
     assert (got.id, got.user_id, got.product_name) == (3, None, None)
 
 

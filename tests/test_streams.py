@@ -1,6 +1,7 @@
 """Streams: resume, several tables, state, supervision, sources."""
 
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import PySparkException
@@ -155,6 +156,16 @@ def test_shared_folder_is_that_of_the_session(spark):
     assert scratch(spark, "x").startswith(folder + "/x-") and scratch(spark, "x") != scratch(spark, "x")
 
 
+def test_a_cluster_without_shared_folder_is_refused():
+    session = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default: None), sparkContext=SimpleNamespace(master="yarn")
+    )
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session)
+    session.sparkContext.master = "local[2]"
+    assert shared_folder(session) == shared_folder(session)
+
+
 def test_defaults_leave_the_session_as_it_was(spark):
     name = "spark.sql.streaming.stateStore.providerClass"
     with defaults(spark, {name: "a.B"}):
