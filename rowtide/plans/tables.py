@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.operators import constraints, generate, relations
@@ -209,24 +209,27 @@ def gen_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generate.new_users(spark, size[0], size[1] + 1, now=at_now())
 
 
-def ruled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders for every user by rule instead of by chance."""
+def by_rule() -> dict[str, Column]:
+    """What generated orders otherwise draw by chance."""
     user, n = F.col("id"), F.col("n")
     words = F.array(*(F.lit(w) for w in generate.WORDS))
-    return generate.new_orders(
-        td.users(spark, sf_dir),
-        count=(user % 3 + 1).cast("int"),
-        share=(2 * ((user * 7919 + n * 104729) % 50000) + 1) / F.lit(100000),
-        word=F.element_at(words, ((user + n) % 7 + 1).cast("int")),
-        now=at_now(),
-    )
+    return {
+        "count": (user % 3 + 1).cast("int"),
+        "share": (2 * ((user * 7919 + n * 104729) % 50000) + 1) / F.lit(100000),
+        "word": F.element_at(words, ((user + n) % 7 + 1).cast("int")),
+        "now": at_now(),
+    }
+
+
+def ruled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return generate.new_orders(td.users(spark, sf_dir), **by_rule())
 
 
-_WORDS = ", ".join(f"'{w.capitalize()}'" for w in generate.WORDS)
+WORDS_SQL = ", ".join(f"'{w.capitalize()}'" for w in generate.WORDS)
 _GENERATED = f"""
 WITH g AS (SELECT c_custkey AS user_id, unnest(range(1, c_custkey % 3 + 2)) AS n FROM customer),
 made AS (
-SELECT user_id, CAST(n AS INTEGER) AS n, [{_WORDS}][(user_id + n) % 7 + 1] AS product_name,
+SELECT user_id, CAST(n AS INTEGER) AS n, [{WORDS_SQL}][(user_id + n) % 7 + 1] AS product_name,
        CAST(round(10.0::DOUBLE + 490.0::DOUBLE
             * ((2 * ((user_id * 7919 + n * 104729) % 50000) + 1) / 100000.0::DOUBLE), 2)
             AS DECIMAL(10,2)) AS amount,
