@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rowtide.session import scratch
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """The rows, written to the folder that all executors share and read again.
 
     This cuts the lineage: what is read afterwards does not depend on an executor that may be
@@ -18,7 +18,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,9 +7,15 @@ from pyspark.sql import functions as F
 
 from rowtide.llm.common import load, remainder
 from rowtide.llm.langid import fit_languages, identify_languages
+from rowtide.llm.licenses import scan_licenses
 from rowtide.llm.mixing import mixing_plan, with_copies, word_count
+from rowtide.llm.packing import pack
 from rowtide.llm.quality import score_quality
+from rowtide.llm.rangejoin import near_duplicate_vectors
 from rowtide.llm.simhash import simhash_duplicates
+from rowtide.llm.suffixtree import score_texts
+from rowtide.llm.topk import top_k, whole_components
+from rowtide.llm.warc import archive_and_read
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +75,30 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_duplicates(load(spark, sf_dir, "documents"), shingle=3, max_distance=2)
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = load(spark, sf_dir, "embeddings").select(
+        "vec_id", whole_components(F.col("embedding"), 256).alias("vector")
+    )
+    found = top_k(vectors, vectors.filter(F.pmod("vec_id", F.lit(50)) == 0), k=5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.w, c.w), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     model = fit_languages(docs.filter(remainder(F.col("doc_id"), 5) != 0))
@@ -82,15 +112,100 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_rangejoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(load(spark, sf_dir, "embeddings"), least=0.95)
+
+
+OP6_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS w
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.w, b.w) >= 0.95),
+reach(node, least) AS (
+  SELECT vec_id, vec_id FROM v
+  UNION
+  SELECT l.b, r.least FROM reach r JOIN links l ON l.a = r.node WHERE l.b > r.least),
+component AS (SELECT node, min(least) AS component_id FROM reach GROUP BY node),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(d.n, 0) AS BIGINT) AS n_links,
+       coalesce(c.component_id, e.vec_id) AS component_id,
+       coalesce(c.component_id, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN component c ON c.node = e.vec_id LEFT JOIN degree d ON d.a = e.vec_id
+"""
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_and_read(load(spark, sf_dir, "pages"), least_bytes=0)
+
+
+# A SHA-1 in hexadecimal is turned into base 32 five digits at a time, which are four signs.
+OP7_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+d AS (
+  SELECT page_id, strlen(html) AS payload_bytes,
+         list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31), 1)),
+           'string_agg', '') AS payload_digest
+  FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(load(spark, sf_dir, "documents"), tokenizer_file(), end=2, window=4096)
+
+
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op9_suffixtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_texts(docs, remainder(F.col("doc_id"), 10) != 0)
+    return scored.select("*", held_out(10))
+
+
+def op10_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    names = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    return found.select("doc_id", *(f"licenses.{n}" for n in names))
+
+
 def held_out(divisor: int):
     """Whether the id's remainder is 0; false for a null id, which teaches nothing either."""
     return F.coalesce(remainder(F.col("doc_id"), divisor) == 0, F.lit(False)).alias("held_out")
 
 
 QUERIES = {
-    "op1_quality": op1_quality,
-    "op2_mixing": op2_mixing,
-    "op3_simhash": op3_simhash,
-    "op5_language": op5_language,
+    query.__name__: query
+    for query in (
+        op1_quality,
+        op2_mixing,
+        op3_simhash,
+        op4_topk,
+        op5_language,
+        op6_rangejoin,
+        op7_warc,
+        op8_packing,
+        op9_suffixtree,
+        op10_license,
+    )
+}
+ORACLES = {
+    "op2_mixing": OP2_SQL,
+    "op4_topk": OP4_SQL,
+    "op6_rangejoin": OP6_SQL,
+    "op7_warc": OP7_SQL,
 }
-ORACLES = {"op2_mixing": OP2_SQL}
