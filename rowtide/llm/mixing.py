@@ -151,17 +151,16 @@ def _cutoffs(narrow: DataFrame, quotas: DataFrame, buckets: int) -> DataFrame:
 def with_copies(
     docs: DataFrame, plan: DataFrame, *, ident: str = "doc_id", source: str = "source", seed: int = 0
 ) -> DataFrame:
-    """``docs`` under ``d`` and their source's plan under ``p``, with ``copies``.
+    """Rows of ``docs`` as a struct ``d``, their source's plan as a struct ``p``, and ``copies``.
 
     The plan has one row for each source. Documents are not shuffled where Spark finds it small
     enough to broadcast; otherwise its skew join splits a large source.
     """
-    copies = F.col("p.whole") + (
-        order_key(F.col(f"d.{ident}"), seed) <= F.col("p.cutoff")
-    ).cast("int")
-    return docs.alias("d").join(
-        plan.alias("p"), F.col(f"d.{source}").eqNullSafe(F.col("p.source"))
-    ).withColumn("copies", copies)
+    again = order_key(F.col(f"d.{ident}"), seed) <= F.col("p.cutoff")
+    row, own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)), F.struct(*plan.columns)
+    same = F.col(f"d.{source}").eqNullSafe(F.col("p.source"))
+    joined = docs.select(row.alias("d")).join(plan.select(own.alias("p")), same)
+    return joined.select("d", "p", (F.col("p.whole") + again.cast("int")).alias("copies"))
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, **how) -> DataFrame:
@@ -169,5 +168,5 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, **how) -> DataFrame:
     plan = mixing_plan(docs, weights, **how)
     names = {k: how[k] for k in ("ident", "source", "seed") if k in how}
     taken = with_copies(docs, plan, **names).filter("copies > 0")
-    row = F.struct(*(F.col(f"d.`{c}`") for c in docs.columns))
-    return taken.select(F.explode(F.array_repeat(row, F.col("copies"))).alias("row")).select("row.*")
+    repeated = F.explode(F.array_repeat("d", F.col("copies")))
+    return taken.select(repeated.alias("row")).select("row.*")

@@ -54,10 +54,8 @@ def _word_codes(flat: np.ndarray, blank: np.ndarray, begins: np.ndarray):
     if not len(first):
         return np.zeros(0, np.uint64), first
     at = np.arange(len(flat), dtype=np.uint64)
-    place = at - np.repeat(
-        np.concatenate([[0], first[1:]]).astype(np.uint64),
-        np.diff(np.concatenate([[0], first[1:], [len(flat)]])),
-    )
+    reach = np.diff(np.concatenate([[0], first[1:], [len(flat)]]))
+    place = at - np.repeat(first.astype(np.uint64), reach)
     mixed = _BYTE_CODES[flat] * (place * np.uint64(2) + np.uint64(1))
     mixed ^= mixed >> np.uint64(31)
     mixed *= np.uint64(0xBF58476D1CE4E5B9)
@@ -188,7 +186,8 @@ class QualityModel:
         votes = np.where(cosine >= edge, cosine**self.sharpness, 0)
         total = votes.sum(axis=1)
         score = np.divide(votes @ self.labels, total, out=np.full(len(total), 0.5), where=total > 0)
-        return np.clip(score, 0, 1)
+        # Rounded, so that equal texts in different blocks get equal scores.
+        return np.clip(np.round(score, 6), 0, 1)
 
     def column(self, text: Column) -> Column:
         """The score of a text column. The model is of bounded size and goes to every task."""
