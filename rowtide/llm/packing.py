@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import os
+import unicodedata
 import zlib
 from functools import lru_cache
 
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowtide.llm.common import stored
+from rowtide.llm.common import flat_bytes, pieces, stored, texts_of
 
 K1, B = 1.2, 0.75  # the usual constants of BM25
 
@@ -25,39 +26,95 @@ K1, B = 1.2, 0.75  # the usual constants of BM25
 class _Encoder:
     """Token ids of texts, by the ids of their parts between ASCII blanks.
 
-    The tokenizer drops white space before it looks at words, so a text's ids are those of its
-    blank-separated parts in order. Parts come back often; their ids are remembered, as bytes of
-    16-bit numbers, up to a bound.
+    The tokenizer writes A to Z small and drops white space before it looks at words, so a text's ids
+    are those of its blank-separated parts in order. Parts come back often; their ids are
+    remembered, as bytes of 16-bit numbers, up to a bound.
     """
 
-    def __init__(self, path: str, remember: int = 600_000) -> None:
+    def __init__(self, path: str, remember: int = 1_400_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.remember = remember
         self.known: dict[bytes, bytes] = {}
-        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.size = max(vocabulary.values()) + 1
         if self.size > 1 << 16:
             raise ValueError("token ids of more than 16 bits")
+        self.last_of_word = np.zeros(self.size, bool)
+        self.last_of_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.folds = self._ids(["A"]) == self._ids(["a"])
 
-    def _learn(self, parts: list[bytes]) -> None:
-        texts = [p.decode("utf-8", "replace") for p in parts]
+    def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        for part, each in zip(parts, found, strict=True):
-            self.known[part] = np.array(each.ids, np.uint16).tobytes()
+        return [np.array(each.ids, np.uint16).tobytes() for each in found]
+
+    def _learn_words(self, words: list[bytes]) -> None:
+        """Ids of words of letters. Many go through the tokenizer as one text; its tokens tell
+        where each word ends. Should their number not fit, each goes by itself."""
+        for low in range(0, len(words), _TOGETHER):
+            some = words[low : low + _TOGETHER]
+            raw = self._ids([b" ".join(some).decode()])[0]
+            ends = np.flatnonzero(self.last_of_word[np.frombuffer(raw, np.uint16)]) * 2 + 2
+            if len(ends) == len(some):
+                starts = [0, *ends[:-1].tolist()]
+                self.known.update(
+                    (w, raw[s:e]) for w, s, e in zip(some, starts, ends.tolist(), strict=True)
+                )
+            else:
+                self._learn_parts(some)
+
+    def _learn_parts(self, parts: list[bytes]) -> None:
+        ids = self._ids([p.decode("utf-8", "replace") for p in parts])
+        self.known.update(zip(parts, ids, strict=True))
+
+    def _learn(self, new: set[bytes]) -> None:
+        known, words, others, closed = self.known, set(), [], []
+        for part in new:
+            core = part.rstrip(_CLOSING)
+            if not _is_word(core):
+                others.append(part)
+                continue
+            if core not in known:
+                words.add(core)
+            if core != part:
+                closed.append((part, core))
+        self._learn_words(list(words))
+        self._learn_parts(others)
+        # Signs after a letter are looked at apart from it.
+        tails = {part[len(core) :] for part, core in closed}
+        self._learn_parts([t for t in tails if t not in known])
+        known.update((part, known[core] + known[part[len(core) :]]) for part, core in closed)
 
     def encode(self, texts: list[bytes], end: int) -> list[bytes]:
         """The ids of each text and ``end``, as bytes of 16-bit numbers."""
-        split = [t.split() for t in texts]
-        known = self.known
-        new = list(set().union(*split).difference(known)) if split else []
-        if len(known) + len(new) > self.remember:
-            known.clear()
-            new = list(set().union(*split))
+        # A special token's name is only known as it is written.
+        split = [(t.lower() if self.folds and b"<|" not in t else t).split() for t in texts]
+        new = set().union(*split).difference(self.known)
+        if len(self.known) + 2 * len(new) > self.remember:
+            # The parts that came first are on the whole the most frequent ones.
+            kept = itertools.islice(self.known.items(), self.remember // 2)
+            self.known = dict(kept)
+            new = set().union(*split).difference(self.known)
         self._learn(new)
-        last = np.uint16(end).tobytes()
-        return [b"".join(map(known.__getitem__, parts)) + last for parts in split]
+        get, last = self.known.__getitem__, np.uint16(end).tobytes()
+        return [b"".join(map(get, parts)) + last for parts in split]
+
+
+_TOGETHER = 32
+_TEXT_BYTES = 4_000_000
+_CLOSING = b".,;:!?"
+
+
+def _is_word(part: bytes) -> bool:
+    """Whether a part has letters only, also when it is composed and in lower case."""
+    if part.isascii():
+        return part.isalpha()
+    try:
+        return unicodedata.normalize("NFC", part.decode()).lower().isalpha()
+    except UnicodeDecodeError:
+        return False
 
 
 @lru_cache(maxsize=1)
@@ -83,9 +140,8 @@ def _tokenised(docs: DataFrame, ident: str, text: str, tokenizer: str, end: int)
         have = np.zeros(encoder.size, np.int32)
         for batch in batches:
             texts = batch.column(1)
-            for low in range(0, batch.num_rows, 256):
-                part = texts.slice(low, 256)
-                ids = encoder.encode([t or b"" for t in part.to_pylist()], end)
+            for low, high in pieces(flat_bytes(texts)[1], _TEXT_BYTES):
+                ids = encoder.encode(texts_of(texts.slice(low, high - low)), end)
                 for each in ids:
                     have[_distinct(np.frombuffer(each, np.uint16))] += 1
                 n = len(ids)

@@ -42,8 +42,10 @@ def test_parts_between_blanks_have_the_ids_of_the_text():
         "",
         " \n ",
         "ǅ ﬁ Å ́x \x85 \x1c y",
+        "İİ. a.. b.,; c'.! d). é! ß? 中文。 ١٢. x\u0301. ªº! don't. İ word",
+        "<|ENDOFTEXT|> <|Endoftext|>. THE. The, the!",
     ]
-    encoder = _Encoder(tokenizer_file(), remember=10)
+    encoder = _Encoder(tokenizer_file(), remember=20)
     tokenizer = Tokenizer.from_file(tokenizer_file())
     for _ in range(2):
         found = encoder.encode([t.encode() for t in texts], 2)
