@@ -38,6 +38,19 @@ def to_micros(ts: Column, zoneless: bool = False) -> Column:
     return (seconds * F.lit(1_000_000)).cast("bigint")
 
 
+def utc_date(ts: Column) -> Column:
+    """The date of an instant in UTC, whatever the session's zone."""
+    days = F.floor(F.unix_seconds(ts) / F.lit(86_400)).cast("int")
+    return F.date_from_unix_date(days)
+
+
+def zoneless_utc(ts: Column) -> Column:
+    """An instant as the zone-less timestamp that clocks in UTC show."""
+    seconds = F.unix_micros(ts).cast("decimal(24,0)") / F.lit(1_000_000)
+    since = F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since
+
+
 def to_millis(ts: Column, zoneless: bool = False) -> Column:
     """Timestamp to milliseconds since the epoch; what is below them is cut off downward."""
     if not zoneless:

@@ -1,7 +1,7 @@
 """Codecs and value functions against Python's own integers and dates."""
 
 from datetime import datetime
-from decimal import Decimal
+from decimal import Context, Decimal, localcontext
 
 import pytest
 from hypothesis import given, settings
@@ -73,6 +73,30 @@ def test_encode_is_shortest(spark):
     assert got == [shortest(n) for n in numbers]
 
 
+def numbers_of(precision):
+    largest = 10**precision - 1
+    return st.one_of(st.integers(-largest, largest), st.sampled_from([0, 1, -1, largest, -largest]))
+
+
+@pytest.mark.parametrize(("precision", "scale"), [
+    (38, 0), (38, 2), (38, 8), (38, 10), (38, 18), (38, 38), (30, 17), (20, 2), (18, 18), (18, 0), (9, 9), (1, 0)
+])
+@settings(max_examples=4, deadline=None)
+@given(data=st.data())
+def test_codec_is_exact_at_every_precision_and_scale(spark, precision, scale, data):
+    numbers = data.draw(st.lists(numbers_of(precision), min_size=1, max_size=60))
+    with localcontext(Context(prec=60)):
+        amounts = [Decimal(n).scaleb(-scale) for n in numbers]
+    rows = [(i, a, bytearray(shortest(n))) for i, (a, n) in enumerate(zip(amounts, numbers))]
+    df = spark.createDataFrame(rows, f"i int, d decimal({precision},{scale}), raw binary")
+    encoded, decoded = (
+        [r[1] for r in sorted(df.select("i", c).collect())]
+        for c in (encode_decimal(F.col("d"), scale, precision), decode_decimal(F.col("raw"), precision, scale))
+    )
+    assert [bytes(e) for e in encoded] == [shortest(n) for n in numbers]
+    assert decoded == amounts
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.integers(-(10**18) + 1, 10**18 - 1), min_size=1, max_size=50))
 def test_codec_round_trip(spark, numbers):
