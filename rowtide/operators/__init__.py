@@ -2,6 +2,7 @@ from rowtide.operators.capture import (
     connect_schema,
     delete_events,
     diff_events,
+    diff_repeats,
     in_commit_order,
     included,
     insert_events,
@@ -10,6 +11,7 @@ from rowtide.operators.capture import (
     to_records,
     topic_name,
     update_events,
+    with_offsets,
 )
 from rowtide.operators.changelog import decode
 from rowtide.operators.constraints import (
@@ -20,7 +22,7 @@ from rowtide.operators.constraints import (
 )
 from rowtide.operators.generate import ingest_summary, new_orders, new_users, serial_ids
 from rowtide.operators.rates import change_rate, rate_alerts
-from rowtide.operators.rejects import rejects
+from rowtide.operators.rejects import judged, log_of, rejects, rejects_of
 from rowtide.operators.relations import (
     cascade_deleted,
     cascade_survivors,
@@ -29,9 +31,11 @@ from rowtide.operators.relations import (
     with_parent,
 )
 from rowtide.operators.state import (
+    compacted,
     count_rows,
     current_state,
     drop_redelivered,
+    fold,
     last_changes,
     state_as_of,
     state_for_sql,
@@ -41,20 +45,25 @@ __all__ = [
     "cascade_deleted",
     "cascade_survivors",
     "change_rate",
+    "compacted",
     "connect_schema",
     "count_rows",
     "current_state",
     "decode",
     "delete_events",
     "diff_events",
+    "diff_repeats",
     "drop_redelivered",
+    "fold",
     "in_commit_order",
     "included",
     "ingest_summary",
     "insert_events",
     "insert_if_absent",
+    "judged",
     "key_only",
     "last_changes",
+    "log_of",
     "new_orders",
     "new_users",
     "null_violations",
@@ -63,6 +72,7 @@ __all__ = [
     "precision_violations",
     "rate_alerts",
     "rejects",
+    "rejects_of",
     "serial_ids",
     "snapshot_events",
     "state_as_of",
@@ -71,5 +81,6 @@ __all__ = [
     "topic_name",
     "unique_violations",
     "update_events",
+    "with_offsets",
     "with_parent",
 ]

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from rowtide.functions import encode_decimal, to_micros, to_millis
 from rowtide.operators.changelog import DELETE_OP
+from rowtide.operators.generate import serial_ids
 from rowtide.specs import Field, TableSpec
 
 CHANGE_COLUMNS = ("op", "before", "after", "event_ts", "lsn")
@@ -25,6 +26,11 @@ CONNECT_TYPES = {
     "text": {"type": "string"},
     "decimal": {"type": "bytes", "name": "org.apache.kafka.connect.data.Decimal"},
     "timestamp": {"type": "int64", "name": "io.debezium.time.MicroTimestamp"},
+    "date": {"type": "int32", "name": "io.debezium.time.Date"},
+    "short": {"type": "int16"},
+    "double": {"type": "double"},
+    "float": {"type": "float"},
+    "boolean": {"type": "boolean"},
 }
 
 
@@ -53,19 +59,20 @@ def snapshot_events(table: DataFrame, spec: TableSpec, event_ts: Column, lsn: Co
 def diff_events(
     old: DataFrame, new: DataFrame, spec: TableSpec, event_ts: Column, lsn: Column
 ) -> DataFrame:
-    """Changes that lead from one version of a table to the next.
+    """Changes that lead from one version of a table to the next, by a full join on the key.
 
-    Both versions are grouped by key in one shuffle, reduced before it to one row per key and
-    version. A key that stands many times in a version yields one change and no row pairs.
-    ``event_ts`` and ``lsn`` may use ``row``, the row after the change or, at a delete, before it.
+    Keys must be there once in each version. Those that are not, or are null, are left out of
+    the join, so that no row pairs arise; ``diff_repeats`` reports them, and whether there are any
+    is decided on the keys alone. ``event_ts`` and ``lsn`` may use ``row``, the row after the
+    change or, at a delete, before it.
     """
-    row, none = row_of(spec), no_row(spec)
-    sides = old.select(*spec.key, row.alias("before"), none.alias("after")).unionByName(
-        new.select(*spec.key, none.alias("before"), row.alias("after"))
-    )
-    pairs = sides.groupBy(*spec.key).agg(
-        F.max("before").alias("before"), F.max("after").alias("after")
+    row, key = row_of(spec), list(spec.key)
+    repeated = diff_repeats(old, new, spec).select(*key).distinct()
+    before, after = (
+        version.dropna(subset=key).join(repeated, key, "left_anti").select(*key, row.alias(side))
+        for version, side in ((old, "before"), (new, "after"))
     )
+    pairs = before.join(after, key, "full")
     changed = pairs.filter(~F.col("before").eqNullSafe(F.col("after")))
     created, deleted = F.col("before").isNull(), F.col("after").isNull()
     op = F.when(created, "c").when(deleted, DELETE_OP).otherwise("u")
@@ -76,6 +83,25 @@ def diff_events(
     )
 
 
+def diff_repeats(old: DataFrame, new: DataFrame, spec: TableSpec) -> DataFrame:
+    """Keys that stand more than once in a version, or are null, with ``version`` and ``n_rows``.
+
+    ``diff_events`` says nothing of them.
+    """
+    key = list(spec.key)
+    incomplete = F.lit(False)
+    for name in key:
+        incomplete = incomplete | F.col(name).isNull()
+    counted = [
+        version.groupBy(*key)
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .filter((F.col("n_rows") > 1) | incomplete)
+        .select(*key, F.lit(name).alias("version"), "n_rows")
+        for version, name in ((old, "old"), (new, "new"))
+    ]
+    return counted[0].unionByName(counted[1])
+
+
 def insert_events(rows: DataFrame, spec: TableSpec, event_ts: Column, lsn: Column) -> DataFrame:
     """Inserted rows as create events. All sides are known, so nothing is shuffled."""
     return _changes(rows, "c", no_row(spec), row_of(spec), event_ts, lsn)
@@ -142,6 +168,8 @@ def _wire(value: Column, field: Field, kind: T.DataType) -> Column:
         return encode_decimal(value, field.scale, kind.precision)
     if field.wire == "timestamp":
         return to_micros(value, _zoneless(kind))
+    if field.wire == "date":
+        return F.unix_date(value)
     return value
 
 
@@ -198,9 +226,20 @@ def in_commit_order(changes: DataFrame, partitions: int | None = None) -> DataFr
     return changes.repartitionByRange(*count, "lsn").sortWithinPartitions("lsn")
 
 
+def with_offsets(changes: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Changes with ``offset``, serial numbers in the order of ``lsn``.
+
+    For changes that share a position, as all rows of a snapshot do: their records would else
+    share an offset, too. Rows are range-partitioned and numbered over any number of tasks.
+    """
+    numbered = serial_ids(changes, ["lsn"], last_id=-1, partitions=partitions)
+    return numbered.withColumnRenamed("id", "offset")
+
+
 def _json(struct: Column) -> Column:
-    # Null fields are written: "before":null is part of an envelope.
-    return F.to_json(struct, {"ignoreNullFields": "false"})
+    # Null fields are written: "before":null is part of an envelope. The text of a struct is
+    # never null; said so, a filter on that is dropped rather than writing the text for it.
+    return F.coalesce(F.to_json(struct, {"ignoreNullFields": "false"}), F.lit(""))
 
 
 def _message(payload: Column, wrapped: bool, schema: str) -> Column:
@@ -220,8 +259,9 @@ def to_records(
 ) -> DataFrame:
     """Changes of one table to change records.
 
-    ``lsn`` gives the offset: it rises with the table's changes, and offsets may have gaps, so
-    nothing has to be sorted or numbered. All changes of a key go to one topic partition.
+    A column ``offset`` gives the offset (see ``with_offsets``). Without it ``lsn`` does: offsets may
+    have gaps, so where every change has a position of its own nothing has to be sorted or
+    numbered. All changes of a key go to one topic partition.
     Zone-less timestamps are taken as UTC.
     With ``tombstones`` each delete is followed by a record of the same key without a value.
     """
@@ -245,16 +285,15 @@ def to_records(
     value = _message(_json(payload), wrapped, schema).cast("binary")
     key = _message(_json(F.struct(*keys)), wrapped, "null").cast("binary")
     partition = F.pmod(F.hash(*keys), F.lit(partitions)).cast("int") if partitions > 1 else F.lit(0)
-    # A generator here too, so that a filter on the value does not write the JSON twice.
-    values = F.array(value)
+    rows, offset = changes, F.col("offset" if "offset" in changes.columns else "lsn")
     if tombstones:
         both = F.array(value, F.lit(None).cast("binary"))
-        values = F.when(F.col("op") == DELETE_OP, both).otherwise(values)
-    rows = changes.select("*", F.posexplode(values).alias("step", "value"))
-    offset = F.col("lsn") * 2 + F.col("step") if tombstones else F.col("lsn")
+        values = F.when(F.col("op") == DELETE_OP, both).otherwise(F.array(value))
+        rows = changes.select("*", F.posexplode(values).alias("step", "value"))
+        value, offset = F.col("value"), offset * 2 + F.col("step")
     return rows.select(
         key.alias("key"),
-        "value",
+        value.alias("value"),
         F.lit(spec.topic).alias("topic"),
         partition.alias("partition"),
         offset.cast("bigint").alias("offset"),

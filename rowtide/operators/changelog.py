@@ -19,7 +19,11 @@ AFTER_OPS = ("c", "u", "r")
 DELETE_OP = "d"
 
 # Columns a log can keep beside its own, to order changes or to trace them.
-EXTRAS = ("lsn", "source", "topic", "partition", "offset", "timestamp")
+EXTRAS = ("lsn", "position", "source", "topic", "partition", "offset", "timestamp")
+
+# Extras that are read of the envelope's source part. A position that is no whole number has no
+# ``lsn``; ``position`` keeps it as text.
+_OF_SOURCE = ("lsn", "position", "source")
 
 
 def raw_text(records: DataFrame, *extras: str) -> DataFrame:
@@ -35,17 +39,21 @@ def drop_tombstones(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col("json").isNotNull())
 
 
-def _payload_fields(spec: TableSpec, extras: tuple[str, ...]) -> list[T.StructField]:
+def _payload_fields(
+    spec: TableSpec, extras: tuple[str, ...], columns: list[str] | None = None
+) -> list[T.StructField]:
     image = spec.image_type()
+    if columns is not None:
+        image = T.StructType([f for f in image if f.name in columns])
+    images = [T.StructField(side, image) for side in ("before", "after") if image.fields]
     fields = [
-        T.StructField("before", image),
-        T.StructField("after", image),
+        *images,
         T.StructField("op", T.StringType()),
         T.StructField("ts_ms", T.LongType()),
     ]
     if "source" in extras:
         fields.append(T.StructField("source", T.MapType(T.StringType(), T.StringType())))
-    elif "lsn" in extras:
+    elif "lsn" in extras or "position" in extras:
         # As text, so that a number and a quoted number are both accepted.
         position = T.StructType([T.StructField("lsn", T.StringType())])
         fields.append(T.StructField("source", position))
@@ -59,11 +67,15 @@ def key_schema(spec: TableSpec, strict_wrapped: bool = False) -> T.StructType:
 
 
 def envelope_schema(
-    spec: TableSpec, strict_wrapped: bool = False, extras: tuple[str, ...] = ()
+    spec: TableSpec,
+    strict_wrapped: bool = False,
+    extras: tuple[str, ...] = (),
+    columns: list[str] | None = None,
 ) -> T.StructType:
     """What is read of a value. The wrapped form has the envelope under ``payload``, the plain
-    form at the root; one schema takes both. The ``schema`` part is not read at all."""
-    payload = _payload_fields(spec, extras)
+    form at the root; one schema takes both. The ``schema`` part is not read at all, nor are
+    columns of the row images that are not asked for."""
+    payload = _payload_fields(spec, extras, columns)
     wrapped = [T.StructField("payload", T.StructType(payload))]
     return T.StructType(wrapped if strict_wrapped else wrapped + payload)
 
@@ -74,6 +86,7 @@ def parse(
     *,
     strict_wrapped: bool = False,
     extras: tuple[str, ...] = (),
+    columns: list[str] | None = None,
     corrupt_column: str | None = None,
 ) -> DataFrame:
     """Add the parsed key ``k`` and envelope ``e``.
@@ -81,7 +94,7 @@ def parse(
     Both are parsed inside a generator. A filter on the result then stays above the parse;
     over a plain projection Catalyst would push a second copy of the parse below it.
     """
-    envelope = envelope_schema(spec, strict_wrapped, extras)
+    envelope = envelope_schema(spec, strict_wrapped, extras, columns)
     options = {}
     if corrupt_column:
         envelope = envelope.add(corrupt_column, T.StringType())
@@ -131,6 +144,8 @@ def typed(value: Column, field: Field, precision: str, on_overflow: str) -> Colu
         return decode_decimal(value, field.precision, field.scale, on_overflow)
     if field.wire == "timestamp":
         return from_micros(value, precision)
+    if field.wire == "date":
+        return F.date_from_unix_date(value)
     return value
 
 
@@ -142,16 +157,20 @@ def flatten(
     extras: tuple[str, ...] = (),
     precision: str = "second",
     on_overflow: str = "fail",
+    columns: list[str] | None = None,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Parsed records to the columns of the log."""
-    op, before, after, ts_ms = (
-        envelope_part(name, strict_wrapped) for name in ("op", "before", "after", "ts_ms")
-    )
+    fields = [f for f in spec.fields if columns is None or f.name in columns]
+    op, ts_ms = (envelope_part(name, strict_wrapped) for name in ("op", "ts_ms"))
+    images = []
+    if fields:
+        before, after = (envelope_part(name, strict_wrapped) for name in ("before", "after"))
+        images.append(row_image(op, before, after).alias("image"))
     picked = parsed.select(
         *(key_part(n, strict_wrapped).alias(f"pk_{n}") for n in spec.key),
         op.alias("op"),
-        row_image(op, before, after).alias("image"),
+        *images,
         from_millis(ts_ms).alias("event_ts"),
         *_extra_columns(extras, strict_wrapped),
         *carry,
@@ -161,7 +180,7 @@ def flatten(
         "op",
         *(
             typed(F.col(f"image.{f.name}"), f, precision, on_overflow).alias(f.name)
-            for f in spec.fields
+            for f in fields
         ),
         "event_ts",
         delete_flag(F.col("op")).alias("is_deleted"),
@@ -176,6 +195,8 @@ def _extra_columns(extras: tuple[str, ...], strict_wrapped: bool) -> list[Column
         if name == "lsn":
             source = envelope_part("source", strict_wrapped)
             columns.append(source["lsn"].try_cast("bigint").alias("lsn"))
+        elif name == "position":
+            columns.append(envelope_part("source", strict_wrapped)["lsn"].alias("position"))
         elif name == "source":
             columns.append(envelope_part("source", strict_wrapped).alias("source"))
         else:
@@ -191,21 +212,26 @@ def decode(
     precision: str = "second",
     on_overflow: str = "fail",
     extras: tuple[str, ...] = (),
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """Change records of one table to its change log.
 
     An update adds a row and a delete adds a row marked ``is_deleted``; tombstones and values
     without an envelope are left out (``rejects`` reports them). ``strict_wrapped`` takes the
     ``{"schema", "payload"}`` form only. ``precision`` is that of the table's own timestamps.
-    ``extras`` appends any of ``lsn, source, topic, partition, offset, timestamp``.
+    ``extras`` appends any of ``lsn, position, source, topic, partition, offset, timestamp``.
+    ``columns`` names the table's columns that are needed; the parser does not read the others.
     """
     extras = tuple(extras)
     unknown = set(extras) - set(EXTRAS)
     if unknown:
         raise ValueError(f"unknown extra columns {sorted(unknown)}")
-    kept = [name for name in extras if name not in ("lsn", "source")]
+    missing = set(columns or ()) - set(spec.columns)
+    if missing:
+        raise ValueError(f"{sorted(missing)} are not columns of {spec.name!r}")
+    kept = [name for name in extras if name not in _OF_SOURCE]
     raw = drop_tombstones(raw_text(records, *kept))
-    parsed = parse(raw, spec, strict_wrapped=strict_wrapped, extras=extras)
+    parsed = parse(raw, spec, strict_wrapped=strict_wrapped, extras=extras, columns=columns)
     return flatten(
         parsed.filter(has_envelope(strict_wrapped)),
         spec,
@@ -213,4 +239,5 @@ def decode(
         extras=extras,
         precision=precision,
         on_overflow=on_overflow,
+        columns=columns,
     )

@@ -60,9 +60,13 @@ def null_violations(table: DataFrame, spec: TableSpec) -> DataFrame:
 def precision_violations(
     table: DataFrame, column: str, precision: int = 10, scale: int = 2
 ) -> DataFrame:
-    """Rows whose value does not fit ``NUMERIC(precision, scale)`` without loss."""
+    """Rows whose value ``NUMERIC(precision, scale)`` would not take as it is, with
+    ``violation``: ``overflow`` where the source refuses it, ``rounded`` where it rounds it."""
     fitted = F.col(column).try_cast(f"decimal({precision},{scale})")
     kind = table.schema[column].dataType
-    return table.filter(
-        F.col(column).isNotNull() & ~F.coalesce(fitted.cast(kind) == F.col(column), F.lit(False))
+    violation = (
+        F.when(F.col(column).isNull(), None)
+        .when(fitted.isNull(), "overflow")
+        .when(fitted.cast(kind) != F.col(column), "rounded")
     )
+    return table.withColumn("violation", violation).filter(F.col("violation").isNotNull())

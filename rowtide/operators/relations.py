@@ -51,9 +51,11 @@ def insert_if_absent(
 ) -> DataFrame:
     """Incoming rows to add: the first arrival of each key that the table does not hold.
 
-    Repeats are reduced before the shuffle on both sides, and the anti join works on the
-    partitioning that the reductions leave. Rows without the key cannot be inserted;
-    ``null_violations`` lists them.
+    The table's keys are first cut to those that arrive, by a semi join whose other side, the
+    arriving keys, is the small one: where it is small enough Spark broadcasts it and the
+    table is not shuffled, else its keys alone are. The few that are held then leave the
+    arrivals by an anti join. Repeats are reduced before the shuffle. Rows without the key
+    cannot be inserted; ``null_violations`` lists them.
     """
     columns = incoming.columns
     others = [c for c in columns if c != unique]
@@ -64,5 +66,6 @@ def insert_if_absent(
         .agg(first.alias("_row"))
         .select(unique, "_row.*")
     )
-    held = existing.select(unique).distinct()
+    arriving = incoming.select(unique).dropna().distinct()
+    held = existing.select(unique).join(arriving, unique, "left_semi").distinct()
     return firsts.join(held, unique, "left_anti").select(*columns)

@@ -8,22 +8,46 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from rowtide.functions import utc_date
 from rowtide.operators.changelog import AFTER_OPS, DELETE_OP
 from rowtide.specs import TableSpec
 
 # What orders the changes of one key, strongest first. The log position decides; arrival
-# on the topic settles changes that share one, the event time serves logs without either.
+# on the topic settles changes that share one, and then the event time.
 ORDER = ("lsn", "offset", "event_ts")
+TRUNCATE_OP = "t"
+
+
+def _order_names(log: DataFrame, order_by: tuple[str, ...] | None) -> tuple[str, ...]:
+    if order_by:
+        return tuple(order_by)
+    if "lsn" not in log.columns:
+        raise ValueError("the log has no lsn to order changes by; keep it, or give order_by")
+    return tuple(n for n in ORDER if n in log.columns)
 
 
 def _order(log: DataFrame, order_by: tuple[str, ...] | None) -> Column:
     """The order as one value that is never null, since ``max_by`` passes over nulls."""
-    names = order_by or tuple(n for n in ORDER if n in log.columns)
+    names = _order_names(log, order_by)
     if len(names) == 1 and log.schema[names[0]].dataType.typeName() == "long":
         return F.coalesce(F.col(names[0]), F.lit(-(2**63)))
     return F.struct(*names)
 
 
+def _since_truncate(log: DataFrame, order: Column) -> DataFrame:
+    """The changes after the last truncate of the table, or all of them if there is none.
+
+    The truncate's place is one value, found by a scan of the operations and the order alone. A
+    stream cannot look ahead for it and fails on a truncate instead of keeping rows that are gone.
+    """
+    truncate = F.col("op") == TRUNCATE_OP
+    if log.isStreaming:
+        stop = F.raise_error(F.lit("a truncate in the log: build the state anew from a batch"))
+        return log.filter(F.when(truncate, stop.cast("boolean")).otherwise(F.lit(True)))
+    last = log.filter(truncate).agg(F.max(order).alias("last")).scalar()
+    return log.filter(last.isNull() | (order > last))
+
+
 def keyed(log: DataFrame, spec: TableSpec) -> DataFrame:
     """Changes that say something of a row: a known operation, and a key in the record's key
     or, where that is missing, in the row image."""
@@ -39,16 +63,18 @@ def last_changes(
     columns: list[str] | None = None,
     order_by: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """The last change of every key, deletes included.
+    """The last change of every key since the last truncate, deletes included.
 
     An aggregate, not a window: each task reduces its rows to one per key before the shuffle,
-    so a key with very many changes costs no more than any other, and it runs on a stream too.
+    so a key with very many changes is spread over the tasks that read it, and it runs on a stream
+    too. The rows are sorted for that on either side of the shuffle; ``compacted`` keeps the log
+    that has to be sorted short.
     """
     carried = spec.columns if columns is None else columns
     order = _order(log, order_by)
     last = F.max_by(F.struct(F.col("is_deleted"), *carried), order)
     return (
-        keyed(log, spec)
+        keyed(_since_truncate(log, order), spec)
         .groupBy(*spec.key_columns)
         .agg(last.alias("row"))
         .select(*spec.key_columns, "row.*")
@@ -62,15 +88,40 @@ def current_state(
     columns: list[str] | None = None,
     order_by: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """The table as its log leaves it: the last change per key, without deleted rows.
+    """The table as its log leaves it: the last change per key, without deleted rows, and
+    nothing from before a truncate.
 
     ``columns`` names the columns that are needed; the others are neither read nor shuffled.
+    The log must have its positions (``lsn``), unless ``order_by`` says what else orders it.
     """
     carried = spec.columns if columns is None else columns
     last = last_changes(log, spec, columns=carried, order_by=order_by)
     return last.filter(~F.col("is_deleted")).select(*carried)
 
 
+def compacted(
+    log: DataFrame, spec: TableSpec, *, order_by: tuple[str, ...] | None = None
+) -> DataFrame:
+    """The log cut to what later states need: the last change of every key, and the last
+    truncate. It is a log again, so ``current_state`` of it is that of the whole log."""
+    order = _order(log, order_by)
+    last = F.max_by(F.struct(*log.columns), order).alias("row")
+    rows = keyed(_since_truncate(log, order), spec).groupBy(*spec.key_columns).agg(last)
+    truncates = log.filter(F.col("op") == TRUNCATE_OP).agg(last).filter(F.col("row").isNotNull())
+    return rows.select("row.*").unionByName(truncates.select("row.*"))
+
+
+def fold(
+    earlier: DataFrame, later: DataFrame, spec: TableSpec, *, order_by: tuple[str, ...] | None = None
+) -> DataFrame:
+    """An earlier fold (or log) and the slice of the log that came since, as one compacted log.
+
+    Only the slice and the earlier fold are read, however long the log has grown. A slice may
+    overlap what was folded before: the order decides, not the arrival.
+    """
+    return compacted(earlier.unionByName(later), spec, order_by=order_by)
+
+
 def state_for_sql(
     log: DataFrame, spec: TableSpec, *, order_by: tuple[str, ...] | None = None
 ) -> DataFrame:
@@ -80,10 +131,10 @@ def state_for_sql(
     at an aggregate of whole rows. The limit of one row per key is applied in each task before
     the shuffle, too. Windows of this kind do not run on streams.
     """
-    names = order_by or tuple(n for n in ORDER if n in log.columns)
+    names = _order_names(log, order_by)
     latest_first = W.partitionBy(*spec.key_columns).orderBy(*map(F.desc_nulls_last, names))
     return (
-        keyed(log, spec)
+        keyed(_since_truncate(log, _order(log, order_by)), spec)
         .withColumn("_place", F.row_number().over(latest_first))
         .filter((F.col("_place") == 1) & ~F.col("is_deleted"))
         .select(*spec.columns)
@@ -98,8 +149,9 @@ def count_rows(
     Carries only the delete flag, so with ``lsn`` as the only order the aggregate stays a hash
     aggregate on fixed-width buffers.
     """
-    flag = F.max_by("is_deleted", _order(log, order_by)).alias("is_deleted")
-    last = keyed(log, spec).groupBy(*spec.key_columns).agg(flag)
+    order = _order(log, order_by)
+    flag = F.max_by("is_deleted", order).alias("is_deleted")
+    last = keyed(_since_truncate(log, order), spec).groupBy(*spec.key_columns).agg(flag)
     return last.filter(~F.col("is_deleted")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -115,13 +167,33 @@ def state_as_of(
     moment = at if isinstance(at, Column) else F.lit(at)
     until = F.col("event_ts") <= moment
     if "event_date" in log.columns:
-        until = until & (F.col("event_date") <= F.to_date(moment))
+        until = until & (F.col("event_date") <= utc_date(moment.cast("timestamp")))
     return current_state(log.filter(until), spec, columns=columns, order_by=order_by)
 
 
+def change_place(log: DataFrame) -> Column:
+    """What tells a change from another when its record is sent again: its position, as a number
+    or else as text. A record without any is told by where it stands on the topic."""
+    position = [F.col(n).cast("string") for n in ("lsn", "position") if n in log.columns]
+    position = F.coalesce(*position) if position else F.lit(None).cast("string")
+    arrival = [n for n in ("topic", "partition", "offset") if n in log.columns]
+    if "offset" in arrival:
+        place = F.concat_ws("/", F.lit("arrival"), *arrival)
+    elif log.isStreaming:
+        place = F.raise_error(F.lit("a change without position; carry partition and offset"))
+    else:
+        place = F.concat(F.lit("row/"), F.monotonically_increasing_id().cast("string"))
+    return F.when(position.isNotNull(), F.concat(F.lit("at/"), position)).otherwise(
+        place.cast("string")
+    )
+
+
 def drop_redelivered(log: DataFrame, spec: TableSpec) -> DataFrame:
     """One row per change, however often its record was sent.
 
-    A record sent again has a new offset but the position of the change it speaks of.
+    A record sent again has a new offset but the position of the change it speaks of. A change
+    without a position is no repeat of another: it is dropped only if its topic, partition and
+    offset are in the log and the same, and kept otherwise.
     """
-    return log.dropDuplicates([*spec.key_columns, "op", "lsn"])
+    placed = log.withColumn("_change", change_place(log))
+    return placed.dropDuplicates([*spec.key_columns, "op", "_change"]).drop("_change")

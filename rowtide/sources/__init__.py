@@ -1,5 +1,6 @@
 from rowtide.sources.lake import (
     data_files,
+    range_options,
     read_source_table,
     read_table,
     with_event_date,
@@ -8,6 +9,7 @@ from rowtide.sources.lake import (
 from rowtide.sources.records import (
     RECORD_TYPE,
     in_topic_order,
+    kept_topics,
     kafka_options,
     of_table,
     peek,
@@ -22,8 +24,10 @@ __all__ = [
     "data_files",
     "in_topic_order",
     "kafka_options",
+    "kept_topics",
     "of_table",
     "peek",
+    "range_options",
     "read_replay",
     "read_source_table",
     "read_table",

@@ -5,18 +5,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowtide.functions import utc_date
+
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
 
 
-def read_source_table(spark: SparkSession, url: str, table: str, **options) -> DataFrame:
-    """A table of the source database over JDBC.
+def read_source_table(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    *,
+    key: str,
+    partitions: int,
+    bounds: tuple[int, int] | None = None,
+    **options,
+) -> DataFrame:
+    """A table of the source database over JDBC, read in ``partitions`` ranges of a numeric key.
 
-    Pass ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions`` to read it
-    in parallel; without them JDBC gives a single partition.
+    The ranges divide ``bounds``, which are asked of the database where they are not given; rows
+    outside them are read too, in the first and last range.
     """
-    return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
+    reader = spark.read.format("jdbc").options(url=url, **options)
+    if bounds is None:
+        ends = f"(SELECT MIN({key}) AS low, MAX({key}) AS high FROM {table}) AS ends"
+        row = reader.option("dbtable", ends).load().first()
+        bounds = (row[0] or 0, row[1] or 0)
+    return reader.options(**range_options(table, key, partitions, bounds)).load()
+
+
+def range_options(table: str, key: str, partitions: int, bounds: tuple[int, int]) -> dict[str, str]:
+    """JDBC options that read a table in ranges of its key."""
+    low, high = bounds
+    return {
+        "dbtable": table,
+        "partitionColumn": key,
+        "lowerBound": str(low),
+        "upperBound": str(max(high, low + 1)),
+        "numPartitions": str(partitions),
+    }
 
 
 def data_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -31,7 +59,8 @@ def data_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 
 
 def with_event_date(log: DataFrame) -> DataFrame:
-    return log.withColumn("event_date", F.to_date("event_ts"))
+    """Adds the event's date in UTC, which does not depend on the session's zone."""
+    return log.withColumn("event_date", utc_date(F.col("event_ts")))
 
 
 def write_by_date(

@@ -103,9 +103,15 @@ def of_table(records: DataFrame, spec) -> DataFrame:
 
 
 def topics(records: DataFrame) -> DataFrame:
+    """Topics that hold records. Keys and values are not needed for that."""
     return records.select("topic").distinct()
 
 
+def kept_topics(spark: SparkSession, path: str) -> DataFrame:
+    """Topics below a replay folder, by the names of their folders; no record is read."""
+    return read_replay(spark, path, streaming=False).select("topic").distinct()
+
+
 def peek(records: DataFrame, topic: str, n: int) -> DataFrame:
     """The first ``n`` messages of a topic, from its beginning, as text."""
     return (

@@ -18,12 +18,19 @@ from pyspark.sql import types as T
 #   text       JSON string
 #   decimal    base64 of the big-endian two's-complement unscaled integer
 #   timestamp  64-bit microseconds since the epoch (zone-less source column)
+#   date       32-bit days since the epoch
+#   short, double, float, boolean  as JSON has them
 WIRE_TYPES = {
     "int": T.IntegerType(),
     "long": T.LongType(),
     "text": T.StringType(),
     "decimal": T.BinaryType(),
     "timestamp": T.LongType(),
+    "date": T.IntegerType(),
+    "short": T.ShortType(),
+    "double": T.DoubleType(),
+    "float": T.FloatType(),
+    "boolean": T.BooleanType(),
 }
 
 
@@ -52,6 +59,8 @@ class Field:
             return T.DecimalType(self.precision, self.scale)
         if self.wire == "timestamp":
             return T.TimestampType()
+        if self.wire == "date":
+            return T.DateType()
         return self.wire_type
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowtide import ORDERS, USERS, TableSpec
-from rowtide.operators import connect_schema, decode, rejects
+from rowtide.operators import connect_schema, decode, judged, log_of, rejects, rejects_of
 from rowtide.sources import RECORD_TYPE
 
 IMAGE = {"id": 1, "user_id": 2, "product_name": "Anvil", "amount": "MDk=", "created_at": 1700000000123456}
@@ -185,6 +185,34 @@ def test_overflow_is_rejected(spark):
     assert reasons(spark, image(amount=big)) == {0: "decimal_overflow"}
 
 
+def test_nulls_where_the_table_has_none(spark):
+    values = [image(product_name=None), wrapped(op="d", before=STUB, after=None), image(amount=None)]
+    assert reasons(spark, *values) == {0: "null_field", 2: "null_field"}
+
+
+def test_log_and_rejects_are_one_reading(spark):
+    values = [wrapped(), "{oops", wrapped(op="t", after=None), None, image(id="x")]
+    rows = judged(records(spark, values), ORDERS, extras=("lsn",))
+    parts = {r.offset: (r.part, r.reason, r.json) for r in rows.collect()}
+    assert parts == {
+        0: ("accepted", None, None), 1: ("rejected", "malformed", "{oops"),
+        2: ("flagged", "truncate", values[2]), 3: ("rejected", "tombstone", None), 4: ("flagged", "bad_field", values[4]),
+    }
+    assert rejects_of(rows).count() == 4
+    log = log_of(rows, ORDERS)
+    assert log.columns == [*ORDERS.log_type().fieldNames(), "lsn"]
+    plain = decode(records(spark, values), ORDERS, extras=("lsn",), on_overflow="null")
+    assert sorted(map(repr, log.collect())) == sorted(map(repr, plain.collect()))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 2 and "Exchange" not in plan
+
+
+def test_positions_that_are_no_numbers_are_kept_as_text(spark):
+    values = [wrapped(source={"lsn": "binlog.3:77"}), wrapped()]
+    rows = decode(records(spark, values), ORDERS, extras=("lsn", "position")).collect()
+    assert [(r.lsn, r.position) for r in rows] == [(None, "binlog.3:77"), (7, "7")]
+
+
 def test_rejects_keep_whole_texts(spark):
     long = "x" * 100_000
     row = rejects(records(spark, [long]), ORDERS).first()

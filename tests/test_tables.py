@@ -113,6 +113,27 @@ def test_insert_if_absent_with_a_hot_key(spark):
     assert "partial_min_by" in plan
 
 
+def test_a_large_table_is_not_shuffled_for_its_absent_rows(spark, tmp_path):
+    """With few arrivals these are broadcast; else the table's keys alone are shuffled."""
+    path = str(tmp_path / "users")
+    spark.range(1000).select("id", F.col("id").cast("string").alias("email"), F.lit("n").alias("full_name")).write.parquet(path)
+    existing = spark.read.parquet(path)
+    incoming = spark.createDataFrame([(1, "5", "x"), (2, "new", "y")], "arrival int, email string, full_name string")
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(threshold)
+    try:
+        for value, expected in (("10MB", "BroadcastHashJoin"), ("-1", "SortMergeJoin")):
+            spark.conf.set(threshold, value)
+            got = insert_if_absent(existing, incoming, "email", ["arrival"])
+            assert [r.full_name for r in got.collect()] == ["y"]
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert f"{expected}" in plan and "LeftSemi" in plan
+            scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+            assert scans and all("ReadSchema: struct<email:string>" in line for line in scans)
+    finally:
+        spark.conf.set(threshold, old)
+
+
 def test_constraints(spark):
     users = spark.createDataFrame(
         [(1, "Ann", "a@x", datetime(2024, 1, 1)), (1, None, "b@x", datetime(2024, 1, 1)),
@@ -131,7 +152,8 @@ def test_constraints(spark):
 
 def test_precision(spark):
     df = spark.createDataFrame([(1, 1.25), (2, 1.255), (3, 1e9), (4, None), (5, -99999999.99)], "id int, x double")
-    assert ids(precision_violations(df, "x")) == [2, 3]
+    got = sorted((r.id, r.violation) for r in precision_violations(df, "x").collect())
+    assert got == [(2, "rounded"), (3, "overflow")]
 
 
 def test_generated_users(spark):
