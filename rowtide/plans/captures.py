@@ -39,6 +39,11 @@ def two_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return table.filter(status != "P").drop("o_orderstatus"), new.drop("o_orderstatus")
 
 
+_SIDES = ", ".join(
+    f"{side}.{c} AS {side}_{c}" for side in ("old", "new") for c in td.ORDERS.columns[1:]
+)
+
+
 @query(
     f"""
 WITH t AS ({sql.ORDERS}),
@@ -47,7 +52,7 @@ new AS (SELECT * REPLACE (CAST(amount + CASE product_name WHEN '1-URGENT' THEN 1
                                AS DECIMAL(10,2)) AS amount)
         FROM t WHERE NOT (o_orderstatus = 'F' AND product_name = '5-LOW'))
 SELECT CASE WHEN old.id IS NULL THEN 'c' WHEN new.id IS NULL THEN 'd' ELSE 'u' END AS op,
-       coalesce(new.id, old.id) AS id, old.amount AS old_amount, new.amount AS new_amount
+       coalesce(new.id, old.id) AS id, {_SIDES}
 FROM old FULL JOIN new ON old.id = new.id
 WHERE old.amount IS DISTINCT FROM new.amount"""
 )
@@ -58,8 +63,39 @@ def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.select(
         "op",
         F.coalesce("after.id", "before.id").alias("id"),
-        F.col("before.amount").alias("old_amount"),
-        F.col("after.amount").alias("new_amount"),
+        *(
+            F.col(f"{side}.{c}").alias(f"{name}_{c}")
+            for side, name in (("before", "old"), ("after", "new"))
+            for c in td.ORDERS.columns[1:]
+        ),
+    )
+
+
+@query(
+    f"""
+WITH t AS ({sql.ORDERS}),
+old AS (SELECT id FROM t UNION ALL SELECT id FROM t WHERE product_name = '2-HIGH')
+SELECT id, 'old' AS version, count(*) AS n_rows FROM old GROUP BY id HAVING count(*) > 1
+UNION ALL SELECT NULL, 'new', count(*) FROM t WHERE product_name = '5-LOW'"""
+)
+def diff_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that a comparison of two versions leaves out: some stand twice in the old version, and
+    some are missing in the new one."""
+    table = td.orders(spark, sf_dir)
+    product = F.col("product_name")
+    old = table.unionByName(table.filter(product == "2-HIGH"))
+    new = table.withColumn("id", F.when(product != "5-LOW", F.col("id")))
+    return capture.diff_repeats(old, new, td.ORDERS)
+
+
+@query("SELECT count(*) AS n_records, count(*) AS n_offsets FROM customer")
+def snapshot_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of a snapshot, whose changes share one position, and their different offsets."""
+    at = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+    events = capture.snapshot_events(td.users(spark, sf_dir), td.USERS, at, F.lit(0))
+    records = capture.to_records(capture.with_offsets(events), td.USERS)
+    return records.agg(
+        F.count(F.lit(1)).alias("n_records"), F.count_distinct("offset").alias("n_offsets")
     )
 
 

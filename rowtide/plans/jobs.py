@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rowtide.sources import read_replay, read_topics
 from rowtide.specs import ORDERS, USERS, TableSpec
-from rowtide.streaming import await_any, start_changelogs, start_rejects
+from rowtide.streaming import await_any, start_changelogs
 
 TABLES = {spec.name: spec for spec in (ORDERS, USERS)}
 
@@ -26,11 +26,16 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--tables", required=True, help="folder of the change logs")
     parser.add_argument("--checkpoints", required=True, help="folder of the progress")
     parser.add_argument("--by-date", action="store_true", help="one folder per event date")
-    parser.add_argument("--rejects", help="folder to keep rejected records in")
+    parser.add_argument(
+        "--rejects", action="store_true", help="keep rejected records beside the log"
+    )
     parser.add_argument("--format", default="parquet", help="parquet, or delta with its jar")
     parser.add_argument("--precision", default="second", choices=("second", "micro"))
     parser.add_argument("--on-overflow", default="fail", choices=("fail", "null"))
-    parser.add_argument("--extra", action="append", default=[], help="column to keep, as lsn")
+    parser.add_argument(
+        "--extra", action="append", default=[], help="column to keep beside lsn, as position"
+    )
+    parser.add_argument("--without-lsn", action="store_true", help="keep no log position")
     parser.add_argument("--strict-wrapped", action="store_true")
     when = parser.add_mutually_exclusive_group()
     when.add_argument("--every", help="start a batch this often, as '30 seconds'")
@@ -42,7 +47,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 
 
 def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
-    """Start one query per table, and one for its rejects if they are to be kept."""
+    """Start one query per table. Rejects, if they are to be kept, come out of the same reading.
+
+    The log position is kept, since states are ordered by it, unless it is declined.
+    """
     specs = [TABLES[name] for name in args.table] + [TableSpec.from_file(p) for p in args.spec]
 
     def records(spec: TableSpec) -> DataFrame:
@@ -66,30 +74,18 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
         "strict_wrapped": args.strict_wrapped,
         "precision": args.precision,
         "on_overflow": args.on_overflow,
-        "extras": tuple(args.extra),
+        "extras": tuple(dict.fromkeys([*([] if args.without_lsn else ["lsn"]), *args.extra])),
     }
-    started = start_changelogs(
+    return start_changelogs(
         records,
         specs,
         args.tables,
         args.checkpoints,
         decode_options=decoding,
         by_date=args.by_date,
+        with_rejects=args.rejects,
         **sink,
     )
-    if args.rejects:
-        started += [
-            start_rejects(
-                records(spec),
-                spec,
-                f"{args.rejects}/{spec.name}",
-                f"{args.checkpoints}/{spec.name}-rejects",
-                strict_wrapped=args.strict_wrapped,
-                **sink,
-            )
-            for spec in specs
-        ]
-    return started
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import replace
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.functions import decode_decimal, encode_decimal, from_micros, from_millis
@@ -60,7 +62,7 @@ def damaged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Product, damage and whether the delete is key-only decide what becomes of a record. A
 # key-only delete names no product and stays whole.
-_DAMAGED = f"""{sql.ORDERS_TOPIC},
+DAMAGED_SQL = f"""{sql.ORDERS_TOPIC},
 damaged AS (
 SELECT log.*, topic.key_str, topic.json AS whole,
        coalesce(log.product_name, '') AS product
@@ -69,7 +71,7 @@ FROM log JOIN topic ON log.lsn = topic."offset")
 
 
 @query(
-    f"""{_DAMAGED} SELECT lsn AS "offset", key_str FROM damaged WHERE product <> '1-URGENT'"""
+    f"""{DAMAGED_SQL} SELECT lsn AS "offset", key_str FROM damaged WHERE product <> '1-URGENT'"""
 )
 def tombstone_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records that have a value."""
@@ -78,7 +80,7 @@ def tombstone_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""{_DAMAGED}
+    f"""{DAMAGED_SQL}
 SELECT pk_id, CASE WHEN bad THEN 'x' ELSE op END AS op, CASE WHEN NOT bad THEN id END AS id,
        CASE WHEN NOT bad THEN user_id END AS user_id,
        CASE WHEN NOT bad THEN product_name END AS product_name,
@@ -93,7 +95,7 @@ def bad_envelope_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""{_DAMAGED}
+    f"""{DAMAGED_SQL}
 SELECT 'appdb.public.orders' AS topic, lsn AS "offset", key_str,
        CASE product WHEN '2-HIGH' THEN left(whole, 40)
                     WHEN '3-MEDIUM' THEN '{{"schema":null,"payload":null}}'
@@ -109,6 +111,58 @@ def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("topic", "offset", "key_str", "json", "reason")
 
 
+# What is wrong with the records of events: it follows kind and operation, so that each reason
+# that ``rejects`` does not show is here.
+_SPOILT = """
+CASE WHEN kind = 'click' AND op = 'c' THEN 'truncate' WHEN kind = 'view' AND op = 'c' THEN 'no_image'
+     WHEN kind = 'signup' AND op = 'r' THEN 'no_key' WHEN kind = 'purchase' AND op = 'c' THEN 'bad_field'
+     WHEN kind = 'purchase' AND op = 'u' THEN 'null_field' WHEN kind = 'error' AND op = 'c' THEN 'no_op'
+     WHEN kind = 'error' AND op = 'u' THEN 'no_envelope' END"""
+
+
+def spoilt_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = td.event_records(spark, sf_dir)
+    text = F.col("value").cast("string")
+
+    def of(kind: str, op: str) -> Column:
+        return text.contains(f'"kind":"{kind}"') & text.contains(f'"op":"{op}"')
+
+    value = (
+        F.when(of("click", "c"), F.regexp_replace(text, '"after":.*,"op":"c"', '"after":null,"op":"t"'))
+        .when(of("view", "c"), F.regexp_replace(text, '"after":.*,"op"', '"after":null,"op"'))
+        .when(of("purchase", "c"), F.regexp_replace(text, '"user_id":[0-9]+', '"user_id":"x"'))
+        .when(of("purchase", "u"), F.regexp_replace(text, r'("after":.*"user_id":)[0-9]+', "$1null"))
+        .when(of("error", "c"), F.regexp_replace(text, ',"op":"c"', ""))
+        .when(of("error", "u"), '{"hello":1}')
+        .otherwise(text)
+    )
+    key = F.when(~of("signup", "r"), F.col("key"))
+    return records.select(
+        key.alias("key"), value.cast("binary").alias("value"), *records.columns[2:]
+    )
+
+
+@query(
+    f"""{sql.EVENTS_LOG}
+SELECT lsn AS "offset", {_SPOILT} AS reason FROM log WHERE {_SPOILT} IS NOT NULL"""
+)
+def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other reasons: truncates, missing images, keys, operations and envelopes, fields of
+    the wrong type, and nulls where the table has none."""
+    return find_rejects(spoilt_events(spark, sf_dir), td.EVENTS).select("offset", "reason")
+
+
+@query(
+    f"""{sql.ORDERS_LOG}
+SELECT lsn AS "offset", 'decimal_overflow' AS reason FROM log WHERE amount IS NOT NULL"""
+)
+def reject_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts that a narrower column does not hold: every record with an image of one."""
+    fields = tuple(replace(f, precision=2, scale=2) if f.wire == "decimal" else f for f in td.ORDERS.fields)
+    narrow = replace(td.ORDERS, fields=fields)
+    return find_rejects(td.order_records(spark, sf_dir), narrow).select("offset", "reason")
+
+
 @query(
     f"""{sql.ORDERS_LOG}
 SELECT 'any' AS mode, lsn, amount FROM log
@@ -174,14 +228,14 @@ UNION ALL SELECT 'orders', o_orderkey, CAST(o_totalprice AS DECIMAL(20,2)) FROM
 def decimal_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Amounts of either sign to bytes and back."""
     amounts = (
-        td.load_spread(spark, sf_dir, "customer")
+        td.load(spark, sf_dir, "customer")
         .select(
             F.lit("customer").alias("source"),
             F.col("c_custkey").alias("id"),
             F.col("c_acctbal").cast("decimal(20,2)").alias("amount"),
         )
         .unionByName(
-            td.load_spread(spark, sf_dir, "orders").select(
+            td.load(spark, sf_dir, "orders").select(
                 F.lit("orders").alias("source"),
                 F.col("o_orderkey").alias("id"),
                 F.col("o_totalprice").cast("decimal(20,2)").alias("amount"),
@@ -191,10 +245,79 @@ def decimal_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return amounts.withColumn("amount", decode_decimal(encode_decimal(F.col("amount"))))
 
 
+SCALES = (0, 2, 8, 10, 18)
+
+
+def _scales_sql(kind: str) -> str:
+    narrow = {
+        0: "c_custkey || ''",
+        **{s: f"c_custkey % 1000 || '.' || lpad(CAST(c_nationkey AS VARCHAR), {s}, '7')" for s in SCALES[1:]},
+        18: "'0.' || lpad(CAST(c_custkey AS VARCHAR), 18, '7')",
+    }
+    wide = {
+        s: "o_orderkey || '1234567890123'" + (f" || '.' || lpad(CAST(o_custkey AS VARCHAR), {s}, '3')" if s else "")
+        for s in SCALES
+    }
+    texts, sign, digits = {
+        "narrow": (narrow, "CASE WHEN c_acctbal < 0 THEN '-' ELSE '' END", 18),
+        "wide": (wide, "CASE WHEN o_orderstatus = 'F' THEN '-' ELSE '' END", 38),
+    }[kind]
+    return ", ".join(
+        f"CAST({sign} || {texts[s]} AS DECIMAL({digits},{s})) AS s{s}" for s in SCALES
+    )
+
+
+@query(
+    f"""
+SELECT 'customer' AS source, c_custkey AS id,
+       {", ".join(f"CAST(s{s} AS DECIMAL(38,{s})) AS s{s}" for s in SCALES)}
+FROM (SELECT c_custkey, {_scales_sql("narrow")} FROM customer)
+UNION ALL SELECT 'orders', o_orderkey, {", ".join(f"s{s}" for s in SCALES)}
+FROM (SELECT o_orderkey, {_scales_sql("wide")} FROM orders)"""
+)
+def decimal_scales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decimals of 18 and of 38 digits to bytes and back, at small and large scales."""
+
+    def signed(negative: Column, whole: Column, fraction: Column | None) -> Column:
+        parts = [whole] if fraction is None else [whole, F.lit("."), fraction]
+        return F.concat(F.when(negative, "-").otherwise(""), *(p.cast("string") for p in parts))
+
+    def filled(number: str, scale: int, digit: str) -> Column:
+        return F.lpad(F.col(number).cast("string"), scale, digit)
+
+    customers, orders = (td.load(spark, sf_dir, n) for n in ("customer", "orders"))
+    narrow, wide = {}, {}
+    for s in SCALES:
+        key = F.col("c_custkey")
+        small = signed(
+            F.col("c_acctbal") < 0,
+            key if s == 0 else F.lit(0) if s == 18 else key % 1000,
+            None if s == 0 else filled("c_custkey" if s == 18 else "c_nationkey", s, "7"),
+        )
+        large = signed(
+            F.col("o_orderstatus") == "F",
+            F.concat(F.col("o_orderkey").cast("string"), F.lit("1234567890123")),
+            filled("o_custkey", s, "3") if s else None,
+        )
+        for made, text, digits in ((narrow, small, 18), (wide, large, 38)):
+            made[f"s{s}"] = encode_decimal(text.cast(f"decimal({digits},{s})"), s, digits)
+    parts = []
+    for source, table, key, made in (
+        ("customer", customers, "c_custkey", narrow),
+        ("orders", orders, "o_orderkey", wide),
+    ):
+        # In a generator, so that decoding does not take the encoding's expressions in.
+        raw = F.struct(*(c.alias(name) for name, c in made.items()))
+        encoded = table.select(F.lit(source).alias("source"), F.col(key).alias("id"), F.inline(F.array(raw)))
+        decoded = {f"s{s}": decode_decimal(F.col(f"s{s}"), 38, s) for s in SCALES}
+        parts.append(encoded.withColumns(decoded))
+    return parts[0].unionByName(parts[1])
+
+
 @query("SELECT event_id, date_trunc('second', ts) AS created_at FROM events")
 def micros_second(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Microseconds to whole seconds."""
-    table = td.load_spread(spark, sf_dir, "events")
+    table = td.load(spark, sf_dir, "events")
     return td.zoneless(
         table.select("event_id", from_micros(to_micros(F.col("ts"), True)).alias("created_at"))
     )
@@ -203,7 +326,7 @@ def micros_second(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, ts AS created_at FROM events")
 def micros_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Microseconds to timestamps, nothing lost."""
-    table = td.load_spread(spark, sf_dir, "events")
+    table = td.load(spark, sf_dir, "events")
     exact = from_micros(to_micros(F.col("ts"), True), "micro")
     return td.zoneless(table.select("event_id", exact.alias("created_at")))
 
@@ -211,7 +334,7 @@ def micros_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, date_trunc('millisecond', ts) AS event_ts FROM events")
 def millis_event_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Milliseconds to timestamps."""
-    table = td.load_spread(spark, sf_dir, "events")
+    table = td.load(spark, sf_dir, "events")
     return td.zoneless(
         table.select("event_id", from_millis(to_millis(F.col("ts"), True)).alias("event_ts"))
     )
@@ -229,7 +352,7 @@ def topic_demux(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One stream of records of two tables, split by topic, each decoded by its specification."""
     records = td.order_records(spark, sf_dir).unionByName(td.user_records(spark, sf_dir))
     logs = [
-        decode(of_table(records, spec), spec, extras=("topic",)).select(
+        decode(of_table(records, spec), spec, extras=("topic",), columns=[]).select(
             "topic", "pk_id", "op", "event_ts"
         )
         for spec in (td.ORDERS, td.USERS)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,17 +18,11 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
     def register(function: Query) -> Query:
         key = name or function.__name__
 
-        @wraps(function)
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            # The given timestamps have no zone; read and written as UTC they keep their value.
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return function(spark, sf_dir)
-
         if key in QUERIES:
             raise ValueError(f"query {key!r} is registered twice")
-        QUERIES[key] = run
+        QUERIES[key] = function
         if sql is not None:
             ORACLES[key] = sql
-        return run
+        return function
 
     return register

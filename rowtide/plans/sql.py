@@ -13,8 +13,7 @@ SELECT c_custkey AS id, c_name AS full_name, lower(c_name) || '@example.com' AS
 FROM customer"""
 
 EVENTS = """
-SELECT event_id AS id, user_id, event_type AS kind, CAST(value AS DECIMAL(10,2)) AS amount,
-       ts AS created_at
+SELECT event_id AS id, user_id, event_type AS kind, value, props, ts AS created_at
 FROM events"""
 
 # Change logs: first event, update, delete.
@@ -61,22 +60,22 @@ SELECT id, 'd', id, CASE WHEN NOT keyed THEN full_name || ' Updated' END,
 EVENTS_LOG = f"""
 WITH t AS ({EVENTS}),
 f AS (SELECT *, kind IN ('purchase', 'error') AS updated, kind = 'error' AS deleted,
-             amount < 10 AS keyed
+             value < 10 AS keyed
       FROM t),
 exact AS (
 SELECT id AS pk_id, CASE WHEN kind = 'signup' THEN 'r' ELSE 'c' END AS op, id, user_id, kind,
-       CAST(amount AS DECIMAL(20,2)) AS amount, created_at,
+       value, props, created_at,
        created_at AS event_at, false AS is_deleted, id * 10 AS lsn FROM f
 UNION ALL
-SELECT id, 'u', id, user_id, kind, CAST(amount + 1 AS DECIMAL(20,2)), created_at,
+SELECT id, 'u', id, user_id, kind, value + 1, props, created_at,
        created_at + INTERVAL 1 SECOND, false, id * 10 + 1 FROM f WHERE updated
 UNION ALL
 SELECT id, 'd', id, CASE WHEN NOT keyed THEN user_id END, CASE WHEN NOT keyed THEN kind END,
-       CASE WHEN NOT keyed THEN CAST(amount + 1 AS DECIMAL(20,2)) END,
+       CASE WHEN NOT keyed THEN value + 1 END, CASE WHEN NOT keyed THEN props END,
        CASE WHEN NOT keyed THEN created_at END,
        created_at + INTERVAL 2 SECOND, true, id * 10 + 2 FROM f WHERE deleted),
 log AS (
-SELECT pk_id, op, id, user_id, kind, amount, date_trunc('second', created_at) AS created_at,
+SELECT pk_id, op, id, user_id, kind, value, props, date_trunc('second', created_at) AS created_at,
        date_trunc('millisecond', event_at) AS event_ts, is_deleted, lsn FROM exact)
 """
 
@@ -84,7 +83,9 @@ ORDERS_COLUMNS = (
     "pk_id, op, id, user_id, product_name, amount, created_at, event_ts, is_deleted"
 )
 USERS_COLUMNS = "pk_id, op, id, full_name, email, created_at, event_ts, is_deleted"
-EVENTS_COLUMNS = "pk_id, op, id, user_id, kind, amount, created_at, event_ts, is_deleted"
+EVENTS_COLUMNS = (
+    "pk_id, op, id, user_id, kind, value, props, created_at, event_ts, is_deleted"
+)
 
 # Current tables: last change per key, deleted rows left out.
 ORDERS_STATE = f"""{ORDERS_LOG},

@@ -2,29 +2,35 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.operators.capture import to_records
 from rowtide.operators.changelog import decode
+from rowtide.operators.rejects import log_of, rejects_of
 from rowtide.plans import sql
 from rowtide.plans import testdata as td
-from rowtide.plans.logs import damaged_orders
+from rowtide.plans.logs import DAMAGED_SQL, damaged_orders
 from rowtide.plans.registry import ORACLES, query
+from rowtide.plans.states import THRESHOLD
 from rowtide.session import scratch
 from rowtide.sources import read_replay, read_table, write_replay
 from rowtide.specs import TableSpec
 from rowtide.streaming import (
     append_to_table,
+    batch_folders,
     drop_redelivered_stream,
+    fold_upserts,
     read_change_rate,
     read_current_state,
-    run_cycles,
+    start_change_alerts,
     start_change_rate,
     start_changelog,
     start_changelogs,
     start_current_state,
     start_rejects,
+    write_batches,
 )
 
 # All that is there, in as many batches as rate limits ask for, then stop.
@@ -101,24 +107,43 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return place.result()
 
 
+class Interrupted(Exception):
+    """Stands for an executor or a store that is lost in the middle of a batch."""
+
+
 @query(f"{sql.ORDERS_LOG} SELECT {sql.ORDERS_COLUMNS} FROM log")
 def stream_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Periodic ingest: each cycle brings the orders of some years and runs the job. One cycle
-    fails between the two, and the next one picks its records up."""
+    """Periodic ingest: the orders of some years arrive at a time, and a query takes them in at a
+    fixed pace. Its second batch fails after half of it is written; started again, the query
+    does that batch anew and goes on, and nothing is lost or there twice."""
     place = Replay(spark)
-    changes = td.orders_history(spark, sf_dir)
-    at = F.col("event_ts")
-    bounds = ["1900-01-01", "1997-01-01", "1999-01-01", "9999-01-01"]
-
-    def cycle(number: int) -> None:
-        first, after = (F.lit(bounds[number + i]).cast("timestamp_ntz") for i in (0, 1))
+    at, changes = F.col("event_ts"), td.orders_history(spark, sf_dir)
+    bounds = [F.lit(t).cast("timestamp_ntz") for t in ("1900-01-01", "1997-01-01", "1999-01-01", "9999-01-01")]
+    keep = batch_folders(place.table)
+    interruptions = [1]
+
+    def write(batch: DataFrame, number: int) -> None:
+        if number in interruptions:
+            interruptions.remove(number)
+            keep(batch.filter(F.col("op") == "c"), number)
+            raise Interrupted(f"batch {number}")
+        keep(batch, number)
+
+    def start():
+        log = place.log(td.ORDERS)
+        return write_batches(log, write, place.checkpoint, trigger={"processingTime": "100 milliseconds"})
+
+    query = None
+    for first, after in zip(bounds, bounds[1:], strict=False):
         place.put(to_records(changes.filter((at >= first) & (at < after)), td.ORDERS))
-        if number == 1:
-            raise RuntimeError("the job of this cycle does not start")
-        place.run_changelog(td.ORDERS)
-
-    run_cycles(cycle, cycles=3, pause=0)
-    return place.result()
+        query = query or start()
+        try:
+            query.processAllAvailable()
+        except StreamingQueryException:
+            query = start()
+            query.processAllAvailable()
+    query.stop()
+    return place.result().drop("batch_id")
 
 
 @query(f"{sql.ORDERS_STATE} SELECT id, user_id, product_name, amount, created_at FROM state")
@@ -134,6 +159,21 @@ def stream_current_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return td.zoneless(read_current_state(spark, td.ORDERS, place.table))
 
 
+@query(f"{sql.ORDERS_STATE} SELECT id, user_id, product_name, amount, created_at FROM state")
+def stream_current_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with the first run's batches folded before the second run."""
+    place = Replay(spark)
+    for number, part in enumerate(first_and_later(td.orders_history(spark, sf_dir))):
+        place.put(to_records(part, td.ORDERS))
+        log = place.log(td.ORDERS, extras=("lsn",))
+        start_current_state(
+            log, td.ORDERS, place.table, place.checkpoint, trigger=ONCE
+        ).awaitTermination()
+        if number == 0:
+            fold_upserts(spark, place.table, td.ORDERS.key_columns, upto=0)
+    return td.zoneless(read_current_state(spark, td.ORDERS, place.table))
+
+
 @query(ORACLES["change_rate"])
 def stream_change_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes per hour, counted by a stream."""
@@ -145,6 +185,63 @@ def stream_change_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return td.zoneless(read_change_rate(spark, place.table))
 
 
+@query(ORACLES["change_alerts"])
+def stream_change_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours with more changes than the threshold, put out by a stream with a watermark."""
+    place = Replay(spark)
+    place.put(td.event_records(spark, sf_dir))
+    start_change_alerts(
+        place.log(td.EVENTS, columns=[]),
+        place.table,
+        place.checkpoint,
+        THRESHOLD,
+        watermark="1 day",
+        trigger=ONCE,
+    ).awaitTermination()
+    return td.zoneless(read_change_rate(spark, place.table))
+
+
+@query(
+    f"""{DAMAGED_SQL},
+rejected AS ({ORACLES["rejects"].removeprefix(DAMAGED_SQL)})
+SELECT 'log' AS part, lsn, NULL AS reason FROM damaged WHERE product NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
+UNION ALL SELECT 'rejects', "offset", reason FROM rejected"""
+)
+def stream_log_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log and rejects of damaged records, out of one stream that reads and parses them once."""
+    place = Replay(spark)
+    place.put(damaged_orders(spark, sf_dir))
+    start_changelog(
+        place.records(),
+        td.ORDERS,
+        place.table,
+        place.checkpoint,
+        decode_options={"extras": ("lsn",)},
+        with_rejects=True,
+        trigger=ONCE,
+    ).awaitTermination()
+    rows = read_table(spark, place.table)
+    log = log_of(rows, td.ORDERS).select(
+        F.lit("log").alias("part"), "lsn", F.lit(None).cast("string").alias("reason")
+    )
+    found = rejects_of(rows).select(F.lit("rejects"), "offset", "reason")
+    return log.union(found)
+
+
+@query(
+    f"""{sql.EVENTS_LOG}
+SELECT {sql.EVENTS_COLUMNS}, CAST(event_ts AS DATE) AS event_date FROM log"""
+)
+def stream_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log kept by a stream with one folder per event date."""
+    place = Replay(spark)
+    place.put(td.event_records(spark, sf_dir))
+    start_changelog(
+        place.records(), td.EVENTS, place.table, place.checkpoint, by_date=True, trigger=ONCE
+    ).awaitTermination()
+    return place.result()
+
+
 @query(f"{sql.EVENTS_LOG} SELECT {sql.EVENTS_COLUMNS}, lsn FROM log")
 def stream_dedup_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream that drops the records that are sent again by a second run of the connector."""

@@ -173,16 +173,22 @@ def null_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-SELECT l_orderkey, l_linenumber, l_extendedprice * l_discount AS price FROM lineitem
-WHERE CAST(CAST(l_extendedprice * l_discount AS DECIMAL(10,2)) AS DOUBLE)
-      <> l_extendedprice * l_discount"""
+WITH lines AS (
+  SELECT l_orderkey, l_linenumber,
+         l_extendedprice * l_quantity * l_quantity * (1 + l_tax) AS price FROM lineitem)
+SELECT *, CASE WHEN TRY_CAST(price AS DECIMAL(10,2)) IS NULL THEN 'overflow' ELSE 'rounded' END
+       AS violation
+FROM lines
+WHERE TRY_CAST(price AS DECIMAL(10,2)) IS NULL
+      OR CAST(TRY_CAST(price AS DECIMAL(10,2)) AS DOUBLE) <> price"""
 )
 def precision_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Products that two decimals cannot hold."""
+    """Products that a column of ten digits and two decimals refuses, or rounds."""
+    quantity = F.col("l_quantity")
     lines = td.load(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
-        (F.col("l_extendedprice") * F.col("l_discount")).alias("price"),
+        (F.col("l_extendedprice") * quantity * quantity * (1 + F.col("l_tax"))).alias("price"),
     )
     return constraints.precision_violations(lines, "price")
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowtide.functions import zoneless_utc
 from rowtide.operators.capture import changed_row, key_only, no_row, row_of, to_records
 from rowtide.specs import Field, TableSpec
 
@@ -38,7 +39,8 @@ EVENTS = TableSpec(
         Field("id", "long", unique=True),
         Field("user_id", "long"),
         Field("kind", "text"),
-        Field("amount", "decimal"),
+        Field("value", "double"),
+        Field("props", "text"),
         Field("created_at", "timestamp"),
     ),
 )
@@ -49,7 +51,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
-    return load_spread(spark, sf_dir, "orders").select(
+    return load(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("id"),
         F.col("o_custkey").alias("user_id"),
         F.col("o_orderpriority").alias("product_name"),
@@ -61,7 +63,7 @@ def orders(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
 
 def users(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
     epoch = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-    return load_spread(spark, sf_dir, "customer").select(
+    return load(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("id"),
         F.col("c_name").alias("full_name"),
         F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"),
@@ -71,26 +73,16 @@ def users(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_spread(spark, sf_dir, "events").select(
+    return load(spark, sf_dir, "events").select(
         F.col("event_id").alias("id"),
         "user_id",
         F.col("event_type").alias("kind"),
-        F.col("value").cast("decimal(10,2)").alias("amount"),
+        "value",
+        "props",
         F.col("ts").alias("created_at"),
     )
 
 
-def load_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, spread over the session's cores where it comes in fewer pieces.
-
-    The small test tables are single files, and writing JSON is CPU work. Tables of as many
-    splits as cores are taken as they are.
-    """
-    table = load(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
-
-
 def history(
     table: DataFrame,
     spec: TableSpec,
@@ -158,9 +150,9 @@ def events_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         EVENTS,
         existed=F.col("kind") == "signup",
         updated=F.col("kind").isin("purchase", "error"),
-        values={"amount": F.col("amount") + F.lit(1).cast("decimal(10,2)")},
+        values={"value": F.col("value") + 1},
         deleted=F.col("kind") == "error",
-        keyed=F.col("amount") < F.lit(10).cast("decimal(10,2)"),
+        keyed=F.col("value") < 10,
     )
 
 
@@ -177,10 +169,11 @@ def event_records(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
 
 
 def zoneless(df: DataFrame) -> DataFrame:
-    """Timestamps without a zone, as the given tables have them."""
+    """Timestamps without a zone, as the given tables have them. They are those of clocks in UTC
+    whatever the session's zone, which is left as it is."""
     return df.select(
         *(
-            F.col(f.name).cast("timestamp_ntz").alias(f.name)
+            zoneless_utc(F.col(f.name)).alias(f.name)
             if f.dataType.typeName() == "timestamp"
             else F.col(f.name)
             for f in df.schema.fields

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rowtide.operators.rejects import log_of, rejects_of
 from rowtide.operators.state import state_for_sql
 from rowtide.sources.lake import read_table
 from rowtide.specs import TableSpec
@@ -24,6 +25,11 @@ def open_lake(
     fmt: str = "parquet",
     prefix: str = "",
 ) -> None:
-    """Views on the logs that the standing job keeps below a folder."""
+    """Views on the logs that the standing job keeps below a folder, and ``<prefix><table>_rejects``
+    where it keeps rejects with them."""
     for spec in specs:
-        create_views(read_table(spark, f"{tables}/{spec.name}", fmt), spec, prefix)
+        log = read_table(spark, f"{tables}/{spec.name}", fmt)
+        if "part" in log.columns:
+            rejects_of(log).createOrReplaceTempView(f"{prefix}{spec.name}_rejects")
+            log = log_of(log, spec)
+        create_views(log, spec, prefix)

@@ -1,35 +1,41 @@
 from rowtide.streaming.changelog import (
     append_to_table,
     await_any,
-    rows_read,
-    run_cycles,
     start_changelog,
     start_changelogs,
     start_rejects,
 )
+from rowtide.streaming.progress import Progress
 from rowtide.streaming.state import (
+    batch_folders,
     drop_redelivered_stream,
+    fold_upserts,
     read_change_rate,
     read_current_state,
     read_upserts,
+    start_change_alerts,
     start_change_rate,
     start_current_state,
     start_upserts,
+    write_batches,
 )
 
 __all__ = [
+    "Progress",
     "append_to_table",
     "await_any",
+    "batch_folders",
     "drop_redelivered_stream",
+    "fold_upserts",
     "read_change_rate",
     "read_current_state",
     "read_upserts",
-    "rows_read",
-    "run_cycles",
+    "start_change_alerts",
     "start_change_rate",
     "start_changelog",
     "start_changelogs",
     "start_current_state",
     "start_rejects",
     "start_upserts",
+    "write_batches",
 ]

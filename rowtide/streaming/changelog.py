@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rowtide.operators.changelog import decode
-from rowtide.operators.rejects import rejects
+from rowtide.operators.rejects import judged, rejects
 from rowtide.session import STATE_STORE_CONF, defaults
 from rowtide.sources.lake import with_event_date
 from rowtide.sources.records import of_table
@@ -61,13 +61,27 @@ def start_changelog(
     *,
     decode_options: dict | None = None,
     by_date: bool = False,
+    tasks_per_date: int = 4,
+    with_rejects: bool = False,
     **sink,
 ) -> StreamingQuery:
-    """Start keeping the change log of one table, with one folder per event date if asked for."""
-    log = decode(of_table(records, spec), spec, **(decode_options or {}))
+    """Start keeping the change log of one table, with one folder per event date if asked for.
+
+    By date, each batch is first dealt by date, so that it adds a few files to a date and not one
+    from every task; ``tasks_per_date`` shares a date among that many tasks. ``with_rejects``
+    keeps every record, the rejected ones too, in one table with a folder for each part
+    (``log_of`` and ``rejects_of`` read it); the topic is still read and parsed once.
+    """
+    own = of_table(records, spec)
+    options = decode_options or {}
+    log = judged(own, spec, **options) if with_rejects else decode(own, spec, **options)
+    parts = ["part"] if with_rejects else []
     if by_date:
-        log = with_event_date(log)
-        sink["partition_by"] = ["event_date"]
+        share = F.pmod(F.xxhash64(*spec.key_columns, "event_ts"), F.lit(tasks_per_date))
+        log = with_event_date(log).repartition("event_date", share)
+        parts.append("event_date")
+    if parts:
+        sink["partition_by"] = parts
     return append_to_table(log, path, checkpoint, **sink)
 
 
@@ -105,43 +119,17 @@ def start_rejects(
     strict_wrapped: bool = False,
     **sink,
 ) -> StreamingQuery:
-    """Start keeping the records that do not reach the log intact."""
+    """Start keeping the records that do not reach the log intact, by a reading of their own.
+
+    ``start_changelog(with_rejects=True)`` keeps them and the log with one reading.
+    """
     rows = rejects(of_table(records, spec), spec, strict_wrapped=strict_wrapped)
     return append_to_table(rows, path, checkpoint, **sink)
 
 
-def rows_read(query: StreamingQuery) -> int:
-    """Records that the recent batches of a query took in."""
-    return sum(batch.numInputRows for batch in query.recentProgress)
-
-
 def await_any(spark: SparkSession, timeout: float | None = None) -> None:
     """Wait until any query of the session ends; its failure is raised here."""
     if timeout is None:
         spark.streams.awaitAnyTermination()
     else:
         spark.streams.awaitAnyTermination(timeout)
-
-
-def run_cycles(
-    cycle: Callable[[int], None],
-    cycles: int | None = None,
-    pause: float = 30.0,
-    on_failure: Callable[[int, Exception], None] | None = None,
-) -> int:
-    """Run a cycle again and again, with a pause between; a failed one does not stop the next.
-
-    Returns the number of cycles that failed.
-    """
-    failed, number = 0, 0
-    while cycles is None or number < cycles:
-        if number:
-            time.sleep(pause)
-        try:
-            cycle(number)
-        except Exception as error:  # noqa: BLE001 - the next cycle runs whatever happened
-            failed += 1
-            if on_failure:
-                on_failure(number, error)
-        number += 1
-    return failed

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowtide import ORDERS, USERS
-from rowtide.operators import snapshot_events, to_records
+from rowtide.operators import log_of, rejects_of, snapshot_events, to_records
 from rowtide.plans import jobs
 from rowtide.plans.views import open_lake
 from rowtide.sources import read_table, write_replay
@@ -37,14 +37,18 @@ def run(spark, *argv):
 
 def test_two_tables_and_their_rejects(spark, tmp_path, topic):
     where = ["--tables", str(tmp_path / "lake"), "--checkpoints", str(tmp_path / "progress"),
-             "--rejects", str(tmp_path / "rejects"), "--replay", topic, "--once"]
+             "--rejects", "--replay", topic, "--once"]
     run(spark, "--table", "orders", "--table", "users", *where)
-    orders = read_table(spark, str(tmp_path / "lake/orders"))
-    assert orders.schema == ORDERS.log_type()
+    orders = log_of(read_table(spark, str(tmp_path / "lake/orders")), ORDERS)
+    assert orders.drop("lsn").schema == ORDERS.log_type()
     assert sorted(r.id for r in orders.collect()) == [0, 1, 2, 3, 4]
-    assert [r.email for r in read_table(spark, str(tmp_path / "lake/users")).collect()] == ["a@x"]
-    rejected = read_table(spark, str(tmp_path / "rejects/users")).collect()
+    users = read_table(spark, str(tmp_path / "lake/users"))
+    assert [r.email for r in log_of(users, USERS).collect()] == ["a@x"]
+    rejected = rejects_of(users).collect()
     assert [(r.json, r.reason) for r in rejected] == [("{oops", "malformed")]
+    open_lake(spark, str(tmp_path / "lake"), [ORDERS, USERS], prefix="judged_")
+    assert spark.sql("SELECT COUNT(*) FROM judged_orders").first()[0] == 5
+    assert spark.sql("SELECT reason FROM judged_users_rejects").first()[0] == "malformed"
     run(spark, "--table", "orders", "--table", "users", *where)
     assert read_table(spark, str(tmp_path / "lake/orders")).count() == 5
 
@@ -54,17 +58,17 @@ def test_a_table_by_its_specification(spark, tmp_path, topic):
     conf["fields"] = [f for f in conf["fields"] if f["name"] in ("id", "amount")]
     path = tmp_path / "spec.json"
     path.write_text(json.dumps(conf))
-    run(spark, "--spec", str(path), "--replay", topic, "--once", "--extra", "lsn", "--tables",
+    run(spark, "--spec", str(path), "--replay", topic, "--once", "--extra", "position", "--tables",
         str(tmp_path / "lake"), "--checkpoints", str(tmp_path / "progress"))
     log = read_table(spark, str(tmp_path / "lake/orders"))
-    assert log.columns == ["pk_id", "op", "id", "amount", "event_ts", "is_deleted", "lsn"]
-    assert log.filter("id = 3").first().lsn == 3
+    assert log.columns == ["pk_id", "op", "id", "amount", "event_ts", "is_deleted", "lsn", "position"]
+    assert tuple(log.filter("id = 3").first())[-2:] == (3, "3")
 
 
 def test_lake_of_the_job_answers_sql(spark, tmp_path, topic):
     lake = str(tmp_path / "lake")
     run(spark, "--table", "orders", "--table", "users", "--replay", topic, "--once", "--by-date",
-        "--extra", "lsn", "--tables", lake, "--checkpoints", str(tmp_path / "progress"))
+        "--tables", lake, "--checkpoints", str(tmp_path / "progress"))
     assert [f.split("=")[0] for f in os.listdir(f"{lake}/orders") if "=" in f] == ["event_date"]
     open_lake(spark, lake, [ORDERS, USERS], prefix="job_")
     assert spark.sql("SELECT COUNT(*) FROM job_orders").first()[0] == 5

@@ -4,7 +4,7 @@ from datetime import datetime
 from types import SimpleNamespace
 
 import pytest
-from pyspark.errors import PySparkException
+from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from rowtide.operators import decode, snapshot_events, to_records
@@ -13,7 +13,9 @@ from rowtide.session import defaults, delta_conf, object_store_conf, scratch, sh
 from rowtide.sources import (
     RECORD_TYPE,
     data_files,
+    kept_topics,
     kafka_options,
+    range_options,
     read_replay,
     read_table,
     read_topics,
@@ -21,12 +23,19 @@ from rowtide.sources import (
     write_replay,
 )
 from rowtide.streaming import (
+    Progress,
     append_to_table,
+    batch_folders,
     drop_redelivered_stream,
-    rows_read,
-    run_cycles,
+    fold_upserts,
+    read_current_state,
+    read_upserts,
+    start_change_rate,
     start_changelog,
     start_changelogs,
+    start_current_state,
+    start_upserts,
+    write_batches,
 )
 
 ONCE = {"availableNow": True}
@@ -47,13 +56,14 @@ def test_stream_equals_batch(spark, sf_dir, tmp_path):
 def test_restart_neither_loses_nor_repeats(spark, sf_dir, tmp_path):
     topic, table, progress = (str(tmp_path / p) for p in ("topic", "table", "progress"))
     records = td.user_records(spark, sf_dir)
-    inputs = []
+    inputs, progress_of = [], Progress().watch(spark)
     for part in (records.filter("offset < 700"), records.filter("offset >= 700"), None):
         if part is not None:
             write_replay(part, topic)
         job = start_changelog(read_replay(spark, topic), td.USERS, table, progress, trigger=ONCE)
         job.awaitTermination()
-        inputs.append(rows_read(job))
+        inputs.append(progress_of.rows_read(job))
+    spark.streams.removeListener(progress_of)
     assert sum(inputs) == records.count() and inputs[2] == 0
     assert rows(read_table(spark, table)) == rows(decode(records, td.USERS))
 
@@ -106,16 +116,183 @@ def test_redelivery_within_a_horizon(spark, sf_dir, tmp_path):
     assert read_table(spark, table).count() == records.count()
 
 
-def test_a_failed_cycle_does_not_stop_the_next():
-    ran, failures = [], []
+def test_rows_read_counts_more_batches_than_are_kept(spark, sf_dir, tmp_path):
+    topic, table, progress = (str(tmp_path / p) for p in ("topic", "table", "progress"))
+    for _ in range(6):
+        write_replay(td.user_records(spark, sf_dir).coalesce(1), topic)
+    counts, name = Progress().watch(spark), "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(name, "3")
+    try:
+        stream = read_replay(spark, topic, max_files_per_trigger=1)
+        job = start_changelog(stream, td.USERS, table, progress, trigger=ONCE)
+        job.awaitTermination()
+        assert len(job.recentProgress) <= 3
+        assert counts.rows_read(job) == read_table(spark, table).count() > 0
+    finally:
+        spark.conf.unset(name)
+        spark.streams.removeListener(counts)
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    topic, path, progress = (str(tmp_path / p) for p in ("topic", "table", "progress"))
+    counts = Progress().watch(spark)
+    late = 0
+    for days in (0, 30, 60, 10):
+        at = F.lit(datetime(2024, 1, 1)) + F.make_dt_interval(F.lit(days))
+        table = spark.range(5).select(
+            F.col("id"), F.lit("n").alias("full_name"), F.lit("e").alias("email"), at.cast("timestamp_ntz").alias("created_at")
+        )
+        write_replay(to_records(snapshot_events(table, td.USERS, F.col("created_at"), F.lit(days)), td.USERS), topic)
+        log = decode(read_replay(spark, topic), td.USERS)
+        job = start_change_rate(log, path, progress, watermark="1 day", trigger=ONCE)
+        job.awaitTermination()
+        late += counts.rows_late(job)
+    spark.streams.removeListener(counts)
+    assert late == 1  # the window of the late rows; the counts are of partial aggregates
+    total = sum(r.n_changes for r in read_upserts(spark, path, ["window_start", "window_end"]).collect())
+    assert total == 15
+
+
+def test_an_interrupted_batch_is_done_again(spark, sf_dir, tmp_path):
+    topic, table, progress = (str(tmp_path / p) for p in ("topic", "table", "progress"))
+    write_replay(td.user_records(spark, sf_dir), topic)
+    keep, attempts = batch_folders(table), []
+
+    def write(batch, number):
+        keep(batch.limit(1) if not attempts else batch, number)
+        attempts.append(number)
+        if len(attempts) == 1:
+            raise RuntimeError("lost")
+
+    def run():
+        log = decode(read_replay(spark, topic), td.USERS)
+        write_batches(log, write, progress, trigger=ONCE).awaitTermination()
+
+    with pytest.raises(StreamingQueryException):
+        run()
+    run()
+    assert attempts == [0, 0]
+    assert rows(read_table(spark, table).drop("batch_id")) == rows(decode(td.user_records(spark, sf_dir), td.USERS))
+
+
+def test_batches_in_a_fold_are_not_read_again(spark, sf_dir, tmp_path):
+    topic, table, progress = (str(tmp_path / p) for p in ("topic", "table", "progress"))
+    records = td.order_records(spark, sf_dir)
+    states = []
+    for low, high in ((0, 5_000), (5_000, 10_000), (10_000, 10**9)):
+        write_replay(records.filter((F.col("offset") >= low) & (F.col("offset") < high)), topic)
+        log = decode(read_replay(spark, topic), td.ORDERS, extras=("lsn",))
+        start_current_state(log, td.ORDERS, table, progress, trigger=ONCE).awaitTermination()
+        batch = len(states)
+        if batch < 2:
+            before = rows(read_current_state(spark, td.ORDERS, table))
+            fold_upserts(spark, table, td.ORDERS.key_columns, upto=batch)
+            assert rows(read_current_state(spark, td.ORDERS, table)) == before
+        states.append(read_current_state(spark, td.ORDERS, table))
+    from rowtide.operators import current_state
+    whole = current_state(decode(records, td.ORDERS, extras=("lsn",)), td.ORDERS)
+    assert rows(states[-1]) == rows(whole)
+    plan = states[-1]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch_id" in plan and "> 1)]" in plan
+    files = states[-1].inputFiles()
+    assert any("upto=1" in f for f in files) and not any("upto=0" in f for f in files)
+    with pytest.raises(ValueError, match="Delta"):
+        fold_upserts(spark, table, ["pk_id"], upto=1, fmt="delta")
+
+
+def test_delta_upserts_are_one_table(monkeypatch):
+    calls = []
+
+    class Writer:
+        def __getattr__(self, name):
+            return lambda *args: calls.append((name, *args)) or self
+
+    class Batch:
+        write = Writer()
+
+        def withColumn(self, name, value):  # noqa: N802
+            calls.append(("column", name))
+            return self
+
+    monkeypatch.setattr(F, "lit", lambda value: SimpleNamespace(cast=lambda kind: value))
+    batch_folders("s3a://lake/state", fmt="delta")(Batch(), 7)
+    assert calls == [
+        ("column", "batch_id"), ("format", "delta"), ("mode", "append"),
+        ("option", "txnAppId", "s3a://lake/state"), ("option", "txnVersion", 7), ("save", "s3a://lake/state"),
+    ]
+
+
+def test_a_truncate_stops_a_streamed_state(spark, sf_dir, tmp_path):
+    topic = str(tmp_path / "topic")
+    records = td.user_records(spark, sf_dir).limit(3)
+    text = F.regexp_replace(F.col("value").cast("string"), '"op":"[a-z]"', '"op":"t"')
+    write_replay(records.withColumn("value", text.cast("binary")), topic)
+    log = decode(read_replay(spark, topic), td.USERS, extras=("lsn",))
+    job = start_current_state(log, td.USERS, str(tmp_path / "t"), str(tmp_path / "p"), trigger=ONCE)
+    with pytest.raises(StreamingQueryException, match="truncate"):
+        job.awaitTermination()
 
-    def cycle(number):
-        ran.append(number)
-        if number == 1:
-            raise RuntimeError("no")
 
-    failed = run_cycles(cycle, cycles=3, pause=0, on_failure=lambda n, e: failures.append((n, str(e))))
-    assert (ran, failed, failures) == ([0, 1, 2], 1, [(1, "no")])
+def test_redelivery_on_a_stream_keeps_changes_without_position(spark, sf_dir, tmp_path):
+    topic, table, progress = (str(tmp_path / p) for p in ("topic", "table", "progress"))
+    records = td.user_records(spark, sf_dir)
+    text = F.regexp_replace(F.col("value").cast("string"), ',"lsn":[0-9]+', "")
+    bare = records.withColumn("value", text.cast("binary"))
+    for part in (bare, bare, bare.withColumn("offset", F.col("offset") + 10**9)):
+        write_replay(part, topic)
+        log = decode(read_replay(spark, topic), td.USERS, extras=("lsn", "partition", "offset", "timestamp"))
+        append_to_table(drop_redelivered_stream(log, td.USERS), table, progress, trigger=ONCE).awaitTermination()
+    assert read_table(spark, table).count() == 2 * records.count()
+
+
+def test_a_log_by_date_adds_few_files(spark, sf_dir, tmp_path):
+    topic, table, progress = (str(tmp_path / p) for p in ("topic", "table", "progress"))
+    write_replay(td.event_records(spark, sf_dir).repartition(8), topic)
+    job = start_changelog(
+        read_replay(spark, topic), td.EVENTS, table, progress, by_date=True, tasks_per_date=2, trigger=ONCE
+    )
+    job.awaitTermination()
+    dates = read_table(spark, table).select("event_date").distinct().count()
+    assert data_files(spark, table).count() <= 2 * dates
+
+
+def test_dates_do_not_depend_on_the_session(spark, tmp_path):
+    """Written in one zone, read in another: the date is that of UTC."""
+    from rowtide.operators import state_as_of
+    path, zone = str(tmp_path / "log"), "spark.sql.session.timeZone"
+    table = spark.range(3).select(
+        F.col("id"), F.lit("n").alias("full_name"), F.lit("e").alias("email"),
+        F.lit(datetime(2024, 1, 1, 20)).cast("timestamp_ntz").alias("created_at"),
+    )
+    records = to_records(snapshot_events(table, td.USERS, F.col("created_at"), F.col("id")), td.USERS)
+    try:
+        spark.conf.set(zone, "Asia/Tokyo")
+        write_by_date(decode(records, td.USERS, extras=("lsn",)), path)
+        counts = []
+        for name in ("UTC", "America/Los_Angeles", "Asia/Tokyo"):
+            spark.conf.set(zone, name)
+            at = F.timestamp_seconds(F.lit(1704139200))  # the events' own second
+            counts.append(state_as_of(read_table(spark, path), td.USERS, at).count())
+    finally:
+        spark.conf.set(zone, "UTC")
+    assert counts == [3, 3, 3]
+    assert [str(r[0]) for r in read_table(spark, path).select("event_date").distinct().collect()] == ["2024-01-01"]
+
+
+def test_source_tables_are_read_in_ranges():
+    options = range_options("orders", "id", 16, (5, 900))
+    assert options == {
+        "dbtable": "orders", "partitionColumn": "id", "lowerBound": "5", "upperBound": "900", "numPartitions": "16"
+    }
+    assert range_options("orders", "id", 2, (0, 0))["upperBound"] == "1"
+
+
+def test_topics_by_their_folders(spark, sf_dir, tmp_path):
+    both = td.order_records(spark, sf_dir).unionByName(td.user_records(spark, sf_dir))
+    write_replay(both, str(tmp_path / "topic"))
+    found = kept_topics(spark, str(tmp_path / "topic"))
+    assert rows(found) == [("appdb.public.orders",), ("appdb.public.users",)]
+    assert "ReadSchema: struct<>" in found._jdf.queryExecution().executedPlan().toString()
 
 
 def test_kafka_options():
