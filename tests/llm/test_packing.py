@@ -4,7 +4,7 @@ from collections import defaultdict
 import numpy as np
 from tokenizers import Tokenizer
 
-from rowtide.llm.packing import B, K1, _Encoder, _Index, pack, pack_shard
+from rowtide.llm.packing import B, K1, _Encoder, _Index, _is_word, _word_pairs, pack, pack_shard
 from rowtide.llm.queries import tokenizer_file
 
 
@@ -54,6 +54,29 @@ def test_parts_between_blanks_have_the_ids_of_the_text():
             assert np.frombuffer(ids, np.uint16).tolist() == plain
 
 
+def test_words_are_encoded_as_by_the_tokenizer(documents):
+    import random
+
+    random.seed(0)
+    tokenizer, encoder = Tokenizer.from_file(tokenizer_file()), _Encoder(tokenizer_file())
+    assert encoder.words is not None
+    words = {w for r in documents.collect() for w in r.text.lower().split()}
+    words |= {"".join(random.choices("aeioutnshrdlé日", k=random.randint(1, 30))) for _ in range(20_000)}
+    words |= {"a" * n for n in range(1, 80)} | {"ab" * n for n in range(1, 40)}
+    words = [w for w in words if _is_word(w.encode())]
+    assert len(words) > 30_000
+    encoder._learn_words([w.encode() for w in words])
+    for word, each in zip(words, tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
+        assert np.frombuffer(encoder.known[word.encode()], np.uint16).tolist() == each.ids
+
+
+def test_other_models_have_no_quicker_way():
+    assert _word_pairs({"type": "Unigram"}) is None
+    assert _word_pairs({"type": "BPE", "end_of_word_suffix": None, "vocab": {}, "merges": []}) is None
+    unordered = {"type": "BPE", "end_of_word_suffix": "</w>", "vocab": {"ab": 9, "cd": 8}, "merges": [["a", "b"], ["c", "d"]]}
+    assert _word_pairs(unordered) is None
+
+
 def test_documents(spark, documents):
     texts = {r.doc_id: r.text for r in documents.collect()}
     for shard_tokens in (4_000_000, 30_000):
