@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,7 +65,7 @@ def mixing_plan(
     budget: float | None = None,
     max_epochs: float = 3.0,
     seed: int = 0,
-    per_bucket: int = 10_000,
+    buckets: int | None = None,
 ) -> DataFrame:
     """What each source gives: ``source, source_size, target, whole, cutoff``.
 
@@ -73,9 +75,10 @@ def mixing_plan(
     its target. ``size`` is words by default, ``budget`` all sizes, ``weights`` (``source,
     weight``) 1, 2, 3 in turn.
 
-    The order's running sum needs no sort of a whole source: sums of hash buckets (about
-    ``per_bucket`` documents each) find the one bucket that the cutoff lies in, and only its documents
-    are sorted. Null sources are a source of their own, null ids come first in the order, and
+    The order's running sum needs no sort of a whole source: the sums of hash buckets find the one
+    that the cutoff lies in, and only its documents are sorted. There are as many buckets as the
+    root of the number of documents, so neither a source's buckets nor a bucket's documents grow
+    in proportion to it. Null sources are a source of their own, null ids come first in the order, and
     rows that share an id are taken or left together. Null sizes are 0. No documents, no sources.
     """
     sized = docs.select(
@@ -99,13 +102,16 @@ def mixing_plan(
         "quota", F.col("target") - F.col("whole") * F.col("source_size")
     )
     plan = stored(plan, "mix-plan")
-    buckets = max(1, -(-rows // per_bucket))
-    cutoffs = _cutoffs(narrow, plan.select("source", "quota"), buckets)
-    return (
+    many = buckets or max(1, math.isqrt(rows))
+    cutoffs = _cutoffs(narrow, plan.select("source", "quota"), many)
+    limited = (
         plan.alias("p")
         .join(cutoffs.alias("c"), F.col("p.source").eqNullSafe(F.col("c.source")), "left")
         .select("p.source", "source_size", "target", "whole", F.coalesce("cutoff", F.lit("")).alias("cutoff"))
     )
+    # Written, so that documents meet a plain table: Spark sees its size, and can split a large
+    # source where it is too large to broadcast.
+    return stored(limited, "mix-limits")
 
 
 def order_key(ident: Column, seed: int) -> Column:

@@ -36,11 +36,11 @@ def test_water_filling_beyond_all_limits(spark):
 def test_taken_comes_near_target_and_repeats_agree(spark, documents):
     docs = documents.withColumn("size", word_count(F.col("text")))
     results = []
-    for per_bucket in (10_000, 7):
-        plan = mixing_plan(docs, per_bucket=per_bucket)
+    for buckets in (None, 1, 1000):
+        plan = mixing_plan(docs, buckets=buckets)
         taken = with_copies(docs, plan).select("d.doc_id", "d.source", "d.size", "p.target", "copies")
         results.append(sorted(taken.collect()))
-    assert results[0] == results[1]
+    assert results[0] == results[1] == results[2]
     by_source = {}
     for r in results[0]:
         own = by_source.setdefault(r.source, [r.target, 0, 0])
