@@ -64,9 +64,27 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+_made: list[str] = []
+
+
 def scratch(spark: SparkSession, purpose: str) -> str:
-    """A new, not yet existing path below the shared folder."""
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A new, not yet existing path below the shared folder.
+
+    What is written there serves the results that were made from it, so it stays until
+    ``remove_scratch``.
+    """
+    path = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Removes all that was written under ``scratch`` paths so far, when its results are no longer
+    read."""
+    conf = spark._jsc.hadoopConfiguration()
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 @contextmanager

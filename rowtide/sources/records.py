@@ -108,7 +108,7 @@ def topics(records: DataFrame) -> DataFrame:
 
 
 def kept_topics(spark: SparkSession, path: str) -> DataFrame:
-    """Topics below a replay folder, by the names of their folders; no record is read."""
+    """Topics below a replay folder, by the names of their folders; no key or value is read."""
     return read_replay(spark, path, streaming=False).select("topic").distinct()
 
 

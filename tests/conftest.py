@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from rowtide.session import ENGINE_CONF  # noqa: E402
+from rowtide.session import ENGINE_CONF, remove_scratch  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -26,6 +26,7 @@ def spark():
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    remove_scratch(session)
     session.stop()
 
 

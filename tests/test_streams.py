@@ -1,5 +1,6 @@
 """Streams: resume, several tables, state, supervision, sources."""
 
+import os
 from datetime import datetime
 from types import SimpleNamespace
 
@@ -9,7 +10,14 @@ from pyspark.sql import functions as F
 
 from rowtide.operators import decode, snapshot_events, to_records
 from rowtide.plans import testdata as td
-from rowtide.session import defaults, delta_conf, object_store_conf, scratch, shared_folder
+from rowtide.session import (
+    defaults,
+    delta_conf,
+    object_store_conf,
+    remove_scratch,
+    scratch,
+    shared_folder,
+)
 from rowtide.sources import (
     RECORD_TYPE,
     data_files,
@@ -333,6 +341,19 @@ def test_shared_folder_is_that_of_the_session(spark):
     assert scratch(spark, "x").startswith(folder + "/x-") and scratch(spark, "x") != scratch(spark, "x")
 
 
+def test_scratch_is_removed_when_it_is_no_longer_needed(spark):
+    from rowtide import session
+    kept, session._made[:] = list(session._made), []
+    try:
+        path = scratch(spark, "gone")
+        spark.range(3).write.parquet(path)
+        scratch(spark, "never-written")
+        remove_scratch(spark)
+        assert not os.path.exists(path.removeprefix("file://")) and not session._made
+    finally:
+        session._made[:] = kept
+
+
 def test_a_cluster_without_shared_folder_is_refused():
     session = SimpleNamespace(
         conf=SimpleNamespace(get=lambda name, default: None), sparkContext=SimpleNamespace(master="yarn")
