@@ -256,10 +256,16 @@ class _Index:
         self.row, self.impact = row[order], impact[order].astype(np.float64)
         self.start = np.searchsorted(every[order], np.arange(len(weight) + 1))
 
-    def scores(self, doc: int, words: int) -> np.ndarray:
-        """BM25 of all documents for the ``words`` rarest terms of one of them."""
+    def drop(self, unused: np.ndarray) -> None:
+        """Takes the used documents out of the lists; the others keep their scores."""
+        stays = unused[self.row]
+        self.start = np.concatenate([[0], np.cumsum(stays)])[self.start]
+        self.row, self.impact = self.row[stays], self.impact[stays]
+
+    def scores(self, doc: int, words: int | None = None) -> np.ndarray:
+        """BM25 of all documents for the terms of one of them, or for its ``words`` rarest ones."""
         terms = self.terms[doc].astype(np.int64)
-        if len(terms) > words:
+        if words is not None and len(terms) > words:
             terms = terms[np.argsort(-self.weight[terms], kind="stable")[:words]]
         spans = [slice(self.start[t], self.start[t + 1]) for t in terms.tolist()]
         rows = np.concatenate([self.row[s] for s in spans])
@@ -267,12 +273,12 @@ class _Index:
 
 
 def pack_shard(
-    docs: list[np.ndarray], weight: np.ndarray, mean: float, window: int, words: int = 16
+    docs: list[np.ndarray], weight: np.ndarray, mean: float, window: int, words: int | None = None
 ) -> list[tuple[int, int, int, int, int]]:
     """Pieces of a shard's documents: ``document, start, length, sequence, offset``.
 
     The first unused document is the seed of a window; the unused documents that it retrieves
-    follow in the order of their BM25 score until the window is full, and where none is left the
+    follow in the order of their BM25 score, for all distinct terms of the seed, until the window is full, and where none is left the
     next unused ones do. The document that does not fit is cut, and its rest opens the next window as
     its seed. So all windows but the last are full. Equal scores go by place.
     """
@@ -283,7 +289,7 @@ def pack_shard(
     sequence, offset, following = 0, 0, 0
     queue: list[int] = []
     rest: tuple[int, int] | None = None
-    remaining = len(docs)
+    remaining = listed = len(docs)
     mean_length = max(sum(length) / max(len(docs), 1), 1.0)
     while rest or remaining:
         if rest:
@@ -300,6 +306,9 @@ def pack_shard(
         take = min(length[doc] - start, window - offset)
         if offset == 0 and remaining and take < window:
             # A new window: this document is its seed.
+            if remaining < 0.8 * listed:
+                index.drop(unused)
+                listed = remaining
             found = index.scores(doc, words)
             found[~unused] = 0
             several = min(int((window - take) / mean_length * 2) + 4, len(found))
@@ -326,7 +335,7 @@ def pack(
     end: int = 2,
     window: int = 4096,
     shard_tokens: int = 4_000_000,
-    words: int = 16,
+    words: int | None = None,
     carry_ids: bool = False,
 ) -> DataFrame:
     """Sequences of at most ``window`` tokens: a row for each piece of a document.
@@ -336,7 +345,8 @@ def pack(
     every id is in one piece.
 
     Documents are dealt at random to shards of about ``shard_tokens`` tokens; each shard has its own
-    inverted index and fills its windows by itself, so memory is bounded by the shard. The
+    inverted index and fills its windows by itself, so memory is bounded by the shard. A seed's
+    neighbours are scored by all its distinct terms; ``words`` limits them to that many of the rarest. The
     terms' document frequencies and the mean length are those of all documents; they are sent
     to all tasks and bounded by the tokenizer's vocabulary. All sequences but the last of a shard are
     full. Null and empty texts are the end alone; rows that repeat an id are packed each, and a

@@ -119,6 +119,25 @@ def test_a_window_is_filled_with_the_nearest_unused_documents():
     assert [len(v) for v in by_sequence.values()] == [1, 1, 1]
 
 
+def test_neighbours_are_scored_by_all_terms_of_the_seed():
+    # The second document shares one of the 16 rarest terms, the third all the others.
+    seed = np.arange(60, dtype=np.uint16)
+    docs = [seed, np.array([0] + [99] * 43, np.uint16), np.arange(16, 60, dtype=np.uint16)]
+    weight = np.where(np.arange(128) < 16, 2.0, 1.0).astype(np.float32)
+    pieces = pack_shard(docs, weight, 50.0, 104)
+    assert [p[0] for p in pieces if p[3] == 0] == [0, 2]
+
+
+def test_dropping_used_documents_keeps_the_scores_of_others():
+    rng = np.random.default_rng(1)
+    docs = [rng.integers(0, 50, n).astype(np.uint16) for n in rng.integers(1, 60, 40)]
+    index, unused = _Index(docs, rng.random(50).astype(np.float32), 30.0), rng.random(40) < 0.5
+    whole = [index.scores(d) for d in range(40)]
+    index.drop(unused)
+    for d in range(40):
+        assert np.array_equal(index.scores(d), np.where(unused, whole[d], 0))
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     rows = pack(odd_docs, tokenizer_file()).collect()
     assert sum(r.start == 0 for r in rows) == odd_docs.count()
