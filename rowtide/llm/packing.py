@@ -272,25 +272,37 @@ class _Index:
         return np.bincount(rows, np.concatenate([self.impact[s] for s in spans]), self.size)
 
 
+def _nearest(scores: np.ndarray, length: np.ndarray, room: int, several: int = 16) -> list[int]:
+    """Documents of positive score, the best first, as many as fill ``room`` or all of them."""
+    best = np.flatnonzero(scores > 0)
+    while several < len(best):
+        least = np.partition(scores, -several)[-several]
+        some = np.flatnonzero(scores >= least)
+        if length[some].sum() >= room:
+            best = some
+            break
+        several *= 4
+    return best[np.lexsort((best, -scores[best]))].tolist()
+
+
 def pack_shard(
     docs: list[np.ndarray], weight: np.ndarray, mean: float, window: int, words: int | None = None
 ) -> list[tuple[int, int, int, int, int]]:
     """Pieces of a shard's documents: ``document, start, length, sequence, offset``.
 
     The first unused document is the seed of a window; the unused documents that it retrieves
-    follow in the order of their BM25 score, for all distinct terms of the seed, until the window is full, and where none is left the
-    next unused ones do. The document that does not fit is cut, and its rest opens the next window as
+    follow in the order of their BM25 score, for all distinct terms of the seed, until the window is
+    full, and where none of positive score is left the next unused ones do. The document that does not fit is cut, and its rest opens the next window as
     its seed. So all windows but the last are full. Equal scores go by place.
     """
     index = _Index(docs, weight, mean)
     unused = np.ones(len(docs), bool)
-    length = [len(d) for d in docs]
+    length = np.array([len(d) for d in docs], np.int64)
     pieces = []
     sequence, offset, following = 0, 0, 0
     queue: list[int] = []
     rest: tuple[int, int] | None = None
     remaining = listed = len(docs)
-    mean_length = max(sum(length) / max(len(docs), 1), 1.0)
     while rest or remaining:
         if rest:
             doc, start = rest
@@ -303,7 +315,7 @@ def pack_shard(
             doc, start = queue.pop(0), 0
             unused[doc] = False
             remaining -= 1
-        take = min(length[doc] - start, window - offset)
+        take = min(int(length[doc]) - start, window - offset)
         if offset == 0 and remaining and take < window:
             # A new window: this document is its seed.
             if remaining < 0.8 * listed:
@@ -311,10 +323,7 @@ def pack_shard(
                 listed = remaining
             found = index.scores(doc, words)
             found[~unused] = 0
-            several = min(int((window - take) / mean_length * 2) + 4, len(found))
-            best = np.argpartition(-found, several - 1)[:several]
-            best = best[found[best] > 0]
-            queue = best[np.lexsort((best, -found[best]))].tolist()
+            queue = _nearest(found, length, window - take)
         pieces.append((doc, start, take, sequence, offset))
         offset += take
         rest = (doc, start + take) if start + take < length[doc] else None

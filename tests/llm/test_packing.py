@@ -4,7 +4,7 @@ from collections import defaultdict
 import numpy as np
 from tokenizers import Tokenizer
 
-from rowtide.llm.packing import B, K1, _Encoder, _Index, _is_word, _word_pairs, pack, pack_shard
+from rowtide.llm.packing import B, K1, _Encoder, _Index, _is_word, _nearest, _word_pairs, pack, pack_shard
 from rowtide.llm.queries import tokenizer_file
 
 
@@ -138,6 +138,25 @@ def test_dropping_used_documents_keeps_the_scores_of_others():
         assert np.array_equal(index.scores(d), np.where(unused, whole[d], 0))
 
 
+def test_short_neighbours_fill_the_window_before_others_do():
+    rng = np.random.default_rng(2)
+    docs = [np.concatenate([[i % 2], rng.integers(2, 40, 99) if i % 2 == 0 else np.full(1999, 50)]) for i in range(120)]
+    pieces = pack_shard([d.astype(np.uint16) for d in docs], np.ones(64, np.float32), 1050.0, 4096)
+    first = [doc for doc, _, _, sequence, _ in pieces if sequence == 0]
+    assert len(first) == 41 and all(doc % 2 == 0 for doc in first)
+
+
+def test_the_nearest_are_those_of_a_full_sort():
+    rng = np.random.default_rng(3)
+    for room in (0, 1, 50, 400, 10_000):
+        scores = np.maximum(rng.integers(-20, 30, 300), 0).astype(np.float64)
+        length = rng.integers(1, 9, 300)
+        order = [d for d in np.lexsort((np.arange(300), -scores)).tolist() if scores[d] > 0]
+        found = _nearest(scores, length, room)
+        assert found == order[: len(found)]
+        assert len(found) == len(order) or length[found].sum() >= room
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     rows = pack(odd_docs, tokenizer_file()).collect()
     assert sum(r.start == 0 for r in rows) == odd_docs.count()
