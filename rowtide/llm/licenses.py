@@ -171,22 +171,28 @@ class LicenseScanner:
                 ]
                 at = automaton.link[at]
             complete.append(tuple(found))
-        # Only templates are chained.
+        # Only templates are chained. For each state and template, the state of the longest of its
+        # words' endings that the template has, and where in the template that ends.
         first = len(self.phrases)
-        ends = [tuple(sorted(e for e in own if e[0] >= first)) for own in automaton.ends]
-        return numbers, automaton, complete, ends, lengths
+        inside: list[dict[int, tuple[int, tuple[int, ...]]]] = [{} for _ in automaton.link]
+        for state in sorted(range(1, len(automaton.link)), key=lambda s: automaton.length[s]):
+            inside[state].update(inside[automaton.link[state]])
+            for template in {t for t, _ in automaton.ends[state] if t >= first}:
+                places = sorted(e for t, e in automaton.ends[state] if t == template)
+                inside[state][template] = state, tuple(places)
+        return numbers, automaton, complete, inside, lengths
 
     def scan(self, text: bytes) -> dict:
         """Phrase places, and spans of templates as ``label, start, end, covered`` (a share)."""
-        numbers, automaton, complete, ends, lengths = self._index
+        numbers, automaton, complete, inside, lengths = self._index
         words = words_of(text)
         known = np.fromiter(map(numbers.get, words, _Missing()), np.int32, len(words))
         places: list[tuple[int, int]] = []
-        matches: list[tuple[int, int, int]] = []
+        matches: list[tuple[int, int, int, tuple[int, ...]]] = []
         shortest = min([self.shortest, *(n for n in lengths if n)], default=self.shortest)
         for low, high in _runs(known >= 0, shortest):
-            self._walk(known[low:high].tolist(), low, automaton, complete, places, matches)
-        spans = self._chain(matches, ends, lengths)
+            self._walk(known[low:high].tolist(), low, automaton, complete, inside, places, matches)
+        spans = self._chain(matches, lengths)
         starts = [start for _, start in places]
         base = {self.phrases[p][0] for p, _ in places}
         labels = base | {s["label"] for s in spans}
@@ -202,50 +208,60 @@ class LicenseScanner:
             "spans": spans,
         }
 
-    def _walk(self, run, low, automaton, complete, places, matches) -> None:
-        """Matching statistics of a run of known words; matches that cannot be longer are kept."""
+    def _walk(self, run, low, automaton, complete, inside, places, matches) -> None:
+        """Matching statistics of a run of known words. For each template the matches that cannot
+        be longer in it are kept, also within a longer match of another one."""
         step, link, length = automaton.step, automaton.link, automaton.length
         state = size = 0
         for offset, symbol in enumerate(run):
-            if symbol not in step[state]:
-                if size >= self.shortest:
-                    matches.append((low + offset - size, size, state))
-                while state > 0 and symbol not in step[state]:
-                    state = link[state]
-                    size = length[state]
+            while state > 0 and symbol not in step[state]:
+                state = link[state]
+                size = length[state]
             if symbol in step[state]:
                 state = step[state][symbol]
                 size += 1
             for phrase, words in complete[state]:
                 if size >= words:
                     places.append((phrase, low + offset - words + 1))
-        if size >= self.shortest:
-            matches.append((low + len(run) - size, size, state))
-
-    def _chain(self, matches, ends, lengths) -> list[dict]:
-        """Matches in one order in text and template, close together, joined to spans."""
-        open_spans: dict[int, dict] = {}
+            if size < self.shortest:
+                continue
+            after = run[offset + 1] if offset + 1 < len(run) else None
+            for template, (own, ends) in inside[state].items():
+                n = min(size, length[own])
+                longer = step[own].get(after)
+                if n >= self.shortest and not (longer and inside[longer].get(template, (0,))[0] == longer):
+                    matches.append((template, low + offset + 1 - n, n, ends))
+
+    def _chain(self, matches, lengths) -> list[dict]:
+        """Matches in one order in text and template, close together, joined to spans.
+
+        A match goes to the span of most words that it can follow, or opens another one.
+        """
+        open_spans: dict[int, list[dict]] = {}
         done = []
         first = len(self.phrases)
-        for start, size, state in matches:
-            for template in {t for t, _ in ends[state]}:
-                span = open_spans.get(template)
-                behind = [e - size + 1 for t, e in ends[state] if t == template]
-                after = [b for b in behind if span and b >= span["next"]]
-                if span and after and start - span["end"] <= self.gap and start >= span["end"]:
-                    span["words"] += size
-                    span["end"], span["next"] = start + size, min(after) + size
-                else:
-                    if span:
-                        done.append(span)
-                    open_spans[template] = {
+        for template, start, size, ends in matches:
+            spans = open_spans.setdefault(template, [])
+            done += [s for s in spans if start - s["end"] > self.gap]
+            spans[:] = [s for s in spans if start - s["end"] <= self.gap]
+            last = max(ends) - size + 1
+            before = [s for s in spans if start >= s["end"] and last >= s["next"]]
+            if before:
+                span = max(before, key=lambda s: s["words"])
+                span["words"] += size
+                span["end"] = start + size
+                span["next"] = min(e + 1 for e in ends if e - size + 1 >= span["next"])
+            else:
+                spans.append(
+                    {
                         "template": template,
                         "start": start,
                         "end": start + size,
-                        "next": min(behind) + size,
+                        "next": min(ends) + 1,
                         "words": size,
                     }
-        done += open_spans.values()
+                )
+        done += [s for spans in open_spans.values() for s in spans]
         spans = [
             {
                 "label": self.templates[s["template"] - first][0],

@@ -79,6 +79,46 @@ def test_each_template_is_covered_whole_and_with_changes(label, text):
         assert 0.6 <= span["covered"] < 1 and span["end"] == changed["n_words"]
 
 
+def test_a_template_is_found_inside_a_match_of_another():
+    scanner = LicenseScanner()
+    short, notice = dict(TEMPLATES)["apache-short"], dict(TEMPLATES)["apache-notice"]
+    found = scanner.scan(f"{short}. The code is big".encode())
+    assert found["labels"] == "apache,apache-short"
+    assert [(s["label"], s["start"], s["end"], s["covered"]) for s in found["spans"]] == [("apache-short", 0, 8, 1.0)]
+    spans = scanner.scan(notice.encode())["spans"]
+    assert [(s["label"], s["start"], s["end"]) for s in spans] == [("apache-short", 0, 8), ("apache-notice", 0, 31)]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_matches_of_each_template_equal_a_plain_search(seed):
+    random.seed(seed)
+    templates = [[random.choice("abcd") for _ in range(random.randint(3, 15))] for _ in range(4)]
+    scanner = LicenseScanner((), tuple((str(i), " ".join(t)) for i, t in enumerate(templates)))
+    text = [w for _ in range(30) for w in random.choice([random.choice(templates), random.choices("abcd", k=4)])]
+
+    def places(template, words):
+        return tuple(e for e in range(len(template)) if template[max(e - len(words) + 1, 0) : e + 1] == words)
+
+    expected = []
+    for end in range(len(text)):
+        for number, template in enumerate(templates):
+            fits = [b for b in range(end + 1) if places(template, text[b : end + 1])]
+            more = fits and end + 1 < len(text) and places(template, text[fits[0] : end + 2])
+            if fits and end + 1 - fits[0] >= scanner.shortest and not more:
+                expected.append((number, fits[0], end + 1 - fits[0], places(template, text[fits[0] : end + 1])))
+    numbers, automaton, complete, inside, _ = scanner._index
+    matches = []
+    scanner._walk([numbers[w.encode()] for w in text], 0, automaton, complete, inside, [], matches)
+    assert sorted(matches) == sorted(expected)
+
+
+def test_an_overlapping_match_does_not_end_a_span():
+    # After the change, "c d b" repeats words of the template and overlaps the first match.
+    scanner = LicenseScanner((), (("t", "c d b x y a b c d e f g h"),))
+    spans = scanner.scan(b"x y a b c d b e f g h")["spans"]
+    assert [(s["label"], s["start"], s["end"]) for s in spans] == [("t", 0, 11)]
+
+
 def test_clean_texts_have_no_labels():
     scanner = LicenseScanner()
     text = "The software runs on any computer and a copy of the file is on the disk. All rights are hers."
