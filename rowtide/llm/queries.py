@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rowtide.llm.common import load, remainder
 from rowtide.llm.langid import fit_languages, identify_languages
 from rowtide.llm.licenses import scan_licenses
+from rowtide.llm.linkgraph import LINK, filter_urls, rule_table
 from rowtide.llm.mixing import mixing_plan, with_copies, word_count
 from rowtide.llm.packing import pack
 from rowtide.llm.quality import score_quality
@@ -183,6 +184,73 @@ def op10_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(f"licenses.{n}" for n in names))
 
 
+URL_RULES = (
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+)
+
+
+def op13_linkgraph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(load(spark, sf_dir, "pages"), rule_table(spark, URL_RULES))
+
+
+# Walks go 30 steps, as the operator's do at most; what is left of them by then is below its digits.
+OP13_SQL = """
+WITH RECURSIVE rules(verdict, host, path) AS (VALUES %s),
+cut AS (
+  SELECT page_id, html, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+p AS (
+  SELECT row_number() OVER () AS n, page_id, html,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut),
+links AS MATERIALIZED (
+  SELECT DISTINCT host AS source, target
+  FROM (SELECT host, translate(unnest(regexp_extract_all(html, '%s', 1)),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS target FROM p)
+  WHERE host <> '' AND target <> '' AND host <> target),
+rows AS (
+  SELECT n, host, path FROM p
+  UNION ALL
+  SELECT DISTINCT NULL, target, '/' FROM links WHERE target NOT IN (SELECT host FROM p)),
+judged AS MATERIALIZED (
+  SELECT r.n, r.host, r.path,
+         first(u.host || u.path ORDER BY length(u.host || u.path) DESC, u.host || u.path, u.verdict DESC) AS rule,
+         first(u.verdict ORDER BY length(u.host || u.path) DESC, u.host || u.path, u.verdict DESC) AS rule_verdict
+  FROM rows r LEFT JOIN rules u
+    ON ends_with('.' || r.host, '.' || u.host) AND starts_with(r.path, u.path)
+  GROUP BY ALL),
+seeds AS (
+  SELECT host, avg(CASE WHEN rule_verdict = 'allow' THEN 1.0 ELSE 0 END) AS trust,
+         avg(CASE WHEN rule_verdict = 'block' THEN 1.0 ELSE 0 END) AS distrust
+  FROM judged WHERE host <> '' GROUP BY host),
+ways AS MATERIALIZED (
+  SELECT 'trust' AS kind, source AS host, target AS next, 0.85::DOUBLE / count(*) OVER (PARTITION BY source) AS share
+  FROM links
+  UNION ALL
+  SELECT 'distrust', target, source, 0.85::DOUBLE / count(*) OVER (PARTITION BY target) FROM links),
+walks(step, kind, host, mass) AS (
+  SELECT 0, 'trust', host, trust::DOUBLE FROM seeds WHERE trust > 0
+  UNION ALL
+  SELECT 0, 'distrust', host, distrust::DOUBLE FROM seeds WHERE distrust > 0
+  UNION ALL
+  SELECT step + 1, w.kind, y.next, sum(mass * share) FROM walks w JOIN ways y ON w.kind = y.kind AND w.host = y.host
+  WHERE step < 30 GROUP BY step + 1, w.kind, y.next),
+scores AS (
+  SELECT host, round(sum(CASE WHEN kind = 'trust' THEN mass ELSE 0 END), 9) AS trust,
+         round(sum(CASE WHEN kind = 'distrust' THEN mass ELSE 0 END), 9) AS distrust
+  FROM walks GROUP BY host)
+SELECT p.page_id, p.host, p.path, j.rule,
+       coalesce(j.rule_verdict, CASE WHEN s.distrust > s.trust THEN 'block' ELSE 'allow' END) AS verdict,
+       round(coalesce(s.trust, 0), 6) AS trust, round(coalesce(s.distrust, 0), 6) AS distrust
+FROM p JOIN judged j ON j.n = p.n LEFT JOIN scores s ON s.host = p.host
+""" % (", ".join(map(str, URL_RULES)), LINK.replace("'", "''"))
+
+
 def held_out(divisor: int):
     """Whether the id's remainder is 0; false for a null id, which teaches nothing either."""
     return F.coalesce(remainder(F.col("doc_id"), divisor) == 0, F.lit(False)).alias("held_out")
@@ -201,6 +269,7 @@ QUERIES = {
         op8_packing,
         op9_suffixtree,
         op10_license,
+        op13_linkgraph,
     )
 }
 ORACLES = {
@@ -208,4 +277,5 @@ ORACLES = {
     "op4_topk": OP4_SQL,
     "op6_rangejoin": OP6_SQL,
     "op7_warc": OP7_SQL,
+    "op13_linkgraph": OP13_SQL,
 }

@@ -6,7 +6,7 @@ import pytest
 
 from rowtide.llm import queries
 
-TABLES = "documents embeddings pages labels".split()
+TABLES = "documents embeddings pages labels conversations".split()
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
@@ -23,4 +23,4 @@ def test_query_equals_its_sql(spark, sf_dir, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].partition("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].partition("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
