@@ -10,6 +10,7 @@ from rowtide.llm.langid import fit_languages, identify_languages
 from rowtide.llm.licenses import scan_licenses
 from rowtide.llm.linkgraph import LINK, filter_urls, rule_table
 from rowtide.llm.mixing import mixing_plan, with_copies, word_count
+from rowtide.llm.negatives import mine_negatives
 from rowtide.llm.packing import pack
 from rowtide.llm.quality import score_quality
 from rowtide.llm.rangejoin import near_duplicate_vectors
@@ -184,6 +185,37 @@ def op10_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(f"licenses.{n}" for n in names))
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = load(spark, sf_dir, "embeddings").select(
+        "vec_id", label.alias("label"), whole_components(F.col("embedding"), 256).alias("vector")
+    )
+    return mine_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+OP11_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS anchor_id, q.label = c.label AS same, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.w, c.w), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+  FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s
+  ON s.anchor_id = p.anchor_id AND NOT s.same
+ AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+QUALIFY rank <= 5
+"""
+
 URL_RULES = (
     ("allow", "org", "/"),
     ("block", "example.org", "/es/"),
@@ -269,6 +301,7 @@ QUERIES = {
         op8_packing,
         op9_suffixtree,
         op10_license,
+        op11_negatives,
         op13_linkgraph,
     )
 }
@@ -277,5 +310,6 @@ ORACLES = {
     "op4_topk": OP4_SQL,
     "op6_rangejoin": OP6_SQL,
     "op7_warc": OP7_SQL,
+    "op11_negatives": OP11_SQL,
     "op13_linkgraph": OP13_SQL,
 }
