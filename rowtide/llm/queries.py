@@ -12,6 +12,7 @@ from rowtide.llm.linkgraph import LINK, filter_urls, rule_table
 from rowtide.llm.mixing import mixing_plan, with_copies, word_count
 from rowtide.llm.negatives import mine_negatives
 from rowtide.llm.packing import pack
+from rowtide.llm.prefixtrie import prefix_trie
 from rowtide.llm.quality import score_quality
 from rowtide.llm.rangejoin import near_duplicate_vectors
 from rowtide.llm.simhash import simhash_duplicates
@@ -216,6 +217,55 @@ FROM positives p JOIN scored s
 QUALIFY rank <= 5
 """
 
+def op12_prefixtrie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = F.col("conv_id") - F.col("conv_id") % 100
+    heads = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(6)).cast("int")
+    return prefix_trie(load(spark, sf_dir, "conversations"), base=base, heads=heads, most_heads=5)
+
+
+# CRC-32 takes a byte and eight shifts at a time.
+OP12_SQL = """
+WITH o AS (
+  SELECT conv_id, list({'id': id, 'size': size} ORDER BY turn NULLS FIRST, id) AS turns
+  FROM (SELECT conv_id, turn, length(coalesce(text, '')) AS size,
+               md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id
+        FROM conversations WHERE conv_id IS NOT NULL)
+  GROUP BY conv_id),
+h AS (
+  SELECT conv_id, turns, conv_id - conv_id % 100 AS base,
+         xor(list_reduce(
+           list_prepend(4294967295::UBIGINT, flatten(list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1),
+             lambda i: [ord(substr(CAST(conv_id AS VARCHAR), i, 1))::UBIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+           lambda a, x: xor(xor(a, x) >> 1, 3988292384::UBIGINT * (xor(a, x) & 1))), 4294967295::UBIGINT) % 6 AS heads
+  FROM o),
+r AS (
+  SELECT h.conv_id, list_concat(coalesce(b.turns[1:h.heads], []), h.turns[h.heads + 1:]) AS turns
+  FROM h LEFT JOIN o b ON b.conv_id = h.base),
+p AS (
+  SELECT conv_id, unnest(range(0, len(turns) + 1)) AS depth, turns FROM r),
+prefixes AS MATERIALIZED (
+  SELECT conv_id, depth, len(turns) = depth AS ended, coalesce(turns[depth].size, 0) AS size,
+         coalesce(list_aggregate(list_transform(turns[1:depth], lambda t: t.id), 'string_agg', ','), '') AS key,
+         coalesce(list_aggregate(list_transform(turns[1:depth - 1], lambda t: t.id), 'string_agg', ','), '') AS parent
+  FROM p),
+nodes AS MATERIALIZED (
+  SELECT key, depth, first(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * first(size) AS saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ended), '')) AS ends_sha256
+  FROM prefixes GROUP BY key, depth),
+children AS (SELECT parent, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY parent),
+subtrees AS (
+  SELECT a.key, sum(n.saved) AS saved_tokens, count(*) FILTER (c.n IS NULL) AS n_leaves
+  FROM nodes n JOIN prefixes a ON a.conv_id = n.conv_id AND a.depth <= n.depth
+  LEFT JOIN children c ON c.parent = n.key
+  GROUP BY a.key)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, CASE WHEN n.depth > 0 THEN u.conv_id END AS parent_conv_id,
+       CAST(n.n_convs AS BIGINT) AS n_convs, CAST(coalesce(c.n, 0) AS BIGINT) AS n_children,
+       CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN subtrees s ON s.key = n.key JOIN nodes u ON u.key = n.parent
+LEFT JOIN children c ON c.parent = n.key
+"""
+
 URL_RULES = (
     ("allow", "org", "/"),
     ("block", "example.org", "/es/"),
@@ -302,6 +352,7 @@ QUERIES = {
         op9_suffixtree,
         op10_license,
         op11_negatives,
+        op12_prefixtrie,
         op13_linkgraph,
     )
 }
@@ -311,5 +362,6 @@ ORACLES = {
     "op6_rangejoin": OP6_SQL,
     "op7_warc": OP7_SQL,
     "op11_negatives": OP11_SQL,
+    "op12_prefixtrie": OP12_SQL,
     "op13_linkgraph": OP13_SQL,
 }
