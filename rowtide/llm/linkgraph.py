@@ -69,8 +69,12 @@ def rules_of_hosts(hosts: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def judge(rows: DataFrame, rules: DataFrame) -> DataFrame:
-    """``rows`` with ``host`` and ``path``, and the longest rule that fits: ``rule``, ``rule_verdict``, or nulls."""
-    found = rules_of_hosts(rows.select("host").distinct(), rules)
+    """``rows`` with ``host`` and ``path``, and the longest rule that fits: ``rule``, ``rule_verdict``, or nulls.
+
+    The hosts' rules are written first. Spark then joins them by a measured size, or splits the rows of a
+    host that has very many, which it cannot where the other side is an aggregate.
+    """
+    found = stored(rules_of_hosts(rows.select("host").distinct(), rules), "host-rules")
     best = F.get(F.filter("rules", lambda r: F.startswith(F.col("path"), r["rule_path"])), F.lit(0))
     return (
         rows.join(found, "host", "left")
@@ -175,7 +179,7 @@ def filter_urls(
         .groupBy("host")
         .agg(*(F.avg(F.coalesce(F.col("rule_verdict") == v, F.lit(False)).cast("int")).alias(k) for k, v in share.items()))
     )
-    scores = spread(links, seeds, damping=damping, rounds=rounds)
+    scores = stored(spread(links, seeds, damping=damping, rounds=rounds), "host-scores")
     by_host = F.when(F.col("distrust") > threshold * F.col("trust"), "block").otherwise("allow")
     return (
         judged.join(scores, "host", "left")
