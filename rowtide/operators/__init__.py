@@ -31,6 +31,8 @@ from rowtide.operators.relations import (
     with_parent,
 )
 from rowtide.operators.state import (
+    after_truncate,
+    change_order,
     compacted,
     count_rows,
     current_state,
@@ -42,8 +44,10 @@ from rowtide.operators.state import (
 )
 
 __all__ = [
+    "after_truncate",
     "cascade_deleted",
     "cascade_survivors",
+    "change_order",
     "change_rate",
     "compacted",
     "connect_schema",

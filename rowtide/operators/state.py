@@ -15,37 +15,50 @@ from rowtide.specs import TableSpec
 # What orders the changes of one key, strongest first. The log position decides; arrival
 # on the topic settles changes that share one, and then the event time.
 ORDER = ("lsn", "offset", "event_ts")
+TEXT_ORDER = ("position", "offset", "event_ts")
 TRUNCATE_OP = "t"
 
 
-def _order_names(log: DataFrame, order_by: tuple[str, ...] | None) -> tuple[str, ...]:
+def natural(text: Column) -> Column:
+    """A text's order where runs of digits count as numbers: ``file.9`` before ``file.10``."""
+    digits = lambda run: F.regexp_replace(run, r"^0+(?=\d)", "")
+    number = lambda run: F.concat(F.lpad(F.length(digits(run)).cast("string"), 4, "0"), digits(run))
+    runs = F.regexp_extract_all(text, F.lit(r"(\d+|\D+)"), F.lit(1))
+    return F.when(text.isNotNull(), F.transform(runs, lambda run: F.when(run.rlike(r"^\d"), number(run)).otherwise(run)))
+
+
+def _order_names(
+    log: DataFrame, spec: TableSpec, order_by: tuple[str, ...] | None
+) -> tuple[str, ...]:
     if order_by:
         return tuple(order_by)
-    if "lsn" not in log.columns:
-        raise ValueError("the log has no lsn to order changes by; keep it, or give order_by")
-    return tuple(n for n in ORDER if n in log.columns)
+    usual = ORDER if spec.position == "number" else TEXT_ORDER
+    if usual[0] not in log.columns:
+        raise ValueError(f"the log has no {usual[0]} to order changes by; keep it, or give order_by")
+    return tuple(n for n in usual if n in log.columns)
 
 
-def _order(log: DataFrame, order_by: tuple[str, ...] | None) -> Column:
-    """The order as one value that is never null, since ``max_by`` passes over nulls."""
-    names = _order_names(log, order_by)
-    if len(names) == 1 and log.schema[names[0]].dataType.typeName() == "long":
-        return F.coalesce(F.col(names[0]), F.lit(-(2**63)))
-    return F.struct(*names)
+def change_order(
+    log: DataFrame, spec: TableSpec, order_by: tuple[str, ...] | None = None
+) -> Column:
+    """The order of changes as one value that is never null, since ``max_by`` passes over nulls.
 
+    A change without the position, or without any column that ``order_by`` names, cannot be placed
+    among the others and fails the query, rather than give a state by accident.
+    """
+    names = _order_names(log, spec, order_by)
+    needed = names if order_by else names[:1]
 
-def _since_truncate(log: DataFrame, order: Column) -> DataFrame:
-    """The changes after the last truncate of the table, or all of them if there is none.
+    def place(name: str) -> Column:
+        value, kind = F.col(name), log.schema[name].dataType
+        if name in needed:
+            missing = f"a change without {name}: it cannot be ordered; give order_by"
+            value = F.coalesce(value, F.raise_error(F.lit(missing)).cast(kind))
+        if name == "position" and spec.position != "text":
+            value = natural(value)
+        return value.alias(name)
 
-    The truncate's place is one value, found by a scan of the operations and the order alone. A
-    stream cannot look ahead for it and fails on a truncate instead of keeping rows that are gone.
-    """
-    truncate = F.col("op") == TRUNCATE_OP
-    if log.isStreaming:
-        stop = F.raise_error(F.lit("a truncate in the log: build the state anew from a batch"))
-        return log.filter(F.when(truncate, stop.cast("boolean")).otherwise(F.lit(True)))
-    last = log.filter(truncate).agg(F.max(order).alias("last")).scalar()
-    return log.filter(last.isNull() | (order > last))
+    return place(names[0]) if len(names) == 1 else F.struct(*map(place, names))
 
 
 def keyed(log: DataFrame, spec: TableSpec) -> DataFrame:
@@ -56,12 +69,28 @@ def keyed(log: DataFrame, spec: TableSpec) -> DataFrame:
     return rows.dropna(subset=spec.key_columns)
 
 
+def _live(log: DataFrame, spec: TableSpec, order: Column) -> DataFrame:
+    """The changes of rows after the last truncate of the table, or all of them if there is none.
+
+    The truncate's place is one value, found by a scan of the operations and the order alone. A
+    stream cannot look ahead for it and fails on a truncate instead of keeping rows that are gone;
+    ``last_changes`` with ``truncates`` gives it along.
+    """
+    truncate = F.col("op") == TRUNCATE_OP
+    if log.isStreaming:
+        stop = F.raise_error(F.lit("a truncate in the log: keep it with the state, or use a batch"))
+        return keyed(log.filter(F.when(truncate, stop.cast("boolean")).otherwise(F.lit(True))), spec)
+    last = log.filter(truncate).agg(F.max(order).alias("last")).scalar()
+    return keyed(log, spec).filter(last.isNull() | (order > last))
+
+
 def last_changes(
     log: DataFrame,
     spec: TableSpec,
     *,
     columns: list[str] | None = None,
     order_by: tuple[str, ...] | None = None,
+    truncates: bool = False,
 ) -> DataFrame:
     """The last change of every key since the last truncate, deletes included.
 
@@ -69,16 +98,33 @@ def last_changes(
     so a key with very many changes is spread over the tasks that read it, and it runs on a stream
     too. The rows are sorted for that on either side of the shuffle; ``compacted`` keeps the log
     that has to be sorted short.
+
+    With ``truncates`` nothing is looked up ahead, so that a stream keeps running: the last truncate is one
+    more row, without a key, and ``changed_at`` says where in the log each row's change stands.
+    ``after_truncate`` takes from them what is there.
     """
     carried = spec.columns if columns is None else columns
-    order = _order(log, order_by)
-    last = F.max_by(F.struct(F.col("is_deleted"), *carried), order)
-    return (
-        keyed(_since_truncate(log, order), spec)
-        .groupBy(*spec.key_columns)
-        .agg(last.alias("row"))
-        .select(*spec.key_columns, "row.*")
+    order = change_order(log, spec, order_by)
+    row = F.struct(F.col("is_deleted"), *carried)
+    if not truncates:
+        rows = _live(log, spec, order).groupBy(*spec.key_columns)
+        return rows.agg(F.max_by(row, order).alias("row")).select(*spec.key_columns, "row.*")
+    cut = F.col("op") == TRUNCATE_OP
+    keys = {f"pk_{k}": F.when(~cut, F.coalesce(F.col(f"pk_{k}"), F.col(k))) for k in spec.key}
+    whole = cut | F.concat(*(F.col(k).cast("string") for k in spec.key_columns)).isNotNull()
+    rows = log.filter(F.col("op").isin(*AFTER_OPS, DELETE_OP, TRUNCATE_OP)).withColumns(keys).filter(whole)
+    last = rows.withColumn("truncates", cut).groupBy(*spec.key_columns, "truncates").agg(
+        F.max_by(row, order).alias("row"), F.max(order).alias("changed_at")
     )
+    return last.select(*spec.key_columns, "truncates", "changed_at", "row.*")
+
+
+def after_truncate(rows: DataFrame) -> DataFrame:
+    """The rows that no truncate took, out of ``last_changes`` with ``truncates``. The last truncate is
+    one value, whatever came in between."""
+    last = rows.filter("truncates").agg(F.max("changed_at").alias("last")).scalar()
+    live = rows.filter(~F.col("truncates") & (last.isNull() | (F.col("changed_at") > last)))
+    return live.drop("truncates", "changed_at")
 
 
 def current_state(
@@ -92,7 +138,8 @@ def current_state(
     nothing from before a truncate.
 
     ``columns`` names the columns that are needed; the others are neither read nor shuffled.
-    The log must have its positions (``lsn``), unless ``order_by`` says what else orders it.
+    The log must have its positions (``lsn``, or ``position`` where the specification says that they are
+    text), unless ``order_by`` says what else orders it; a change without one fails the query.
     """
     carried = spec.columns if columns is None else columns
     last = last_changes(log, spec, columns=carried, order_by=order_by)
@@ -104,9 +151,9 @@ def compacted(
 ) -> DataFrame:
     """The log cut to what later states need: the last change of every key, and the last
     truncate. It is a log again, so ``current_state`` of it is that of the whole log."""
-    order = _order(log, order_by)
+    order = change_order(log, spec, order_by)
     last = F.max_by(F.struct(*log.columns), order).alias("row")
-    rows = keyed(_since_truncate(log, order), spec).groupBy(*spec.key_columns).agg(last)
+    rows = _live(log, spec, order).groupBy(*spec.key_columns).agg(last)
     truncates = log.filter(F.col("op") == TRUNCATE_OP).agg(last).filter(F.col("row").isNotNull())
     return rows.select("row.*").unionByName(truncates.select("row.*"))
 
@@ -131,10 +178,10 @@ def state_for_sql(
     at an aggregate of whole rows. The limit of one row per key is applied in each task before
     the shuffle, too. Windows of this kind do not run on streams.
     """
-    names = _order_names(log, order_by)
-    latest_first = W.partitionBy(*spec.key_columns).orderBy(*map(F.desc_nulls_last, names))
+    order = change_order(log, spec, order_by)
+    latest_first = W.partitionBy(*spec.key_columns).orderBy(order.desc())
     return (
-        keyed(_since_truncate(log, _order(log, order_by)), spec)
+        _live(log, spec, order)
         .withColumn("_place", F.row_number().over(latest_first))
         .filter((F.col("_place") == 1) & ~F.col("is_deleted"))
         .select(*spec.columns)
@@ -149,9 +196,9 @@ def count_rows(
     Carries only the delete flag, so with ``lsn`` as the only order the aggregate stays a hash
     aggregate on fixed-width buffers.
     """
-    order = _order(log, order_by)
+    order = change_order(log, spec, order_by)
     flag = F.max_by("is_deleted", order).alias("is_deleted")
-    last = keyed(_since_truncate(log, order), spec).groupBy(*spec.key_columns).agg(flag)
+    last = _live(log, spec, order).groupBy(*spec.key_columns).agg(flag)
     return last.filter(~F.col("is_deleted")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 

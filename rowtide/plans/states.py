@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.operators import rates, relations, state
+from rowtide.operators.capture import to_records
 from rowtide.operators.changelog import decode
 from rowtide.plans import sql
 from rowtide.plans import testdata as td
@@ -86,6 +89,40 @@ def current_after_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return td.zoneless(state.current_state(log.unionByName(truncate), td.ORDERS))
 
 
+def truncated_at_median(log: DataFrame) -> DataFrame:
+    """The log with a truncate in the middle of its deletes."""
+    middle = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY lsn)").cast("long")
+    place = log.filter(F.col("op") == "d").agg(middle.alias("lsn"))
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in log.schema if f.name not in ("op", "is_deleted", "lsn")]
+    truncate = place.select(F.lit("t").alias("op"), F.lit(False).alias("is_deleted"), "lsn", *nothing)
+    return log.unionByName(truncate)
+
+
+@query(
+    f"""{sql.ORDERS_LOG},
+cut AS (SELECT quantile_disc(lsn, 0.5) AS place FROM log WHERE op = 'd')
+SELECT id, user_id, product_name, amount, created_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY pk_id ORDER BY lsn DESC) AS rn
+  FROM log WHERE lsn > (SELECT place FROM cut))
+WHERE rn = 1 AND NOT is_deleted"""
+)
+def truncated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders table after a truncate in the middle of its log."""
+    return td.zoneless(state.current_state(truncated_at_median(orders_log(spark, sf_dir)), td.ORDERS))
+
+
+@query(f"{sql.ORDERS_STATE} SELECT id, user_id, product_name, amount, created_at FROM state")
+def current_orders_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders table out of a log whose positions are a file and a number as text: the changes of a
+    key stand at 8, 9 and 10, which texts would put in another order."""
+    spec = replace(td.ORDERS, position="natural")
+    place = F.concat(F.lit("log."), F.col("id").cast("string"), F.lit(":"), (F.col("lsn") % 10 + 8).cast("string"))
+    row = F.coalesce("after", "before")
+    changes = td.orders_history(spark, sf_dir).withColumns({"id": row["id"], "offset": F.col("lsn")})
+    records = to_records(changes.withColumn("lsn", place), spec)
+    return td.zoneless(state.current_state(decode(records, spec, extras=("position",)), spec))
+
+
 AS_OF = "1999-06-01 00:00:01"
 
 

@@ -13,7 +13,7 @@ from rowtide.plans import sql
 from rowtide.plans import testdata as td
 from rowtide.plans.logs import DAMAGED_SQL, damaged_orders
 from rowtide.plans.registry import ORACLES, query
-from rowtide.plans.states import THRESHOLD
+from rowtide.plans.states import THRESHOLD, truncated_at_median
 from rowtide.session import scratch
 from rowtide.sources import read_replay, read_table, write_replay
 from rowtide.specs import TableSpec
@@ -30,6 +30,7 @@ from rowtide.streaming import (
     start_changelogs,
     start_current_state,
     start_rejects,
+    state_keys,
     write_batches,
 )
 
@@ -170,7 +171,31 @@ def stream_current_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
             log, td.ORDERS, place.table, place.checkpoint, trigger=ONCE
         ).awaitTermination()
         if number == 0:
-            fold_upserts(spark, place.table, td.ORDERS.key_columns, upto=0)
+            fold_upserts(spark, place.table, state_keys(td.ORDERS), upto=0)
+    return td.zoneless(read_current_state(spark, td.ORDERS, place.table))
+
+
+@query(ORACLES["truncated_orders"])
+def stream_current_after_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current orders, kept by a stream that runs on over a truncate: first events in one run,
+    updates, the truncate and deletes in another."""
+    place = Replay(spark)
+    log = decode(td.order_records(spark, sf_dir), td.ORDERS, extras=("lsn",))
+    truncate = truncated_at_median(log).filter("op = 't'").select("lsn")
+    body = F.format_string('{"payload":{"op":"t","ts_ms":0,"source":{"lsn":%d}}}', "lsn")
+    changes = td.orders_history(spark, sf_dir)
+    for number, part in enumerate(first_and_later(changes)):
+        records = to_records(part, td.ORDERS)
+        if number:
+            columns = {"key": F.lit(None).cast("binary"), "value": body.cast("binary"), "topic": F.lit(td.ORDERS.topic),
+                       "partition": F.lit(0), "offset": F.col("lsn"), "timestamp": F.lit(0).cast("timestamp"),
+                       "timestampType": F.lit(0)}
+            records = records.unionByName(truncate.withColumns(columns).select(*records.columns))
+        place.put(records)
+        streamed = place.log(td.ORDERS, extras=("lsn",))
+        start_current_state(
+            streamed, td.ORDERS, place.table, place.checkpoint, trigger=ONCE
+        ).awaitTermination()
     return td.zoneless(read_current_state(spark, td.ORDERS, place.table))
 
 

@@ -66,15 +66,23 @@ class Field:
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A captured table: where its changes arrive and what its rows look like."""
+    """A captured table: where its changes arrive and what its rows look like.
+
+    ``position`` says how the source writes log positions, and so how changes are ordered: as a
+    ``number`` (``lsn``); as text with numbers in it, such as a file and an offset, ``natural``; or as
+    ``text`` of equal lengths, such as hexadecimal.
+    """
 
     name: str
     fields: tuple[Field, ...]
     key: tuple[str, ...] = ("id",)
     schema: str = "public"
     prefix: str = "appdb"
+    position: str = "number"
 
     def __post_init__(self):
+        if self.position not in ("number", "natural", "text"):
+            raise ValueError(f"unknown kind of position {self.position!r} for {self.name!r}")
         missing = set(self.key) - {f.name for f in self.fields}
         if missing:
             raise ValueError(f"key columns {sorted(missing)} are not columns of {self.name!r}")

@@ -17,6 +17,7 @@ from rowtide.streaming.state import (
     start_change_rate,
     start_current_state,
     start_upserts,
+    state_keys,
     write_batches,
 )
 
@@ -37,5 +38,6 @@ __all__ = [
     "start_current_state",
     "start_rejects",
     "start_upserts",
+    "state_keys",
     "write_batches",
 ]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rowtide.operators.rates import change_rate, rate_alerts
-from rowtide.operators.state import change_place, last_changes
+from rowtide.operators.state import after_truncate, change_place, last_changes
 from rowtide.session import STATE_STORE_CONF, defaults
 from rowtide.specs import TableSpec
 
@@ -140,17 +140,25 @@ def start_current_state(
 ) -> StreamingQuery:
     """Start keeping the current rows of a table.
 
-    The state is one row per key. Batches touch only the keys that changed; the log is never
-    read again. A truncate stops the query: the state cannot be emptied on a stream.
+    The state is one row per key, and one for the last truncate. Batches touch only the keys that
+    changed; the log is never read again. A truncate takes no rows out of the state, where they
+    may still be told from changes that come late; readers leave out what stands before it.
     """
-    return start_upserts(last_changes(log, spec), path, checkpoint, **sink)
+    return start_upserts(last_changes(log, spec, truncates=True), path, checkpoint, **sink)
 
 
 def read_current_state(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
-    rows = read_upserts(spark, path, spec.key_columns)
+    """The table as the stream has it: its last changes, without deleted rows and those that a
+    truncate took."""
+    rows = after_truncate(read_upserts(spark, path, state_keys(spec)))
     return rows.filter(~F.col("is_deleted")).select(*spec.columns)
 
 
+def state_keys(spec: TableSpec) -> list[str]:
+    """The key that the batches of ``start_current_state`` are written, read and folded by."""
+    return [*spec.key_columns, "truncates"]
+
+
 def start_change_rate(
     log: DataFrame,
     path: str,

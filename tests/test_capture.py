@@ -1,6 +1,7 @@
 """Changes from tables, records from changes, and tables from logs again."""
 
 import json
+from dataclasses import replace
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -218,7 +219,7 @@ def test_state_leaves_out_what_speaks_of_no_row(spark):
 
 def test_nothing_from_before_a_truncate_is_left(spark):
     cut = (None, "t", None, None, None, None, None, T0, False, 3)
-    log = spark.createDataFrame([entry(1, "c", 1), entry(2, "c", 2), cut, entry(3, "c", 4), entry(2, "c", None)], LOG)
+    log = spark.createDataFrame([entry(1, "c", 1), entry(2, "c", 2), cut, entry(3, "c", 4)], LOG)
     assert names(current_state(log, ORDERS)) == names(state_for_sql(log, ORDERS)) == [(3, "Anvil")]
     assert count_rows(log, ORDERS, order_by=("lsn",)).first()[0] == 1
     early = log.filter("lsn < 3")
@@ -245,9 +246,7 @@ def test_a_fold_reads_the_earlier_fold_and_the_slice(spark, tmp_path):
 
 
 def test_state_needs_the_position_or_another_order(spark):
-    log = spark.createDataFrame([entry(1, "c", None), entry(2, "c", None, ts=None)], LOG)
-    assert names(current_state(log, ORDERS)) == [(1, "Anvil"), (2, "Anvil")]
-    assert names(current_state(log, ORDERS, order_by=("lsn",))) == [(1, "Anvil"), (2, "Anvil")]
+    log = spark.createDataFrame([entry(1, "c", 1), entry(2, "c", 2)], LOG)
     bare = log.drop("lsn")
     for state in (current_state, state_for_sql, count_rows, compacted):
         with pytest.raises(ValueError, match="lsn"):
@@ -256,6 +255,50 @@ def test_state_needs_the_position_or_another_order(spark):
     assert count_rows(log, ORDERS, order_by=("lsn",)).first()[0] == 2
 
 
+@pytest.mark.parametrize(
+    "rows",
+    [
+        [entry(1, "c", 10, "old"), entry(1, "u", None, "new")],
+        [(None, "t", None, None, None, None, None, T0, False, 5), entry(1, "c", None)],
+        [entry(1, "c", None, "first"), entry(1, "u", None, "second")],
+        [(None, "t", None, None, None, None, None, T0, False, None), entry(1, "c", 3)],
+    ],
+)
+def test_changes_without_position_are_refused(spark, rows):
+    log = spark.createDataFrame(rows, LOG)
+    wide = log.withColumns({"offset": F.lit(1).cast("long"), "position": F.lit("f.1")})
+    for state in (current_state, state_for_sql, count_rows, compacted, lambda log, spec: fold(log.limit(0), log, spec)):
+        for given in (log, wide):
+            with pytest.raises(Exception, match="without lsn"):
+                state(given, ORDERS).collect()
+    # What says nothing of a row needs no place.
+    other = spark.createDataFrame([entry(1, "c", 1), entry(2, "x", None), entry(None, "c", None, id=None)], LOG)
+    assert names(current_state(other, ORDERS)) == [(1, "Anvil")]
+
+
+def test_another_order_must_be_whole(spark):
+    log = spark.createDataFrame([entry(1, "c", None, "old"), entry(1, "u", None, "new", ts=datetime(2024, 1, 2))], LOG)
+    assert names(current_state(log, ORDERS, order_by=("event_ts",))) == [(1, "new")]
+    holes = log.withColumn("event_ts", F.when(F.col("op") == "u", F.col("event_ts")))
+    with pytest.raises(Exception, match="without event_ts"):
+        current_state(holes, ORDERS, order_by=("event_ts",)).collect()
+
+
+def test_textual_positions_go_by_their_numbers(spark):
+    places = ["bin.000009:154", "bin.000010:4", "bin.10:30", "bin.10:0200", "bin.10:200x", "bin.11", "cin.1"]
+    log = spark.createDataFrame([entry(1, "u", None, p) for p in reversed(places)], LOG).withColumn("position", F.col("product_name"))
+    by_number, by_text = replace(ORDERS, position="natural"), replace(ORDERS, position="text")
+    for n in range(1, len(places) + 1):
+        some = log.filter(F.col("product_name").isin(places[:n]))
+        assert names(current_state(some, by_number)) == names(state_for_sql(some, by_number)) == [(1, places[n - 1])]
+        assert names(current_state(some, ORDERS, order_by=("position",))) == [(1, places[n - 1])]
+    assert names(current_state(log.filter("product_name < 'bin.2'"), by_text)) == [(1, "bin.11")]
+    with pytest.raises(Exception, match="without position"):
+        current_state(log.withColumn("position", F.lit(None).cast("string")), by_number).collect()
+    with pytest.raises(ValueError, match="position"):
+        replace(ORDERS, position="hex")
+
+
 def test_commit_order(spark):
     t = table(spark, [row(i) for i in range(100, 0, -1)])
     changes = in_commit_order(snapshot_events(t, ORDERS, F.col("created_at"), F.col("id")), 4)
@@ -296,7 +339,7 @@ def test_state_reads_only_what_is_asked_for(spark, tmp_path):
 def test_state_for_sql(spark, tmp_path):
     path = str(tmp_path / "log")
     rows = [entry(1, "c", 1, "old"), entry(1, "u", 2, "new"), entry(2, "c", 3), entry(2, "d", 4),
-            entry(3, "c", None), (None, "x", None, None, None, None, None, T0, False, 9)]
+            entry(3, "c", 5), (None, "x", None, None, None, None, None, T0, False, 9)]
     spark.createDataFrame(rows, LOG).write.parquet(path)
     log = spark.read.parquet(path)
     assert names(state_for_sql(log, ORDERS)) == names(current_state(log, ORDERS)) == [(1, "new"), (3, "Anvil")]

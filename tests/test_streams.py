@@ -43,6 +43,7 @@ from rowtide.streaming import (
     start_changelogs,
     start_current_state,
     start_upserts,
+    state_keys,
     write_batches,
 )
 
@@ -194,7 +195,7 @@ def test_batches_in_a_fold_are_not_read_again(spark, sf_dir, tmp_path):
         batch = len(states)
         if batch < 2:
             before = rows(read_current_state(spark, td.ORDERS, table))
-            fold_upserts(spark, table, td.ORDERS.key_columns, upto=batch)
+            fold_upserts(spark, table, state_keys(td.ORDERS), upto=batch)
             assert rows(read_current_state(spark, td.ORDERS, table)) == before
         states.append(read_current_state(spark, td.ORDERS, table))
     from rowtide.operators import current_state
@@ -230,15 +231,38 @@ def test_delta_upserts_are_one_table(monkeypatch):
     ]
 
 
-def test_a_truncate_stops_a_streamed_state(spark, sf_dir, tmp_path):
-    topic = str(tmp_path / "topic")
-    records = td.user_records(spark, sf_dir).limit(3)
-    text = F.regexp_replace(F.col("value").cast("string"), '"op":"[a-z]"', '"op":"t"')
-    write_replay(records.withColumn("value", text.cast("binary")), topic)
-    log = decode(read_replay(spark, topic), td.USERS, extras=("lsn",))
-    job = start_current_state(log, td.USERS, str(tmp_path / "t"), str(tmp_path / "p"), trigger=ONCE)
-    with pytest.raises(StreamingQueryException, match="truncate"):
-        job.awaitTermination()
+def test_a_streamed_state_goes_on_over_truncates(spark, tmp_path):
+    """Truncates in the middle of a batch and between batches, changes from before one that come late,
+    and folds."""
+    from rowtide.operators import current_state
+    topic, path, progress = (str(tmp_path / p) for p in ("topic", "table", "progress"))
+    seen = []
+
+    def record(op, lsn, key=None):
+        image = f'{{"id":{key},"full_name":"n{lsn}","email":"e","created_at":0}}'
+        sides = '"after":null' if op == "t" else f'"before":{image}' if op == "d" else f'"after":{image}'
+        value = f'{{"payload":{{{sides},"op":"{op}","ts_ms":{lsn},"source":{{"lsn":{lsn}}}}}}}'
+        name = None if key is None else f'{{"payload":{{"id":{key}}}}}'.encode()
+        return (name, value.encode(), td.USERS.topic, 0, lsn, datetime(2024, 1, 1), 0)
+
+    batches = [
+        [record("c", 1, 1), record("c", 2, 2), record("t", 3), record("c", 4, 2), record("c", 5, 3)],
+        [record("u", 6, 3), record("c", 2, 9), record("d", 7, 2)],
+        [record("t", 8)],
+        [record("c", 7, 4), record("c", 9, 1)],
+    ]
+    for number, batch in enumerate(batches):
+        seen += batch
+        write_replay(spark.createDataFrame(batch, RECORD_TYPE), topic)
+        log = decode(read_replay(spark, topic), td.USERS, extras=("lsn",))
+        start_current_state(log, td.USERS, path, progress, trigger=ONCE).awaitTermination()
+        whole = decode(spark.createDataFrame(seen, RECORD_TYPE), td.USERS, extras=("lsn",))
+        expected = rows(current_state(whole, td.USERS))
+        assert rows(read_current_state(spark, td.USERS, path)) == expected
+        if number == 1:
+            fold_upserts(spark, path, state_keys(td.USERS), upto=1)
+            assert rows(read_current_state(spark, td.USERS, path)) == expected
+    assert [r[0] for r in expected] == [1]
 
 
 def test_redelivery_on_a_stream_keeps_changes_without_position(spark, sf_dir, tmp_path):
