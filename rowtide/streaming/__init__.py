@@ -5,6 +5,7 @@ from rowtide.streaming.changelog import (
     start_changelogs,
     start_rejects,
 )
+from rowtide.streaming.maintained import MaintainedJoin, start_maintained_join
 from rowtide.streaming.progress import Progress
 from rowtide.streaming.state import (
     batch_folders,
@@ -22,6 +23,7 @@ from rowtide.streaming.state import (
 )
 
 __all__ = [
+    "MaintainedJoin",
     "Progress",
     "append_to_table",
     "await_any",
@@ -36,6 +38,7 @@ __all__ = [
     "start_changelog",
     "start_changelogs",
     "start_current_state",
+    "start_maintained_join",
     "start_rejects",
     "start_upserts",
     "state_keys",
