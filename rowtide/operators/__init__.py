@@ -21,6 +21,7 @@ from rowtide.operators.constraints import (
     unique_violations,
 )
 from rowtide.operators.generate import ingest_summary, new_orders, new_users, serial_ids
+from rowtide.operators.intervals import at_position, at_time, interval_join, live, versions
 from rowtide.operators.rates import change_rate, rate_alerts
 from rowtide.operators.rejects import judged, log_of, rejects, rejects_of
 from rowtide.operators.relations import (
@@ -45,6 +46,8 @@ from rowtide.operators.state import (
 
 __all__ = [
     "after_truncate",
+    "at_position",
+    "at_time",
     "cascade_deleted",
     "cascade_survivors",
     "change_order",
@@ -64,9 +67,11 @@ __all__ = [
     "ingest_summary",
     "insert_events",
     "insert_if_absent",
+    "interval_join",
     "judged",
     "key_only",
     "last_changes",
+    "live",
     "log_of",
     "new_orders",
     "new_users",
@@ -85,6 +90,7 @@ __all__ = [
     "topic_name",
     "unique_violations",
     "update_events",
+    "versions",
     "with_offsets",
     "with_parent",
 ]

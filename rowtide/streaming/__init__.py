@@ -5,6 +5,7 @@ from rowtide.streaming.changelog import (
     start_changelogs,
     start_rejects,
 )
+from rowtide.streaming.history import History
 from rowtide.streaming.maintained import MaintainedJoin, start_maintained_join
 from rowtide.streaming.progress import Progress
 from rowtide.streaming.state import (
@@ -23,6 +24,7 @@ from rowtide.streaming.state import (
 )
 
 __all__ = [
+    "History",
     "MaintainedJoin",
     "Progress",
     "append_to_table",

@@ -57,6 +57,9 @@ class Numbered:
     def batches(self) -> list[int]:
         return self._numbers(self.path, "batch_id=")
 
+    def folds(self) -> list[int]:
+        return self._numbers(f"{self.path}-folded", "upto=")
+
     def _save(self, rows: DataFrame, path: str) -> None:
         """Spark gathers each bucket into few files, and splits one of very many rows."""
         bucket = self.bucket([F.col(k) for k in self.bucket_by])
@@ -80,7 +83,7 @@ class Numbered:
     def read(self, upto: int, buckets: list[int] | None = None) -> DataFrame:
         """All rows up to a batch: of the newest fold and the batches after it, and of some buckets only if
         they are given."""
-        upto_fold = max((n for n in self._numbers(f"{self.path}-folded", "upto=") if n <= upto), default=-1)
+        upto_fold = max((n for n in self.folds() if n <= upto), default=-1)
         found = self.spark.createDataFrame([], self.schema)
         if upto_fold >= 0:
             found = self.spark.read.schema(self.schema).parquet(f"{self.path}-folded/upto={upto_fold}")
