@@ -19,9 +19,11 @@ from rowtide.sources import read_replay, read_table, write_replay
 from rowtide.specs import TableSpec
 from rowtide.streaming import (
     append_to_table,
+    arrivals,
     batch_folders,
     drop_redelivered_stream,
     fold_upserts,
+    once,
     read_change_rate,
     read_current_state,
     start_change_alerts,
@@ -31,6 +33,7 @@ from rowtide.streaming import (
     start_current_state,
     start_rejects,
     state_keys,
+    with_arrival,
     write_batches,
 )
 
@@ -285,6 +288,59 @@ def stream_dedup_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return place.result()
 
 
+def marked_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of three runs of a connector, told by marks: all but the updates of purchases and some
+    deletes; all again; and once more the updates."""
+    place = Replay(spark)
+    records = td.event_records(spark, sf_dir)
+    text = F.col("value").cast("string")
+    update, purchase = text.contains('"op":"u"'), text.contains('"kind":"purchase"')
+    held = (update & ~purchase) | (text.contains('"op":"d"') & text.contains('"kind":null'))
+    for part in (records.filter(~held), records, records.filter(update)):
+        place.put(part)
+        log = place.log(td.EVENTS, extras=("lsn",))
+        append_to_table(
+            with_arrival(log, td.EVENTS),
+            place.table,
+            place.checkpoint,
+            trigger=ONCE,
+            partition_by=["arrival"],
+        ).awaitTermination()
+    return read_table(spark, place.table)
+
+
+@query(f"{sql.EVENTS_LOG} SELECT {sql.EVENTS_COLUMNS}, lsn FROM log")
+def stream_dedup_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log without repeats, by a stream that remembers one position a key; changes that come late, behind
+    later ones of their key, are there too."""
+    rows = marked_events(spark, sf_dir)
+    return td.zoneless(once(rows, td.EVENTS)).select(*td.EVENTS.log_type().fieldNames(), "lsn")
+
+
+# Of the first run all is new. The second repeats the last change of each key and holds back what the first
+# left out: behind, where the key's delete was there before it, or else new.
+@query(
+    f"""{sql.EVENTS_LOG},
+runs AS (
+SELECT *, op = 'u' AND kind <> 'purchase' OR op = 'd' AND kind IS NULL AS held FROM log),
+first AS (SELECT pk_id, max(lsn) AS mark FROM runs WHERE NOT held GROUP BY pk_id),
+second AS (
+SELECT r.lsn, r.op, CASE WHEN r.lsn > f.mark THEN 'new' WHEN r.lsn = f.mark THEN 'repeat' ELSE 'behind' END AS arrival,
+       held AND r.lsn < f.mark AS late FROM runs r JOIN first f USING (pk_id)),
+last AS (SELECT pk_id, max(lsn) AS mark FROM log GROUP BY pk_id),
+third AS (SELECT CASE WHEN l.lsn = m.mark THEN 'repeat' ELSE 'behind' END AS arrival
+          FROM log l JOIN last m USING (pk_id) WHERE op = 'u'),
+all_runs AS (
+SELECT 'new' AS arrival FROM runs WHERE NOT held
+UNION ALL SELECT arrival FROM second UNION ALL SELECT arrival FROM third
+UNION ALL SELECT 'late' FROM second WHERE late)
+SELECT arrival, count(*) AS n_changes FROM all_runs GROUP BY arrival"""
+)
+def stream_mark_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the changes of these runs arrived."""
+    return arrivals(marked_events(spark, sf_dir), td.EVENTS)
+
+
 @query(ORACLES["rejects"])
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected records, kept by a stream."""

@@ -7,6 +7,7 @@ from rowtide.streaming.changelog import (
 )
 from rowtide.streaming.history import History
 from rowtide.streaming.maintained import MaintainedJoin, start_maintained_join
+from rowtide.streaming.marks import arrivals, once, with_arrival
 from rowtide.streaming.progress import Progress
 from rowtide.streaming.state import (
     batch_folders,
@@ -28,10 +29,12 @@ __all__ = [
     "MaintainedJoin",
     "Progress",
     "append_to_table",
+    "arrivals",
     "await_any",
     "batch_folders",
     "drop_redelivered_stream",
     "fold_upserts",
+    "once",
     "read_change_rate",
     "read_current_state",
     "read_upserts",
@@ -44,5 +47,6 @@ __all__ = [
     "start_rejects",
     "start_upserts",
     "state_keys",
+    "with_arrival",
     "write_batches",
 ]

@@ -33,9 +33,11 @@ from rowtide.sources import (
 from rowtide.streaming import (
     Progress,
     append_to_table,
+    arrivals,
     batch_folders,
     drop_redelivered_stream,
     fold_upserts,
+    once,
     read_current_state,
     read_upserts,
     start_change_rate,
@@ -44,6 +46,7 @@ from rowtide.streaming import (
     start_current_state,
     start_upserts,
     state_keys,
+    with_arrival,
     write_batches,
 )
 
@@ -277,6 +280,46 @@ def test_redelivery_on_a_stream_keeps_changes_without_position(spark, sf_dir, tm
     assert read_table(spark, table).count() == 2 * records.count()
 
 
+def test_marks_keep_one_position_a_key(spark, tmp_path):
+    """Repeats in a batch and between batches, older changes that come late, changes without key or position;
+    and exact values on the way through Python."""
+    from decimal import Decimal
+
+    from rowtide import ORDERS
+    topic, table, progress = (str(tmp_path / p) for p in ("topic", "table", "progress"))
+    schema = ORDERS.log_type().add("lsn", "long")
+    early = datetime(1600, 1, 1, 0, 0, 0, 1)
+
+    def entry(key, lsn, name="a", op="u"):
+        return (key, op, key, 2**31 - 1, name, Decimal("123456789012345678.99"), early, early, False, lsn)
+
+    batches = [
+        [entry(1, 5), entry(1, 3), entry(1, 5), entry(2, 2**60 + 1), entry(None, 1), entry(3, None), entry(3, None)],
+        [entry(1, 5), entry(1, 3), entry(1, 4, "late"), entry(1, 9), entry(2, 2**60 + 1), entry(2, 2**60 + 2), entry(None, 1)],
+        [entry(1, 4, "late"), entry(1, 10), entry(4, 1, None), entry(4, 1, None)],
+    ]
+    keys = []
+    for batch in batches:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(topic)
+        log = spark.readStream.schema(schema).parquet(topic)
+        job = append_to_table(with_arrival(log, ORDERS), table, progress, trigger=ONCE, partition_by=["arrival"])
+        job.awaitTermination()
+        keys += [p.stateOperators[0].numRowsTotal for p in job.recentProgress][-1:]
+    found = read_table(spark, table)
+    assert keys == [2, 2, 3]
+    counts = {r.arrival: r.n_changes for r in arrivals(found, ORDERS).collect()}
+    # Behind: 3 and 4 in the second batch, 4 in the third; of these the change at 4 came late.
+    assert counts == {"new": 11, "repeat": 4, "behind": 3, "late": 1}
+    whole = rows(once(found, ORDERS).select(*schema.fieldNames()))
+    expected = {(1, 3), (1, 4), (1, 5), (1, 9), (1, 10), (2, 2**60 + 1), (2, 2**60 + 2), (4, 1)}
+    told = [r for r in whole if r[0] is not None and r[-1] is not None]
+    assert {(r[0], r[-1]) for r in told} == expected and len(told) == len(expected)
+    assert len(whole) - len(told) == 4
+    assert told[0][1:9] == ("u", 1, 2**31 - 1, "a", Decimal("123456789012345678.99"), early, early, False)
+    with pytest.raises(ValueError, match="source"):
+        with_arrival(found.withColumn("source", F.create_map(F.lit("a"), F.lit("b"))), ORDERS)
+
+
 def test_a_log_by_date_adds_few_files(spark, sf_dir, tmp_path):
     topic, table, progress = (str(tmp_path / p) for p in ("topic", "table", "progress"))
     write_replay(td.event_records(spark, sf_dir).repartition(8), topic)
