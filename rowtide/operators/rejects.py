@@ -123,7 +123,10 @@ def judged(
         F.when(reason.isNull(), ACCEPTED).when(reason.isin(*LEFT_OUT), REJECTED).otherwise(FLAGGED)
     )
     shown = {n: F.when(reason.isNotNull(), F.col(n)) for n in ("key_str", "json")}
-    return rows.withColumn("reason", _reason(spec)).drop(*marks).withColumns({**shown, "part": part})
+    whole = rows.withColumn("reason", _reason(spec)).drop(*marks).withColumns({**shown, "part": part})
+    # A generator again: filters on the part and the reason stay above it, instead of being
+    # pushed down with a copy of every decode that they stand on.
+    return whole.select(F.inline(F.array(F.struct(*whole.columns))))
 
 
 def log_of(rows: DataFrame, spec: TableSpec) -> DataFrame:

@@ -32,4 +32,6 @@ def open_lake(
         if "part" in log.columns:
             rejects_of(log).createOrReplaceTempView(f"{prefix}{spec.name}_rejects")
             log = log_of(log, spec)
+        if "batch_id" in log.columns:
+            log = log.drop("batch_id")
         create_views(log, spec, prefix)

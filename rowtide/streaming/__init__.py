@@ -1,6 +1,7 @@
 from rowtide.streaming.changelog import (
     append_to_table,
     await_any,
+    batches_by_date,
     start_changelog,
     start_changelogs,
     start_rejects,
@@ -32,6 +33,7 @@ __all__ = [
     "arrivals",
     "await_any",
     "batch_folders",
+    "batches_by_date",
     "drop_redelivered_stream",
     "fold_upserts",
     "once",

@@ -14,6 +14,7 @@ from rowtide.session import STATE_STORE_CONF, defaults
 from rowtide.sources.lake import with_event_date
 from rowtide.sources.records import of_table
 from rowtide.specs import TableSpec
+from rowtide.streaming.state import write_batches
 
 
 def append_to_table(
@@ -61,15 +62,13 @@ def start_changelog(
     *,
     decode_options: dict | None = None,
     by_date: bool = False,
-    tasks_per_date: int = 4,
     with_rejects: bool = False,
     **sink,
 ) -> StreamingQuery:
     """Start keeping the change log of one table, with one folder per event date if asked for.
 
-    By date, each batch is first dealt by date, so that it adds a few files to a date and not one
-    from every task; ``tasks_per_date`` shares a date among that many tasks. ``with_rejects``
-    keeps every record, the rejected ones too, in one table with a folder for each part
+    By date, each batch is gathered by date, so that it adds a file or a few to a date and not one
+    from every task (``batches_by_date``). ``with_rejects`` keeps every record, the rejected ones too, in one table with a folder for each part
     (``log_of`` and ``rejects_of`` read it); the topic is still read and parsed once.
     """
     own = of_table(records, spec)
@@ -77,14 +76,43 @@ def start_changelog(
     log = judged(own, spec, **options) if with_rejects else decode(own, spec, **options)
     parts = ["part"] if with_rejects else []
     if by_date:
-        share = F.pmod(F.xxhash64(*spec.key_columns, "event_ts"), F.lit(tasks_per_date))
-        log = with_event_date(log).repartition("event_date", share)
-        parts.append("event_date")
+        write = batches_by_date(path, [*parts, "event_date"], fmt=sink.pop("fmt", "parquet"))
+        return write_batches(with_event_date(log), write, checkpoint, **sink)
     if parts:
         sink["partition_by"] = parts
     return append_to_table(log, path, checkpoint, **sink)
 
 
+def batches_by_date(
+    path: str, partition_by: list[str], *, fmt: str = "parquet"
+) -> Callable[[DataFrame, int], None]:
+    """Writes each batch to folders, the last of them for its number, replacing an earlier attempt.
+
+    Rows are gathered by the folders' columns, and by measured size: a date with very many rows, as
+    in the first batch over an old topic, is split over as many tasks as it fills, and so are the records
+    without a date, which are broken ones and tombstones of all times. A Delta table is one table, and an
+    attempt that was committed before is passed over by its number.
+    """
+    adaptive = "spark.sql.adaptive.enabled"  # off in a stream's own session, which keeps no state here
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        usual = session.conf.get(adaptive)
+        session.conf.set(adaptive, "true")
+        try:
+            rows = batch.withColumn("batch_id", F.lit(batch_id).cast("long")).hint("rebalance", *partition_by)
+            if fmt == "delta":
+                writer = rows.write.format(fmt).mode("append").partitionBy(*partition_by)
+                writer.option("txnAppId", path).option("txnVersion", batch_id).save(path)
+            else:
+                writer = rows.write.format(fmt).mode("overwrite").partitionBy(*partition_by, "batch_id")
+                writer.option("partitionOverwriteMode", "dynamic").save(path)
+        finally:
+            session.conf.set(adaptive, usual)
+
+    return write
+
+
 def start_changelogs(
     records: DataFrame | Callable[[TableSpec], DataFrame],
     specs: list[TableSpec],

@@ -205,6 +205,13 @@ def test_log_and_rejects_are_one_reading(spark):
     assert sorted(map(repr, log.collect())) == sorted(map(repr, plain.collect()))
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 2 and "Exchange" not in plan
+    # Filters on the parts hold no copy of the decodes.
+    decodes = []
+    for df in (rows, rejects_of(rows), log, rejects(records(spark, values), ORDERS)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        decodes.append(plan.count("conv("))
+        assert all(len(line) < 3000 for line in plan.splitlines() if "Filter" in line)
+    assert len(set(decodes)) == 1 and decodes[0]
 
 
 def test_positions_that_are_no_numbers_are_kept_as_text(spark):

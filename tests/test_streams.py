@@ -324,11 +324,54 @@ def test_a_log_by_date_adds_few_files(spark, sf_dir, tmp_path):
     topic, table, progress = (str(tmp_path / p) for p in ("topic", "table", "progress"))
     write_replay(td.event_records(spark, sf_dir).repartition(8), topic)
     job = start_changelog(
-        read_replay(spark, topic), td.EVENTS, table, progress, by_date=True, tasks_per_date=2, trigger=ONCE
+        read_replay(spark, topic), td.EVENTS, table, progress, by_date=True, trigger=ONCE
     )
     job.awaitTermination()
     dates = read_table(spark, table).select("event_date").distinct().count()
-    assert data_files(spark, table).count() <= 2 * dates
+    assert data_files(spark, table).count() <= dates + 1
+
+
+def test_large_dates_and_records_without_one_are_split(spark, tmp_path):
+    """A date with nine tenths of the rows, and broken records, which have none: each over several tasks."""
+    topic, table, progress = (str(tmp_path / p) for p in ("topic", "table", "progress"))
+    day = F.when(F.col("id") % 10 == 0, F.col("id") % 20).otherwise(0) * 86_400_000
+    image = F.to_json(F.struct("id", F.sha2(F.col("id").cast("string"), 512).alias("full_name"), F.lit("e").alias("email"), F.lit(0).alias("created_at")))
+    text = F.concat(F.lit('{"payload":{"op":"c","ts_ms":'), day, F.lit(',"source":{"lsn":1},"after":'), image, F.lit("}}"))
+    value = F.when(F.col("id") < 25_000, F.concat(F.lit("{broken "), F.sha2(F.col("id").cast("string"), 512))).otherwise(text)
+    records = spark.range(0, 60_000, numPartitions=16).select(
+        F.lit(None).cast("binary").alias("key"), value.cast("binary").alias("value"), F.lit(td.USERS.topic).alias("topic"),
+        F.lit(0).alias("partition"), F.col("id").alias("offset"), F.lit(0).cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+    write_replay(records, topic)
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "512KB")
+    try:
+        start_changelog(
+            read_replay(spark, topic), td.USERS, table, progress, by_date=True, with_rejects=True, trigger=ONCE
+        ).awaitTermination()
+    finally:
+        spark.conf.unset(size)
+    files = data_files(spark, table).collect()
+    parts = {}
+    for f in files:
+        parts.setdefault(f.file.split("part=")[1].split("/batch_id")[0], []).append(f.n_rows)
+    broken, large = parts["rejected/event_date=__HIVE_DEFAULT_PARTITION__"], parts["flagged/event_date=1970-01-01"]
+    assert sum(broken) == 25_000 and len(broken) >= 4 and max(broken) < 12_000
+    assert sum(large) == 31_500 + 1_750 and len(large) >= 4 and max(large) < 16_000
+    assert all(len(n) <= 2 for part, n in parts.items() if n not in (broken, large))
+    assert read_table(spark, table).count() == 60_000
+
+
+def test_a_batch_by_date_is_replaced_when_it_is_done_again(spark, tmp_path):
+    from rowtide.streaming import batches_by_date
+    write = batches_by_date(str(tmp_path / "t"), ["event_date"])
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 3).cast("int")).alias("event_date")
+    batch = spark.range(30).select("id", day)
+    write(batch.filter("id < 20"), 4)
+    write(batch, 4)
+    write(batch.filter("id < 3"), 5)
+    assert read_table(spark, str(tmp_path / "t")).groupBy("batch_id").count().orderBy("batch_id").collect() == [(4, 30), (5, 3)]
 
 
 def test_dates_do_not_depend_on_the_session(spark, tmp_path):
