@@ -1,4 +1,4 @@
-from rowtide.plans import captures, ingest, logs, maintained, states, streams, tables  # noqa: F401
+from rowtide.plans import captures, ingest, logs, maintained, states, streams, summaries, tables  # noqa: F401
 from rowtide.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -59,7 +59,10 @@ WHERE old.amount IS DISTINCT FROM new.amount"""
 def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The changes between two versions of a table."""
     old, new = two_versions(spark, sf_dir)
-    changes = capture.diff_events(old, new, td.ORDERS, F.current_timestamp(), F.lit(1))
+    return shown_changes(capture.diff_events(old, new, td.ORDERS, F.current_timestamp(), F.lit(1)))
+
+
+def shown_changes(changes: DataFrame) -> DataFrame:
     return changes.select(
         "op",
         F.coalesce("after.id", "before.id").alias("id"),

@@ -23,7 +23,10 @@ from rowtide.streaming import (
     batch_folders,
     drop_redelivered_stream,
     fold_upserts,
+    joined_logs,
+    late_parents,
     once,
+    orphaned,
     read_change_rate,
     read_current_state,
     start_change_alerts,
@@ -34,6 +37,7 @@ from rowtide.streaming import (
     start_rejects,
     state_keys,
     with_arrival,
+    with_parents,
     write_batches,
 )
 
@@ -341,6 +345,69 @@ def stream_mark_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrivals(marked_events(spark, sf_dir), td.EVENTS)
 
 
+def joined_topics(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders and users as both topics arrive: users of a segment four years after the others. The table of
+    joined changes, and the users' log."""
+    place = Replay(spark)
+    created = td.users_history(spark, sf_dir).filter(F.col("op").isin("r", "c"))
+    late = td.users(spark, sf_dir, F.col("c_mktsegment")).filter("c_mktsegment = 'MACHINERY'").select(F.col("id").alias("late"))
+    users = created.join(late, F.col("after.id") == F.col("late"), "left").select(
+        *created.columns[:3],
+        F.when(F.col("late").isNull(), F.lit("1995-01-01")).otherwise("1999-01-01").cast("timestamp_ntz").alias("event_ts"),
+        "lsn",
+    )
+    place.put(to_records(users, td.USERS))
+    place.put(to_records(td.orders_history(spark, sf_dir), td.ORDERS))
+
+    def run() -> None:
+        topics = (place.records(topics=[s.topic]) for s in (td.ORDERS, td.USERS))
+        rows = joined_logs(*topics, td.ORDERS, td.USERS, "user_id", ["full_name"], patience="100 days", delay="1 minute")
+        append_to_table(rows, place.table, place.checkpoint, trigger=ONCE).awaitTermination()
+
+    run()
+    # Heartbeats move time on, so that orders stop waiting.
+    for spec in (td.ORDERS, td.USERS):
+        beat = spark.sql("SELECT CAST(NULL AS BINARY) AS key, CAST('{}' AS BINARY) AS value, 0 AS partition")
+        place.put(beat.withColumns({
+            "topic": F.lit(spec.topic), "offset": F.lit(2**40), "timestampType": F.lit(0),
+            "timestamp": F.lit("2030-01-01").cast("timestamp"),
+        }))
+    run()
+    users_log = decode(place.records(streaming=False, topics=[td.USERS.topic]), td.USERS)
+    return read_table(spark, place.table), users_log
+
+
+_JOINED = f"""{sql.ORDERS_LOG},
+u AS ({sql.USERS}),
+waited AS (
+SELECT l.*, u.full_name, u.id AS parent, CASE WHEN u.c_mktsegment = 'MACHINERY' THEN TIMESTAMP '1999-01-01'
+            ELSE TIMESTAMP '1995-01-01' END <= l.event_ts + INTERVAL 100 DAYS AS in_time
+FROM log l LEFT JOIN u ON u.id = l.user_id WHERE l.op <> 'd')
+"""
+
+
+@query(f"{_JOINED} SELECT pk_id, lsn, op, user_id, amount, full_name FROM waited WHERE in_time")
+def stream_orders_with_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of orders with the names of their users, joined while both topics arrive."""
+    rows, _ = joined_topics(spark, sf_dir)
+    found = with_parents(rows, td.ORDERS, "user_id")
+    return found.select("pk_id", "lsn", "op", "user_id", "amount", "full_name")
+
+
+@query(
+    f"""{_JOINED} SELECT pk_id, lsn, user_id, NULL AS n_orphans FROM waited WHERE NOT coalesce(in_time, false)
+UNION ALL SELECT NULL, NULL, parent, count(*) FROM waited WHERE NOT in_time GROUP BY parent"""
+)
+def stream_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of orders that were put out without a user after they had waited for it; and the users that
+    came too late, with the changes that had waited."""
+    rows, users = joined_topics(spark, sf_dir)
+    nothing = F.lit(None).cast("long")
+    orphans = orphaned(rows).select("pk_id", "lsn", "user_id", nothing.alias("n_orphans"))
+    late = late_parents(rows, users, "user_id", "id")
+    return orphans.unionByName(late.select(nothing.alias("pk_id"), nothing.alias("lsn"), F.col("parent").alias("user_id"), "n_orphans"))
+
+
 @query(ORACLES["rejects"])
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected records, kept by a stream."""

@@ -7,6 +7,7 @@ from rowtide.streaming.changelog import (
     start_rejects,
 )
 from rowtide.streaming.history import History
+from rowtide.streaming.joins import joined_logs, late_parents, orphaned, with_parents
 from rowtide.streaming.maintained import MaintainedJoin, start_maintained_join
 from rowtide.streaming.marks import arrivals, once, with_arrival
 from rowtide.streaming.progress import Progress
@@ -36,7 +37,10 @@ __all__ = [
     "batches_by_date",
     "drop_redelivered_stream",
     "fold_upserts",
+    "joined_logs",
+    "late_parents",
     "once",
+    "orphaned",
     "read_change_rate",
     "read_current_state",
     "read_upserts",
@@ -50,5 +54,6 @@ __all__ = [
     "start_upserts",
     "state_keys",
     "with_arrival",
+    "with_parents",
     "write_batches",
 ]
