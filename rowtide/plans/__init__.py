@@ -1,4 +1,14 @@
-from rowtide.plans import captures, ingest, logs, maintained, states, streams, summaries, tables  # noqa: F401
+from rowtide.plans import (  # noqa: F401
+    captures,
+    inferred,
+    ingest,
+    logs,
+    maintained,
+    states,
+    streams,
+    summaries,
+    tables,
+)
 from rowtide.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

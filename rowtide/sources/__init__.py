@@ -18,10 +18,12 @@ from rowtide.sources.records import (
     topics,
     write_replay,
 )
+from rowtide.sources.schemas import decode_inferred, schema_versions, spec_of, widened
 
 __all__ = [
     "RECORD_TYPE",
     "data_files",
+    "decode_inferred",
     "in_topic_order",
     "kafka_options",
     "kept_topics",
@@ -32,7 +34,10 @@ __all__ = [
     "read_source_table",
     "read_table",
     "read_topics",
+    "schema_versions",
+    "spec_of",
     "topics",
+    "widened",
     "with_event_date",
     "write_by_date",
     "write_replay",
