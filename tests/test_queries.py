@@ -61,3 +61,16 @@ def test_entry(spark):
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(ORACLES)
     assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
+
+
+@pytest.mark.parametrize("missing", ["rowtide.llm", "rowtide.llm.queries", "tiktoken", "tokenizers", "corpus_pipeline"])
+def test_the_core_does_without_the_text_operators(missing):
+    """What they need, or they themselves, may be missing."""
+    import subprocess
+    code = (
+        f"import sys; sys.modules[{missing!r}] = None\n"
+        "import __spark_entry__ as e; from rowtide.plans import QUERIES\n"
+        "assert set(QUERIES) <= set(e.queries()); assert set(e.oracle_sql()) <= set(e.queries())"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
