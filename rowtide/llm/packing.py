@@ -5,20 +5,20 @@ from __future__ import annotations
 import itertools
 import json
 import os
-import threading
 import unicodedata
 import zlib
-from contextlib import contextmanager
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowtide.llm.common import flat_bytes, pieces, stored, texts_of
+from rowtide.llm.common import flat_bytes, pieces, stored
 
 K1, B = 1.2, 0.75  # the usual constants of BM25
 
@@ -30,8 +30,8 @@ class _Encoder:
     """Token ids of texts, by the ids of their parts between ASCII blanks.
 
     The tokenizer writes A to Z small and drops white space before it looks at words, so a text's ids
-    are those of its blank-separated parts in order. Parts come back often; their ids are
-    remembered, as bytes of 16-bit numbers, up to a bound.
+    are those of its blank-separated parts in order. Parts come back often; up to a bound they are
+    remembered, as an Arrow column, and their ids as one array of 16-bit numbers.
     """
 
     def __init__(self, path: str, remember: int = 900_000) -> None:
@@ -40,7 +40,6 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.remember = remember
-        self.known: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.size = max(vocabulary.values()) + 1
         if self.size > 1 << 16:
@@ -49,70 +48,105 @@ class _Encoder:
         self.last_of_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.folds = self._ids(["A"]) == self._ids(["a"])
         self.words = _word_pairs(json.loads(self.tokenizer.to_str())["model"])
+        self.parts = pa.array([], pa.string())
+        self.ids, self.starts = np.zeros(0, np.uint16), np.zeros(1, np.int64)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(each.ids, np.uint16).tobytes() for each in found]
 
-    def _learn_words(self, words: list[bytes]) -> None:
+    def ids_of_words(self, words: list[bytes]) -> list[bytes]:
         """Ids of words of letters. Many are encoded as one text; its tokens tell where each word
         ends. Should their number not fit, each goes by itself."""
+        found = []
         for low in range(0, len(words), _TOGETHER):
             some = words[low : low + _TOGETHER]
             if self.words:
-                found = self.words.encode_ordinary(b"\0".join(some).decode() + "\0")
-                raw = np.array(found, np.uint16).tobytes()
+                raw = np.array(self.words.encode_ordinary(b"\0".join(some).decode() + "\0"), np.uint16).tobytes()
             else:
                 raw = self._ids([b" ".join(some).decode()])[0]
             ends = np.flatnonzero(self.last_of_word[np.frombuffer(raw, np.uint16)]) * 2 + 2
             if len(ends) == len(some):
-                starts = [0, *ends[:-1].tolist()]
-                self.known.update(
-                    (w, raw[s:e]) for w, s, e in zip(some, starts, ends.tolist(), strict=True)
-                )
+                found += [raw[s:e] for s, e in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
             else:
-                self._learn_parts(some)
-
-    def _learn_parts(self, parts: list[bytes]) -> None:
-        ids = self._ids([p.decode("utf-8", "replace") for p in parts])
-        self.known.update(zip(parts, ids, strict=True))
-
-    def _learn(self, new: set[bytes]) -> None:
-        known, words, others, closed = self.known, set(), [], []
-        for part in new:
-            core = part.rstrip(_CLOSING)
-            if not _is_word(core):
-                others.append(part)
-                continue
-            if core not in known:
-                words.add(core)
-            if core != part:
-                closed.append((part, core))
-        self._learn_words(list(words))
-        self._learn_parts(others)
-        # Signs after a letter are looked at apart from it.
-        tails = {part[len(core) :] for part, core in closed}
-        self._learn_parts([t for t in tails if t not in known])
-        known.update((part, known[core] + known[part[len(core) :]]) for part, core in closed)
-
-    def encode(self, texts: list[bytes], end: int) -> list[bytes]:
-        """The ids of each text and ``end``, as bytes of 16-bit numbers."""
-        # A special token's name is only known as it is written.
-        split = [(t.lower() if self.folds and b"<|" not in t else t).split() for t in texts]
-        new = set().union(*split).difference(self.known)
-        if len(self.known) + 2 * len(new) > self.remember:
+                found += self.ids_of_parts(some)
+        return found
+
+    def ids_of_parts(self, parts: list[bytes]) -> list[bytes]:
+        return self._ids([p.decode("utf-8", "replace") for p in parts])
+
+    def _ids_of_others(self, parts: list[bytes]) -> list[bytes]:
+        """Ids of parts that are not plain words. Signs after a word are looked at apart from it."""
+        cores = [p.rstrip(_CLOSING) for p in parts]
+        words = list({c for c in cores if _is_word(c)})
+        of = dict(zip(words, self.ids_of_words(words), strict=True))
+        tails = list({p[len(c) :] for p, c in zip(parts, cores, strict=True) if c in of and c != p})
+        tail = dict(zip([b"", *tails], [b"", *self.ids_of_parts(tails)], strict=True))
+        rest = [p for p, c in zip(parts, cores, strict=True) if c not in of]
+        whole = dict(zip(rest, self.ids_of_parts(rest), strict=True))
+        return [of[c] + tail[p[len(c) :]] if c in of else whole[p] for p, c in zip(parts, cores, strict=True)]
+
+    def _remember(self, parts: pa.Array) -> np.ndarray:
+        """Looks new parts up and keeps them behind the others; gives their places."""
+        plain = pc.and_(pc.ascii_is_alpha(parts), pc.ascii_is_lower(parts))
+        first = np.asarray(plain)
+        place = len(self.parts) + np.where(first, np.cumsum(first), first.sum() + np.cumsum(~first)) - 1
+        words, others = parts.filter(plain), parts.filter(pc.invert(plain))
+        found = self.ids_of_words(words.view(pa.binary()).to_pylist())
+        found += self._ids_of_others(others.view(pa.binary()).to_pylist())
+        self.parts = pa.concat_arrays([self.parts, words, others])
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), np.uint16)])
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 2
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        return place
+
+    def _places(self, parts: pa.Array) -> np.ndarray:
+        """Where different parts are remembered, the new ones among them after they are looked up."""
+        place = pc.index_in(parts, value_set=self.parts)
+        if len(self.parts) + place.null_count > self.remember and place.null_count:
             # The parts that came first are on the whole the most frequent ones.
-            kept = itertools.islice(self.known.items(), self.remember // 2)
-            self.known = dict(kept)
-            new = set().union(*split).difference(self.known)
-        self._learn(new)
-        get, last = self.known.__getitem__, np.uint16(end).tobytes()
-        return [b"".join(map(get, parts)) + last for parts in split]
+            keep = min(self.remember // 2, len(self.parts))
+            self.parts, self.starts = pa.concat_arrays([self.parts.slice(0, keep)]), self.starts[: keep + 1]
+            self.ids = self.ids[: self.starts[-1]].copy()
+            place = pc.index_in(parts, value_set=self.parts)
+        new = np.asarray(pc.is_null(place))
+        places = place.fill_null(-1).to_numpy().astype(np.int64)
+        if place.null_count:
+            places[new] = self._remember(parts.filter(pa.array(new)))
+        return places
+
+    def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of each text and ``end``, one after another, and where each text's begin.
+
+        Parts are cut, told apart and found by Arrow; the ids of each different one are then put in the
+        places of all.
+        """
+        # Kernels for text look at bytes alone; these need not be valid.
+        whole = texts.fill_null(b"").view(pa.string())
+        if self.folds:
+            # A special token's name is only known as it is written.
+            special = pc.match_substring(whole, "<|")
+            lower = pc.replace_substring_regex(pc.ascii_lower(whole), _CLOSED, r"\1 \2\3")
+            whole = pc.if_else(special, whole, lower) if pc.any(special).as_py() else lower
+        split = pc.ascii_split_whitespace(whole)
+        each = split.flatten().dictionary_encode()
+        known = self._places(each.dictionary)
+        # The end is one more part, after the last one of each text.
+        counts = split.value_lengths().to_numpy()
+        place = np.insert(known[each.indices.to_numpy()], np.cumsum(counts), len(self.parts))
+        begin = np.append(self.starts[:-1], len(self.ids))[place]
+        length = np.append(np.diff(self.starts), 1)[place]
+        ends = np.cumsum(length)
+        ids = np.append(self.ids, np.uint16(end))
+        flat = ids[np.repeat(begin - ends + length, length) + np.arange(length.sum())]
+        return flat, np.concatenate([[0], ends[np.cumsum(counts + 1) - 1]])
 
 
 _TOGETHER = 1024
-_TEXT_BYTES = 4_000_000
+_TEXT_BYTES = 8_000_000
 _CLOSING = b".,;:!?"
+# Signs between a letter and a blank are a word of their own to the tokenizer.
+_CLOSED = r"([a-z])([.,;:!?]+)(\s|$)"
 
 
 def _is_word(part: bytes) -> bool:
@@ -153,28 +187,11 @@ def _word_pairs(model: dict) -> tiktoken.Encoding | None:
     return tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
 
 
-_IDLE_SECONDS = 4.0
-_held: dict[str, _Encoder] = {}
-_release: list[threading.Timer] = []
-
-
-@contextmanager
-def _encoder(path: str):
-    """An encoder that the tasks of a worker hand on, with what it remembers. It is let go of
-    when no task has taken it up for some seconds, so that it takes no room in other jobs."""
-    for timer in _release:
-        timer.cancel()
-    _release.clear()
-    if path not in _held:
-        _held.clear()
-        _held[path] = _Encoder(path)
-    try:
-        yield _held[path]
-    finally:
-        timer = threading.Timer(_IDLE_SECONDS, _held.clear)
-        timer.daemon = True
-        timer.start()
-        _release.append(timer)
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> _Encoder:
+    """An encoder that the tasks of a worker hand on. What it remembers is bounded, and some tens of
+    MB, as its parts are Arrow columns."""
+    return _Encoder(path)
 
 
 def _tokenised(docs: DataFrame, ident: str, text: str, tokenizer: str, end: int) -> DataFrame:
@@ -190,24 +207,23 @@ def _tokenised(docs: DataFrame, ident: str, text: str, tokenizer: str, end: int)
     )
 
     def encode(batches):
-        with _encoder(tokenizer) as encoder:
-            yield from encoded(encoder, batches)
-
-    def encoded(encoder, batches):
+        encoder = _encoder(tokenizer)
         numbers = itertools.count(TaskContext.get().partitionId() << 33)
         have = np.zeros(encoder.size, np.int32)
         for batch in batches:
             texts = batch.column(1)
             for low, high in pieces(flat_bytes(texts)[1], _TEXT_BYTES):
-                ids = encoder.encode(texts_of(texts.slice(low, high - low)), end)
-                for each in ids:
-                    have[_distinct(np.frombuffer(each, np.uint16))] += 1
-                n = len(ids)
+                flat, starts = encoder.encode(texts.slice(low, high - low), end)
+                n = len(starts) - 1
+                for first, last in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                    have[_distinct(flat[first:last])] += 1
+                offsets = pa.py_buffer((2 * starts).astype(np.int32))
+                ids = pa.Array.from_buffers(pa.binary(), n, [None, offsets, pa.py_buffer(flat)])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(list(itertools.islice(numbers, n)), pa.int64()),
                         batch.column(0).slice(low, n),
-                        pa.array(ids, pa.binary()),
+                        ids,
                         pa.nulls(n, pa.list_(pa.int32())),
                     ],
                     schema.names,
@@ -292,8 +308,9 @@ def pack_shard(
 
     The first unused document is the seed of a window; the unused documents that it retrieves
     follow in the order of their BM25 score, for all distinct terms of the seed, until the window is
-    full, and where none of positive score is left the next unused ones do. The document that does not fit is cut, and its rest opens the next window as
-    its seed. So all windows but the last are full. Equal scores go by place.
+    full, and where none of positive score is left the next unused ones do. The document that does
+    not fit is cut, and its rest opens the next window as its seed. So all windows but the last are
+    full. Equal scores go by place.
     """
     index = _Index(docs, weight, mean)
     unused = np.ones(len(docs), bool)

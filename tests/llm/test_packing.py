@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from rowtide.llm.packing import B, K1, _Encoder, _Index, _is_word, _nearest, _word_pairs, pack, pack_shard
@@ -48,10 +49,16 @@ def test_parts_between_blanks_have_the_ids_of_the_text():
     encoder = _Encoder(tokenizer_file(), remember=20)
     tokenizer = Tokenizer.from_file(tokenizer_file())
     for _ in range(2):
-        found = encoder.encode([t.encode() for t in texts], 2)
-        for text, ids in zip(texts, found, strict=True):
+        flat, starts = encoder.encode(pa.array([*(t.encode() for t in texts), None]), 2)
+        for n, text in enumerate([*texts, ""]):
             plain = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
-            assert np.frombuffer(ids, np.uint16).tolist() == plain
+            assert flat[starts[n] : starts[n + 1]].tolist() == plain
+        assert len(starts) == len(texts) + 2
+    flat, starts = encoder.encode(pa.array([*(t.encode() for t in texts)] * 2).slice(3, 6), 2)
+    assert len(starts) == 7 and starts[-1] == len(flat)
+    broken = [b"\xff\xfe word", b"a\xc3"]
+    flat, starts = encoder.encode(pa.array(broken), 2)
+    assert flat[: starts[1]].tolist() == [*tokenizer.encode(broken[0].decode("utf-8", "replace"), add_special_tokens=False).ids, 2]
 
 
 def test_words_are_encoded_as_by_the_tokenizer(documents):
@@ -65,9 +72,9 @@ def test_words_are_encoded_as_by_the_tokenizer(documents):
     words |= {"a" * n for n in range(1, 80)} | {"ab" * n for n in range(1, 40)}
     words = [w for w in words if _is_word(w.encode())]
     assert len(words) > 30_000
-    encoder._learn_words([w.encode() for w in words])
-    for word, each in zip(words, tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
-        assert np.frombuffer(encoder.known[word.encode()], np.uint16).tolist() == each.ids
+    found = encoder.ids_of_words([w.encode() for w in words])
+    for ids, each in zip(found, tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
+        assert np.frombuffer(ids, np.uint16).tolist() == each.ids
 
 
 def test_other_models_have_no_quicker_way():
