@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rowtide.llm.common import stored, texts_of
@@ -123,16 +123,18 @@ def fit_languages(
     lang: str = "lang",
     per_language: int = 400,
     dictionary_bytes: int = 65_536,
-    languages: int = 64,
+    all_bytes: int = 8_388_608,
     piece: int = 2048,
     level: int = 6,
     margin: float = 0.01,
 ) -> LanguageModel:
     """Learns the dictionaries from the texts and languages of ``docs``.
 
-    The bound of the sample: at most ``per_language`` texts of each of the ``languages`` most
-    frequent languages, chosen by a hash of the text, of which each gives an equal share of
-    ``dictionary_bytes``. Null languages and texts, and repeats of a text, teach nothing.
+    Every language is learned. The bound of the sample: at most ``per_language`` texts of each, chosen
+    by a hash of the text, of which each gives an equal share of ``dictionary_bytes``, from a place that
+    the hash says and not from its beginning, which many texts may share. All dictionaries together take at
+    most ``all_bytes``: with very many languages each has less. Null languages and texts, and repeats of a
+    text, teach nothing.
     """
     known = docs.select(
         F.col(lang).alias("lang"), F.col(text).cast("binary").alias("text")
@@ -141,40 +143,33 @@ def fit_languages(
         known.groupBy("lang", F.xxhash64("text").alias("order")).agg(F.count("*").alias("n")),
         "language-sample",
     )
-    # The frequent languages, bounded in number before anything is collected.
-    frequent = [
-        r.lang
-        for r in hashed.groupBy("lang")
-        .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "lang")
-        .limit(languages)
-        .collect()
-    ]
-    names = sorted(frequent, key=lambda s: s.encode())
+    names = sorted((r.lang for r in hashed.select("lang").distinct().collect()), key=lambda s: s.encode())
     if not names:
         return LanguageModel((), (), piece, level, margin)
-    chosen = reduce(
-        DataFrame.unionByName,
-        (
-            hashed.filter(F.col("lang") == name)
-            .select("lang", "order")
-            .orderBy("order")
-            .limit(per_language)
-            for name in names
-        ),
+    dictionary_bytes = min(dictionary_bytes, max(all_bytes // len(names), 256))
+    first = Window.partitionBy("lang").orderBy("order")
+    chosen = hashed.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= per_language)
+    longest = max(16 * dictionary_bytes // per_language, 64)
+    spare = F.greatest(F.length("text") - longest, F.lit(0))
+    start = F.pmod("order", spare + 1).cast("int")
+    # A word that is cut at the place is left out.
+    cut = F.when(start > 0, F.concat(F.lit(b"\0"), F.substring("text", start + 1, F.lit(longest)))).otherwise(
+        F.substring("text", 1, longest)
     )
-    longest = 16 * dictionary_bytes // per_language
     rows = (
         known.withColumn("order", F.xxhash64("text"))
-        .join(F.broadcast(chosen), ["lang", "order"])
+        .join(chosen.select("lang", "order"), ["lang", "order"])
         .groupBy("lang", "order")
-        .agg(F.min(F.substring("text", 1, longest)).alias("text"))
+        .agg(F.min(cut).alias("text"))
         .orderBy("lang", "order")
         .collect()
     )
     texts: dict[str, list[bytes]] = {name: [] for name in names}
     for row in rows:
-        texts[row.lang].append(fold(bytes(row.text)))
+        part = bytes(row.text)
+        if part.startswith(b"\0"):
+            part = part[1:].partition(b" ")[2]
+        texts[row.lang].append(fold(part))
     contents = {name: _content(texts[name], dictionary_bytes) for name in names}
     kept = {name: content for name, content in contents.items() if len(content) >= 8}
     return LanguageModel(tuple(kept), tuple(kept.values()), piece, level, margin)
@@ -193,7 +188,8 @@ def _content(texts: list[bytes], limit: int) -> bytes:
 
 
 def identify_languages(docs: DataFrame, model: LanguageModel, *, text: str = "text") -> DataFrame:
-    """All rows of ``docs`` with ``lang_pred``, ``lang_score`` and ``lang_accepted``.
+    """All rows of ``docs`` with ``lang_pred``, ``lang_score`` and ``lang_accepted``; none of an empty table,
+    and rows that repeat are each told.
 
     Null texts and texts without a letter are ``und``, score 0, not accepted. Whole texts are
     compressed, cut into pieces so that a long text does not become its own dictionary. Columns

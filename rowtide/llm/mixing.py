@@ -163,6 +163,8 @@ def with_copies(
     enough to broadcast; otherwise its skew join splits a large source.
     """
     again = order_key(F.col(f"d.{ident}"), seed) <= F.col("p.cutoff")
+    # Where whole copies are all of the target, texts without words are not taken once more either.
+    again = again & ((F.col("p.source_size") == 0) | (F.col("p.target") > F.col("p.whole") * F.col("p.source_size")))
     row, own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)), F.struct(*plan.columns)
     same = F.col(f"d.{source}").eqNullSafe(F.col("p.source"))
     joined = docs.select(row.alias("d")).join(plan.select(own.alias("p")), same)

@@ -26,7 +26,8 @@ def _distances(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 
 
 def _cells(rows: np.ndarray, pivots: np.ndarray, radius: float) -> Iterator[tuple[int, np.ndarray, bool]]:
-    """The home cell of each row and the lower cells whose points may lie within the radius.
+    """The home cell of each row and the other cells whose points may lie within the radius and are
+    joined there.
 
     A row's home is its nearest pivot. A point of another pivot's cell is nearer to that pivot
     than to the row's; by the triangle inequality it is then at least half the difference of the
@@ -42,8 +43,10 @@ def _cells(rows: np.ndarray, pivots: np.ndarray, radius: float) -> Iterator[tupl
         bound = np.maximum(
             (far[:, cell] - near) / 2, (far[:, cell] ** 2 - near**2) / (2 * between[home, cell])
         )
-        # Each pair of cells is joined in the one of lower number.
-        yield cell, np.flatnonzero((home > cell) & (bound <= radius + _SLACK)), False
+        # Each pair of cells is joined in one of them: that of the lower number if their sum is
+        # even, else the other. So all cells have about as many guests.
+        here = np.where(home > cell, (home + cell) % 2 == 0, (home + cell) % 2 == 1) & (home != cell)
+        yield cell, np.flatnonzero(here & (bound <= radius + _SLACK)), False
 
 
 def _placed(distinct: DataFrame, pivots: np.ndarray, width: int, radius: float, guests: bool) -> DataFrame:

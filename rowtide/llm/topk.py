@@ -141,10 +141,11 @@ def top_k(
     must stay below 2^53. Rows of the query's own id are no candidates. Fewer candidates than
     ``k`` are all returned. Equal scores go by the smaller id. Rows with a null id or vector take no
     part, shorter vectors count as filled up with zeros, and rows that repeat an id and a score
-    count once; of different vectors under a query's id each row finds candidates for that id.
+    count once; of different vectors under a query's id each row finds candidates for that id. Without
+    rows or without queries there is no result.
 
-    Queries go through in blocks of about ``block_rows``: a block is broadcast, so what is
-    broadcast is bounded by the block and the width; every task keeps only the block's best
+    Queries go through in blocks of about ``block_rows``, one after another: a block is broadcast, so
+    what is broadcast is bounded by the block and the width; every task keeps only the block's best
     rows so far, which are also the bound that prunes what it reads next. All candidates are
     seen by each block, once.
     """
@@ -155,12 +156,14 @@ def top_k(
     count = asked.count()
     blocks = max(1, -(-count // block_rows))
     of = F.pmod(F.xxhash64("id", "v"), F.lit(blocks))
-    found = [
-        _block(rows, asked.filter(of == block).select("id", "v").toArrow(), k, batch_rows)
-        for block in range(blocks)
-    ]
+    found = []
+    for block in range(blocks):
+        # One block after another: its result is written, and it is let go, before the next is sent.
+        sent = _send(asked.filter(of == block).select("id", "v").toArrow())
+        found.append(stored(_block(rows, sent, k, batch_rows), "topk-parts"))
+        sent.unpersist()
     # Each task sends k rows for a query at most; Spark cuts them to k again before the shuffle.
-    merged = stored(reduce(DataFrame.unionByName, found), "topk-parts").distinct()
+    merged = reduce(DataFrame.unionByName, found).distinct()
     place = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return (
         merged.withColumn("rank", F.row_number().over(place))
@@ -169,11 +172,13 @@ def top_k(
     )
 
 
-def _block(rows: DataFrame, block: pa.Table, k: int, batch_rows: int) -> DataFrame:
+def _send(block: pa.Table):
     ids = block.column("id").to_numpy()
     values, _ = matrix(block.column("v")) if len(ids) else (np.zeros((0, 0)), None)
-    sent = SparkSession.getActiveSession().sparkContext.broadcast((ids, values))
+    return SparkSession.getActiveSession().sparkContext.broadcast((ids, values))
 
+
+def _block(rows: DataFrame, sent, k: int, batch_rows: int) -> DataFrame:
     def search(batches):
         held = _Search(*sent.value, k)
         for batch in batches:

@@ -266,9 +266,12 @@ def read_records(
                         yield pa.RecordBatch.from_pylist(found, schema=schema)
 
     stretch = F.floor(F.col("offset") / F.lit(4 * most))
+    # The count is given, as Spark would count the few bytes of the index and not those it leads to.
+    files, held = index.agg(F.countDistinct("file"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    tasks = max(files, -(-held // (4 * most)), 1)
     selected = (
         index.select("file", "offset", "length")
-        .repartition("file", stretch)
+        .repartition(tasks, "file", stretch)
         .sortWithinPartitions("file", "offset")
     )
     return selected.mapInArrow(

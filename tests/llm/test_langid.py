@@ -1,7 +1,6 @@
+import random
 import zlib
 
-import pytest
-
 from rowtide.llm import queries
 from rowtide.llm.langid import LanguageModel, _compressors, fit_languages, fold, has_letter, identify_languages
 
@@ -67,6 +66,30 @@ def test_repeats_of_a_text_teach_once(spark):
     assert model.contents == (b"the same words over and over again", b"le renard brun et le chien noir")
 
 
-@pytest.mark.parametrize("languages", [1, 2])
-def test_languages_are_bounded(odd_docs, languages):
-    assert len(fit_languages(odd_docs, languages=languages).languages) == languages
+def invented(seed, n, words=60):
+    """Texts in an invented language."""
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzéßñ", k=rng.randint(2, 8))) for _ in range(words)]
+    return [" ".join(rng.choices(vocabulary, k=80)) for _ in range(n)]
+
+
+def test_every_language_is_learned(spark):
+    rows = [(t, f"l{n}") for n in range(100) for t in invented(n, 4)]
+    learned = [r for i, r in enumerate(rows) if i % 4]
+    model = fit_languages(spark.createDataFrame(learned, "text string, lang string"), all_bytes=200_000)
+    assert len(model.languages) == 100 and sum(map(len, model.contents)) <= 200_000
+    held = [r for i, r in enumerate(rows) if i % 4 == 0]
+    found = identify_languages(spark.createDataFrame(held, "text string, lang string"), model).collect()
+    assert sum(r.lang == r.lang_pred for r in found) >= 98
+
+
+def test_what_all_texts_begin_with_does_not_fill_the_dictionaries(spark):
+    notice = "the same long notice stands before every text here whatever it is in " * 60
+    rows = [(notice + t, lang) for n, lang in enumerate(("aa", "bb")) for t in invented(n, 150, words=400)]
+    rows = [(f"{i} {t * 3}", lang) for i, (t, lang) in enumerate(rows)]
+    model = fit_languages(spark.createDataFrame(rows, "text string, lang string"), dictionary_bytes=16_384)
+    shared = [c.count(b"notice stands") / len(c) for c in model.contents]
+    assert max(shared) < 0.9 / len("the same long notice stands before every text here whatever it is in ")
+    held = [(t, lang) for n, lang in enumerate(("aa", "bb")) for t in invented(n, 200, words=400)[150:]]
+    found = identify_languages(spark.createDataFrame(held, "text string, lang string"), model).collect()
+    assert sum(r.lang == r.lang_pred for r in found) >= 95

@@ -86,3 +86,16 @@ def test_given_weights_and_budget(spark, documents):
     targets = {r.source: r.target for r in plan.collect()}
     assert targets["src1"] == targets["src2"] == 250.0
     assert sum(targets.values()) == 500.0
+
+
+def test_texts_without_words_are_not_taken_above_the_limit(spark):
+    """A source at its limit of epochs, with many empty texts: none of its documents comes more often."""
+    rows = [(i, "" if i < 20 else "two words", "a") for i in range(22)]
+    rows += [(100 + i, "some more words here " * 50, "b") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    weights = spark.createDataFrame([("a", 1.0), ("b", 1.0)], "source string, weight double")
+    for seed in range(3):
+        taken = {r.doc_id: r["count"] for r in mix(docs, weights, max_epochs=3.0, seed=seed).groupBy("doc_id").count().collect()}
+        assert {taken.get(i) for i in range(22)} == {3}
+    empty = docs.filter("text = ''")
+    assert mix(empty, weights, max_epochs=3.0).count() == 20

@@ -134,3 +134,35 @@ def test_range_join_odd_rows(spark):
         *((i, 0, i, True) for i in range(4, 11)),
     ]
     assert near_duplicate_vectors(vectors.limit(0)).count() == 0
+
+
+def test_blocks_of_queries_are_sent_one_after_another(spark, monkeypatch):
+    """No more than one block is held at a time."""
+    from pyspark.core.broadcast import Broadcast
+
+    from rowtide.llm import topk
+
+    alive, most = [0], [0]
+    send = topk._send
+
+    def counted(block):
+        alive[0] += 1
+        most[0] = max(most[0], alive[0])
+        return send(block)
+
+    unpersist = Broadcast.unpersist
+    monkeypatch.setattr(topk, "_send", counted)
+    monkeypatch.setattr(Broadcast, "unpersist", lambda b, *a: (alive.__setitem__(0, alive[0] - 1), unpersist(b, *a))[1])
+    rng = np.random.default_rng(2)
+    vectors = table(spark, np.arange(200), rng.integers(-9, 9, (200, 5)).astype(float), "vector")
+    assert top_k(vectors, vectors, k=2, block_rows=30).count() == 400
+    assert most == [1] and alive == [0]
+
+
+def test_cells_have_about_as_many_guests(spark):
+    from rowtide.llm.rangejoin import _cells, _unit
+
+    rng = np.random.default_rng(4)
+    rows, pivots = _unit(rng.normal(size=(6000, 24))), _unit(rng.normal(size=(16, 24)))
+    guests = [len(members) for _, members, at_home in _cells(rows, pivots, 0.32) if not at_home]
+    assert max(guests) < 3 * np.median(guests)

@@ -88,3 +88,14 @@ def test_revisits_and_odd_rows(spark, least):
         (str(r.page_id), r.payload_bytes, r.payload_digest, r.record_type, str(r.refers_to)) for r in got
     )
     assert archive_and_read(pages.limit(0)).count() == 0
+
+
+def test_archives_are_read_by_many_tasks(spark, tmp_path):
+    """However small the index is, what it leads to is read by a task for each file at least."""
+    rows = spark.range(0, 400, numPartitions=6).select(
+        F.col("id").alias("page_id"), F.concat(F.lit("http://a/"), "id").alias("url"), F.repeat(F.col("id").cast("string"), 50).alias("html")
+    )
+    index = write_archives(rows, f"file://{tmp_path}/warc")
+    files = index.select("file").distinct().count()
+    read = read_records(index).withColumn("task", F.spark_partition_id())
+    assert files > 1 and read.count() == 400 and read.select("task").distinct().count() > 1
