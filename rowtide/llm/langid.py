@@ -97,6 +97,7 @@ class LanguageModel:
 
 
 _FRAME = 6
+_BROADCAST_ROWS = 200_000
 
 
 @lru_cache(maxsize=2)
@@ -149,6 +150,10 @@ def fit_languages(
     dictionary_bytes = min(dictionary_bytes, max(all_bytes // len(names), 256))
     first = Window.partitionBy("lang").orderBy("order")
     chosen = hashed.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= per_language)
+    picked = chosen.select("lang", "order")
+    if len(names) * per_language <= _BROADCAST_ROWS:
+        # So the texts are not shuffled; the number of rows is bounded by that of the languages.
+        picked = F.broadcast(picked)
     longest = max(16 * dictionary_bytes // per_language, 64)
     spare = F.greatest(F.length("text") - longest, F.lit(0))
     start = F.pmod("order", spare + 1).cast("int")
@@ -158,7 +163,7 @@ def fit_languages(
     )
     rows = (
         known.withColumn("order", F.xxhash64("text"))
-        .join(chosen.select("lang", "order"), ["lang", "order"])
+        .join(picked, ["lang", "order"])
         .groupBy("lang", "order")
         .agg(F.min(cut).alias("text"))
         .orderBy("lang", "order")
