@@ -1,9 +1,11 @@
 """Language-model scoring by a probabilistic suffix tree over words.
 
 The corpus is read once and kept as blocks: documents' words as numbers into the block's own
-dictionary. Counts of words, and of words after contexts, are summed block by block in numpy and
-then across blocks by Spark. The exact count of every word goes back to the blocks that have it, so
-no vocabulary is ever held whole.
+dictionary. The top of the tree, whose size is bounded, has frequent words as symbols: counts are summed
+block by block in numpy and then across blocks by Spark. Below it, contexts of whole words grow with
+the corpus: every string that occurs twice counts, and contexts lengthen as long as the test and their
+next words tell more. These counts, and those of all words, go back to the blocks that have
+them, so neither a vocabulary nor a tree is ever held whole.
 """
 
 from __future__ import annotations
@@ -14,11 +16,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowtide.llm import longcontexts as far
 from rowtide.llm.common import stored
 
 END = b""  # no word is empty, so this stands for the end of a text
@@ -43,6 +47,7 @@ def _block_schema(ident: T.DataType) -> T.StructType:
             T.StructField("words", T.ArrayType(T.BinaryType())),
             T.StructField("counts", T.ArrayType(T.LongType())),
             T.StructField("learned", T.LongType()),
+            T.StructField("n_tokens", T.LongType()),
         ]
     )
 
@@ -76,10 +81,11 @@ class _Block:
             "ids": pa.array([self.ids], pa.list_(ident)),
             "trains": pa.array([trains.tobytes()], pa.binary()),
             "sizes": pa.array([sizes.tobytes()], pa.binary()),
-            "tokens": pa.array([tokens.tobytes()], pa.binary()),
+            "tokens": pa.array([far.packed(tokens)], pa.binary()),
             "words": pa.array([words], pa.list_(pa.binary())),
             "counts": pa.ListArray.from_arrays(pa.array([0, len(counts)], pa.int32()), pa.array(counts, pa.int64())),
             "learned": pa.array([int(counts.sum())], pa.int64()),
+            "n_tokens": pa.array([len(tokens)], pa.int64()),
         }
         return pa.RecordBatch.from_pydict(values)
 
@@ -127,9 +133,18 @@ class _Tokens:
         return cls(
             np.frombuffer(columns["sizes"][row].as_buffer(), np.int32),
             np.frombuffer(columns["trains"][row].as_buffer(), bool),
-            np.frombuffer(columns["tokens"][row].as_buffer(), np.int32),
+            far.unpacked(columns["tokens"][row].as_py(), np.int32)[0],
         )
 
+    @property
+    def places(self) -> np.ndarray:
+        """The place of each token in its text."""
+        return _places(self.sizes)
+
+
+def _places(sizes: np.ndarray) -> np.ndarray:
+    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
 
 # ---------------------------------------------------------------------------- the tree
 
@@ -138,8 +153,9 @@ class _Tokens:
 class Layer:
     """Contexts of one length, and which symbols follow them how often.
 
-    ``kept`` is the sum of a context's discounted counts. A context is the number of the context one shorter (its suffix) and the symbol before it;
-    ``paths`` has both as one sorted key, ``entries`` context and next symbol as one sorted key.
+    ``kept`` is the sum of a context's discounted counts. A context is the number of the context
+    one shorter (its suffix) and the symbol before it; ``paths`` has both as one sorted key,
+    ``entries`` context and next symbol as one sorted key.
     """
 
     paths: np.ndarray
@@ -194,17 +210,20 @@ class SuffixTree:
             context = _lookup(layer.paths, key)
             yield context
 
-    def probabilities(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """The probability of each symbol in the state of the longest retained suffix."""
-        p = self.root[symbols]
+    def walk(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each symbol's probability in the state of the longest retained suffix, and the longest context."""
+        p, context = self.root[symbols], np.full(len(symbols), -1, np.int64)
         for layer, context in zip(self.layers, self.paths(symbols, sizes), strict=True):
             p = np.where(context >= 0, self._within(layer, np.maximum(context, 0), symbols, p), p)
-        return p
+        return p, context
+
+    def probabilities(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        return self.walk(symbols, sizes)[0]
 
     def _within(self, layer: Layer, context, symbols, shorter) -> np.ndarray:
+        """Discounted counts of the kept next symbols; what is left goes by the shorter context."""
         if not len(layer.totals):
             return shorter
-        """Discounted counts of the kept next symbols; what is left goes by the shorter context."""
         entry = _lookup(layer.entries, context * len(self.root) + symbols)
         counts = np.append(layer.counts - self.discount, 0.0)  # the last is for no entry, -1
         total = layer.totals[context] + self.smoothing
@@ -317,6 +336,121 @@ def _strings(tree: SuffixTree, context: np.ndarray) -> np.ndarray:
     return np.column_stack(columns)
 
 
+# ---------------------------------------------------------------------------- longer contexts
+
+
+@dataclass
+class _Reach:
+    """Texts whose longer contexts may tell more, and the places where these do.
+
+    ``hashes`` has one for each word of the block, zero for words that occur fewer than twice in
+    training texts. ``p`` and ``codes`` are the probabilities that shorter contexts give to the places
+    ``at``, the second one coded for the test, with rare words at the most that they can have.
+    """
+
+    tokens: np.ndarray
+    hashes: np.ndarray
+    sizes: np.ndarray
+    rows: np.ndarray
+    trains: np.ndarray
+    at: np.ndarray
+    p: np.ndarray
+    codes: np.ndarray
+
+    KINDS = (np.int32, np.uint64, np.int32, np.int32, bool, np.int64, np.float64, np.uint8)
+
+    def packed(self) -> bytes:
+        values = (self.tokens, self.hashes, self.sizes, self.rows, self.trains, self.at, self.p, self.codes)
+        return far.packed(*(v.astype(k, copy=False) for v, k in zip(values, self.KINDS, strict=True)))
+
+    @classmethod
+    def unpacked(cls, value: bytes) -> _Reach:
+        return cls(*far.unpacked(value, *cls.KINDS))
+
+    def asking(self, length: int, shards: int) -> far.Questions:
+        """Questions about the places' contexts of ``length`` words, all of them in the text."""
+        hashes = self.hashes[self.tokens]
+        contexts = far.contexts_before(hashes, self.at, length)
+        learn = np.repeat(self.trains, self.sizes)[self.at]
+        return far.Questions.about(contexts, hashes[self.at], learn, self.codes, shards)
+
+    def told(self, of, answers, discount: float, smoothing: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Probabilities and codes by the longer contexts that are retained, and where to go on."""
+        n, total, mass, longer = (a[of] for a in answers)
+        own, left = np.where(n > 0, n - discount, 0.0), total - mass + smoothing
+
+        def mixed(p):
+            return np.where(total > 0, (own + left * p) / (total + smoothing), p)
+
+        return mixed(self.p), far.coded(mixed(far.decoded(self.codes))), longer
+
+    def kept(self, places: np.ndarray, length: int) -> _Reach | None:
+        """Of the places with so many words before them, all seen twice, the texts that have some."""
+        tokens, at = self.tokens, self.at
+        unseen = np.append(0, np.cumsum(self.hashes[tokens] == 0))
+        go = (places[at] >= length) & (unseen[at] == unseen[np.maximum(at - length, 0)])
+        at = at[go]
+        if not len(at):
+            return None
+        text = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        has = np.zeros(len(self.sizes), bool)
+        has[text[at]] = True
+        stay = has[text]
+        at = (np.cumsum(stay) - 1)[at]
+        used, tokens = np.unique(tokens[stay], return_inverse=True)
+        return _Reach(
+            tokens, self.hashes[used], self.sizes[has], self.rows[has], self.trains[has], at, self.p[go], self.codes[go]
+        )
+
+
+@dataclass
+class _Scale:
+    """What scoring needs to know of the whole corpus."""
+
+    tree: SuffixTree
+    total: int
+    denominator: float
+    least: int
+
+    @property
+    def length(self) -> int:
+        """Words in the shortest contexts below the top; the top's probabilities depend on no more."""
+        return max(2, len(self.tree.layers))
+
+    def begin(self, block: _Tokens, words: list[bytes]) -> tuple[np.ndarray, _Reach, np.ndarray]:
+        """The tree's probability of each token's symbol, the places below it, and those it holds.
+
+        A context of frequent words that the top tree has is left to it, so that no shard is asked
+        about the next words of a very common one; what is longer is asked about.
+        """
+        symbols = self.tree.symbols_of(words)
+        below = symbols == self.tree.rare
+        p = np.empty(len(block.tokens))
+        held = np.zeros(len(block.tokens), bool)
+        starts = np.cumsum(block.sizes) - block.sizes
+        low = 0
+        # Bounded memory: the walk is done over a limited number of tokens at a time.
+        while low < len(block.sizes):
+            high = max(int(np.searchsorted(starts, starts[low] + 1_000_000)), low + 1)
+            span = slice(starts[low], starts[high] if high < len(starts) else len(block.tokens))
+            own, sizes = symbols[block.tokens[span]], block.sizes[low:high]
+            p[span], context = self.tree.walk(own, sizes)
+            if len(self.tree.layers) == self.length:
+                pooled = np.append(0, np.cumsum(own == self.tree.rare))
+                at = np.arange(len(own))
+                held[span] = (context >= 0) & (pooled[at] == pooled[np.maximum(at - self.length, 0)])
+            low = high
+        at = np.flatnonzero(block.places >= self.length)
+        most = min(1.0, (self.least - 0.9) / self.denominator / self.tree.root[self.tree.rare])
+        codes = far.coded(p[at] * np.where(below[block.tokens[at]], most, 1.0))
+        rows = np.arange(len(block.sizes), dtype=np.int32)
+        return p, _Reach(block.tokens, far.word_hashes(words), block.sizes, rows, block.trains, at, p[at], codes), held[at]
+
+
+def _sum_by(of: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    return np.bincount(of, values, minlength=n)
+
+
 # ---------------------------------------------------------------------------- scoring
 
 
@@ -332,7 +466,11 @@ def score_texts(
     divergence: float = 0.05,
     discount: float = 0.75,
     smoothing: float = 300.0,
+    least: int = 2,
+    long_smoothing: float = 1.0,
+    stretch: int = 3,
     block_bytes: int = 16_000_000,
+    shard_tokens: int = 4_000_000,
 ) -> DataFrame:
     """Scores every text: its id, ``n_tokens, n_known, train_tokens, base_score, score``.
 
@@ -340,21 +478,39 @@ def score_texts(
     ASCII white space, A to Z in lower case) and one end. The base is the sum of
     log10((c + 0.1) / (N + 0.1 (V + 1))) over the tokens.
 
-    The tree's symbols are the words with at least ``symbol_share`` of all training tokens, the
-    end among them if so, and one for all other words, which divides among them as the base does. A
-    context is a candidate if it has that share too, and next symbols are kept apart from
-    ``entry_share`` on. ``discount`` (below 2) is taken from each kept count; it, what is not kept, and
-    ``smoothing`` further counts are given to the shorter context, so every distribution sums to one. The shares bound what is sent to tasks at every size of the corpus: at most
-    1 / symbol_share contexts of each length and 1 / entry_share counts. Word counts for the base
-    are not bounded and not broadcast; they are joined to the blocks.
+    The top of the tree has contexts of up to ``depth`` symbols: the words with at least ``symbol_share``
+    of all training tokens, the end among them if so, and one for all other words, which divides
+    among them as the base does. A context is a candidate there if it has that share too, and next
+    symbols are kept apart from ``entry_share`` on. The shares bound what is sent to tasks: at most
+    1 / symbol_share contexts of each length and 1 / entry_share counts.
+
+    Below the top stand contexts of whole words, which grow with the corpus: of max(2, depth) words
+    first, then of ``stretch`` times as many, and so on. Next words seen ``least`` times are kept, however
+    large the corpus is. A longer context is asked about where the shorter one keeps some next word but
+    not always the same, or is one of frequent words that the top holds; so lengths end by what the
+    corpus has. Before a context stand as many words of the text itself. Its counts are never sent to
+    all: they are made in shards of about ``shard_tokens`` tokens and go to the blocks that asked.
+
+    A context is retained if its distribution diverges from that of its suffix by ``divergence`` nats,
+    and texts are scored in the state of the longest retained suffix. ``discount`` (below 2) is taken
+    from each kept count; it, what is not kept, and ``smoothing`` (below the top ``long_smoothing``) further
+    counts are given to the shorter context, so every distribution sums to one. Below the top the test
+    takes a rare word's shorter probability at the most that it can be, in steps of an eighth of a nat,
+    so that a divergence it finds is not an effect of the pool of rare words.
 
     Null and empty texts are one end. Repeated rows, and rows without an id, are scored each. If
-    nothing teaches, N and V are 0 and both scores fall back to the base's formula.
+    nothing teaches, N and V are 0 and both scores fall back to the base's formula. An empty table
+    gives an empty result.
     """
     blocks = blocks_of(docs, ident, text, train, block_bytes)
-    total = blocks.agg(F.coalesce(F.sum("learned"), F.lit(0))).first()[0]
-    least = max(2, int(np.ceil(total * symbol_share)))
-    known = _word_counts(blocks, least)
+    total, listed, tokens = blocks.agg(
+        F.coalesce(F.sum("learned"), F.lit(0)),
+        F.coalesce(F.sum(F.size("words")), F.lit(0)),
+        F.coalesce(F.sum("n_tokens"), F.lit(0)),
+    ).first()
+    top_least = max(2, int(np.ceil(total * symbol_share)))
+    word_shards = 1 + listed // shard_tokens
+    known = stored(far.word_counts(blocks, word_shards, top_least), "lm-words", compression="zstd")
     words, counts, vocabulary = _frequent(known)
     denominator = total + 0.1 * (vocabulary + 1)
     p = (counts + 0.1) / denominator
@@ -364,99 +520,187 @@ def score_texts(
     entry_least = max(2, int(np.ceil(total * entry_share)))
     for _ in range(depth if total else 0):
         tree.layers.append(_grow(blocks, tree, paths, entry_least, divergence))
-        paths = _longer(tree, least)
+        paths = _longer(tree, top_least)
         if not len(paths):
             break
-    return _scored(blocks, known, tree, total, denominator, ident)
+    scale = _Scale(tree, total, denominator, top_least)
+    growth = _Growth(least, divergence, discount, long_smoothing, stretch, shard_tokens)
+    return _scored(blocks, known, (word_shards, 1 + tokens // shard_tokens), scale, growth, ident)
 
 
-def _word_counts(blocks: DataFrame, least: int) -> DataFrame:
-    """For each block and word number the word's count in all training texts.
+@dataclass
+class _Growth:
+    """How contexts of whole words grow."""
 
-    The word itself is kept in one row of each frequent word only. A word's rows are one for each
-    block, however often it occurs.
-    """
-    place = F.transform("counts", lambda n, i: i)
-    listed = blocks.select("block", F.arrays_zip("words", "counts", place.alias("place")).alias("each"))
-    rows = listed.select("block", F.inline("each").alias("word", "n", "place"))
-    same = Window.partitionBy("word")
-    counted = rows.select(
-        "block",
-        F.col("place").cast("int").alias("place"),
-        "word",
-        F.sum("n").over(same).alias("c"),
-        (F.min("block").over(same) == F.col("block")).alias("first"),
-    )
-    frequent = F.col("first") & (F.col("c") >= least)
-    return stored(
-        counted.select("block", "place", "c", "first", F.when(frequent, F.col("word")).alias("word")),
-        "lm-words",
-    )
+    least: int
+    divergence: float
+    discount: float
+    smoothing: float
+    stretch: int
+    shard_tokens: int
 
 
 def _frequent(known: DataFrame) -> tuple[list[bytes], np.ndarray, int]:
     """The frequent words and their counts, bounded by their share, and the number of all words."""
-    vocabulary = known.filter("first AND c > 0").count()
+    vocabulary = known.agg(F.coalesce(F.sum("vocabulary"), F.lit(0))).first()[0]
     rows = known.filter("word IS NOT NULL").select("word", "c").collect()
     rows.sort(key=lambda r: (-r.c, bytes(r.word)))
     return [bytes(r.word) for r in rows], np.array([r.c for r in rows], np.float64), vocabulary
 
 
-def _scored(blocks, known, tree, total, denominator, ident) -> DataFrame:
-    sent = SparkSession.getActiveSession().sparkContext.broadcast(tree)
-    kind = blocks.schema["ids"].dataType.elementType
+_REACH = [T.StructField("reach", T.BinaryType()), T.StructField("places", T.LongType())]
+
+
+def _scored(blocks, known, numbers, scale: _Scale, growth: _Growth, ident) -> DataFrame:
+    sent = blocks.sparkSession.sparkContext.broadcast(scale)
+    word_shards, shards = numbers
+    length = scale.length
+
+    def ask(batches):
+        for batch in batches:
+            columns = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+            for row in range(batch.num_rows):
+                block = _Tokens.read(columns, row)
+                _, reach, held = sent.value.begin(block, columns["words"][row].values.to_pylist())
+                yield _without(reach, held).asking(length, shards).messages(columns["block"][row].as_py())
+
+    def score(block: pa.Table, answers: pa.Table) -> pa.Table:
+        scale = sent.value
+        columns = {name: block.column(name).combine_chunks() for name in block.column_names}
+        held = _Tokens.read(columns, 0)
+        words = columns["words"][0].values.to_pylist()
+        far_away = pc.field("kind") == 1
+        c = far.counts_told(answers.filter(~far_away), words, word_shards)
+        base = np.log10((c + 0.1) / scale.denominator)
+        p, reach, top = scale.begin(held, words)
+        rare = scale.tree.symbols_of(words) == scale.tree.rare
+        p *= np.where(rare, 10.0 ** (base - np.log10(scale.tree.root[scale.tree.rare])), 1.0)[held.tokens]
+        reach.p = p[reach.at]
+        asked = _without(reach, top)
+        of = asked.asking(length, shards).of
+        new, codes, longer = asked.told(of, far.told_to(answers.filter(far_away)), growth.discount, growth.smoothing)
+        p[asked.at] = new
+        reach.p[~top], reach.codes[~top] = new, codes
+        go = top.copy()
+        go[~top] = longer
+        reach.hashes = np.where(c >= 2, reach.hashes, np.uint64(0))
+        reach.at, reach.p, reach.codes = reach.at[go], reach.p[go], reach.codes[go]
+        further = reach.kept(held.places, length * growth.stretch)
+        n = len(held.sizes)
+        text = np.repeat(np.arange(n), held.sizes)
+        sums = [
+            held.sizes.astype(np.int64),
+            _sum_by(text, (c > 0)[held.tokens], n).astype(np.int64),
+            _sum_by(text, base[held.tokens], n),
+            _sum_by(text, np.log10(p), n),
+        ]
+        return pa.Table.from_arrays(
+            [columns["block"], columns["ids"], *(pa.array([v]) for v in sums), *_further(further)], schema.names
+        )
+
     schema = T.StructType(
         [
-            T.StructField(ident, kind),
-            T.StructField("n_tokens", T.LongType()),
-            T.StructField("n_known", T.LongType()),
-            T.StructField("train_tokens", T.LongType()),
-            T.StructField("base_score", T.DoubleType()),
-            T.StructField("score", T.DoubleType()),
+            T.StructField("block", T.LongType()),
+            T.StructField("ids", blocks.schema["ids"].dataType),
+            T.StructField("n_tokens", T.ArrayType(T.LongType())),
+            T.StructField("n_known", T.ArrayType(T.LongType())),
+            T.StructField("base_score", T.ArrayType(T.DoubleType())),
+            T.StructField("score", T.ArrayType(T.DoubleType())),
+            *_REACH,
         ]
     )
+    rows = blocks.select("block", "ids", "sizes", "trains", "tokens", "words")
+    told = far.answers_of(
+        rows.mapInArrow(ask, far.ASKED), growth.least, growth.divergence, growth.discount
+    ).withColumn("kind", F.lit(1))
+    told = told.unionByName(
+        known.filter("told IS NOT NULL").select("block", "shard", "told", F.lit(0).alias("kind"))
+    )
+    first = stored(
+        rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(score, schema), "lm-scores", compression="zstd"
+    )
+    changes = _lengthened(first, length * growth.stretch, growth)
+    each = F.arrays_zip("ids", "n_tokens", "n_known", "base_score", "score")
+    texts = first.select("block", F.posexplode(each).alias("row", "each")).select(
+        "block",
+        "row",
+        F.col("each.ids").alias("id"),
+        *(F.col(f"each.{name}") for name in ("n_tokens", "n_known", "base_score", "score")),
+    )
+    score_now = F.col("score")
+    if changes:
+        union = changes[0]
+        for more in changes[1:]:
+            union = union.unionByName(more)
+        change = union.groupBy("block", "row").agg(F.sum("change").alias("change"))
+        texts = texts.join(change, ["block", "row"], "left")
+        score_now = F.col("score") + F.coalesce("change", F.lit(0.0))
+    return texts.select(
+        F.col("id").alias(ident),
+        "n_tokens",
+        "n_known",
+        F.lit(scale.total).cast("long").alias("train_tokens"),
+        "base_score",
+        score_now.alias("score"),
+    )
 
-    def score(block: pa.Table, counts: pa.Table) -> pa.Table:
-        tree = sent.value
-        columns = {name: block.column(name).combine_chunks() for name in block.column_names}
-        held = _Tokens.read(columns, 0)
-        c = np.zeros(counts.num_rows)
-        c[counts.column("place").to_numpy()] = counts.column("c").to_numpy()
-        ids = columns["ids"][0].values
+
+def _without(reach: _Reach, held: np.ndarray) -> _Reach:
+    return _Reach(
+        reach.tokens, reach.hashes, reach.sizes, reach.rows, reach.trains,
+        reach.at[~held], reach.p[~held], reach.codes[~held],
+    )
+
+
+def _further(reach: _Reach | None) -> list[pa.Array]:
+    if reach is None:
+        return [pa.array([None], pa.binary()), pa.array([0], pa.int64())]
+    return [pa.array([reach.packed()], pa.binary()), pa.array([len(reach.at)], pa.int64())]
+
+
+def _lengthened(first: DataFrame, length: int, growth: _Growth) -> list[DataFrame]:
+    """Lets contexts grow until no place is left; what each length changes in the texts' scores."""
+    changes, now = [], first
+    schema = T.StructType(
+        [
+            T.StructField("block", T.LongType()),
+            T.StructField("rows", T.ArrayType(T.IntegerType())),
+            T.StructField("changes", T.ArrayType(T.DoubleType())),
+            *_REACH,
+        ]
+    )
+    while True:
+        now = now.filter("reach IS NOT NULL").select("block", "reach", "places")
+        places = now.agg(F.coalesce(F.sum("places"), F.lit(0))).first()[0]
+        if not places:
+            return changes
+        now = _one_longer(now, length, 1 + places // growth.shard_tokens, growth, schema)
+        changes.append(now.select("block", F.inline(F.arrays_zip("rows", "changes")).alias("row", "change")))
+        length *= growth.stretch
+
+
+def _one_longer(now: DataFrame, length: int, shards: int, growth: _Growth, schema) -> DataFrame:
+    def ask(batches):
+        for batch in batches:
+            for block, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                yield _Reach.unpacked(value).asking(length, shards).messages(block)
+
+    def change(block: pa.Table, answers: pa.Table) -> pa.Table:
+        reach = _Reach.unpacked(block.column("reach")[0].as_py())
+        of = reach.asking(length, shards).of
+        p, codes, longer = reach.told(of, far.told_to(answers), growth.discount, growth.smoothing)
+        n = len(reach.sizes)
+        text = np.repeat(np.arange(n), reach.sizes)[reach.at]
+        changed = _sum_by(text, np.log10(p / reach.p), n)
+        rows = reach.rows
+        reach.at, reach.p, reach.codes = reach.at[longer], p[longer], codes[longer]
+        further = reach.kept(_places(reach.sizes), length * growth.stretch)
         return pa.Table.from_arrays(
-            [ids, *_document_scores(held, columns["words"][0].values.to_pylist(), c, tree, total, denominator)],
+            [block.column("block").combine_chunks(), pa.array([rows]), pa.array([changed]), *_further(further)],
             schema.names,
         )
 
-    rows = blocks.select("block", "ids", "sizes", "trains", "tokens", "words").groupBy("block")
-    return rows.cogroup(known.select("block", "place", "c").groupBy("block")).applyInArrow(score, schema)
-
-
-def _document_scores(block: _Tokens, words, c, tree: SuffixTree, total, denominator) -> list[pa.Array]:
-    base = np.log10((c + 0.1) / denominator)
-    symbols = tree.symbols_of(words)
-    rare = symbols == tree.rare
-    inside = np.where(rare, base - np.log10(tree.root[tree.rare]), 0.0)
-    starts = np.cumsum(block.sizes) - block.sizes
-    of = np.repeat(np.arange(len(block.sizes)), block.sizes)
-    # Bounded memory: the state walk is done over a limited number of tokens at a time.
-    logs = np.empty(len(block.tokens))
-    low = 0
-    while low < len(block.sizes):
-        high = max(int(np.searchsorted(starts, starts[low] + 1_000_000)), low + 1)
-        span = slice(starts[low], starts[high] if high < len(starts) else len(block.tokens))
-        own = symbols[block.tokens[span]]
-        logs[span] = np.log10(tree.probabilities(own, block.sizes[low:high])) + inside[block.tokens[span]]
-        low = high
-
-    def sums(values: np.ndarray) -> np.ndarray:
-        return np.bincount(of, values, minlength=len(block.sizes))
-
-    n = len(block.sizes)
-    return [
-        pa.array(block.sizes.astype(np.int64)),
-        pa.array(sums((c > 0)[block.tokens]).astype(np.int64)),
-        pa.array(np.full(n, total, np.int64)),
-        pa.array(sums(base[block.tokens])),
-        pa.array(sums(logs)),
-    ]
+    state = now.select("block", "reach")
+    told = far.answers_of(state.mapInArrow(ask, far.ASKED), growth.least, growth.divergence, growth.discount)
+    joined = state.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(change, schema)
+    return stored(joined, "lm-longer", compression="zstd")

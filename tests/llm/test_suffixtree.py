@@ -92,20 +92,111 @@ class PlainModel:
         return score
 
 
-@pytest.mark.parametrize(("share", "depth"), [(1e-3, 2), (3e-3, 3), (0.5, 2)])
-def test_scores_equal_the_plain_model(documents, share, depth):
+def coded(p):
+    return min(max(round(-8 * math.log(p)), 0), 255)
+
+
+def decoded(code):
+    return math.exp(-code / 8)
+
+
+class PlainLongContexts:
+    """Contexts of whole words below a plain top, one place at a time."""
+
+    def __init__(self, top, texts, teaches, share, least, divergence, smoothing, stretch):
+        self.top, self.least, self.divergence, self.smoothing = top, least, divergence, smoothing
+        grown = max((len(c) for c in top.nodes), default=0)
+        length = max(2, grown)
+        most = (max(2, math.ceil(top.n * share)) - 0.9) / top.below / top.root[None]
+        self.logs = {}
+        active = {}
+        for i, tokens in texts.items():
+            symbols = [END if END in top.symbols else None, *map(top.symbol, tokens)]
+            for at, word in enumerate(tokens):
+                symbol = symbols[at + 1]
+                q = top.p(symbols[max(0, at + 1 - max(grown, 1)) : at + 1], symbol)
+                p = q * (1 if symbol is not None else top.base(word) / top.root[None])
+                self.logs[i, at] = p
+                if at >= length:
+                    before = tuple(symbols[at + 1 - length : at + 1])
+                    held = grown == length and None not in before and before in top.nodes
+                    active[i, at] = (p, coded(q * (1 if symbol is not None else min(1, most))), held)
+        self.rounds = []
+        first = True
+        while active:
+            active = self.longer(texts, teaches, active, length, first)
+            length, first = length * stretch, False
+            active = {
+                (i, at): v
+                for (i, at), v in active.items()
+                if at >= length and all(top.c[w] >= 2 for w in texts[i][at - length : at])
+            }
+
+    def longer(self, texts, teaches, active, length, first):
+        follow, codes = {}, {}
+        for (i, at), (_, code, held) in active.items():
+            if not held:
+                context, word = tuple(texts[i][at - length : at]), texts[i][at]
+                follow.setdefault(context, Counter())[word] += teaches[i]
+                codes[context, word] = code
+        nodes = {}
+        for context, counts in follow.items():
+            total = sum(counts.values())
+            kept = {w: n for w, n in counts.items() if n >= self.least}
+            own = {w: n / total for w, n in kept.items()}
+            gain = sum(p * math.log(p / decoded(codes[context, w])) for w, p in own.items())
+            rest = max(1 - sum(own.values()), 0)
+            if rest > 1e-12:
+                gain += rest * math.log(rest / max(1 - sum(decoded(codes[context, w]) for w in kept), 1e-12))
+            retained = bool(kept) and gain >= self.divergence
+            nodes[context] = (total, kept, retained, bool(kept) and max(kept.values()) < total)
+        self.rounds.append((length, sum(n[2] for n in nodes.values())))
+        further = {}
+        for (i, at), (p, code, held) in active.items():
+            if held:
+                further[i, at] = (p, code, False)
+                continue
+            word = texts[i][at]
+            total, kept, retained, longer = nodes[tuple(texts[i][at - length : at])]
+            if retained:
+                own = kept[word] - self.top.discount if word in kept else 0
+                left = total - sum(n - self.top.discount for n in kept.values()) + self.smoothing
+                p = (own + left * p) / (total + self.smoothing)
+                code = coded((own + left * decoded(code)) / (total + self.smoothing))
+            self.logs[i, at] = p
+            if longer:
+                further[i, at] = (p, code, False)
+        return further
+
+    def score(self, i, tokens):
+        return sum(math.log10(self.logs[i, at]) for at in range(len(tokens)))
+
+
+@pytest.mark.parametrize(
+    ("share", "depth", "least", "shard_tokens"), [(1e-3, 2, 2, 5_000), (3e-3, 3, 3, 4_000_000), (0.5, 2, 2, 700), (1e-3, 2, 10**9, 50_000)]
+)
+def test_scores_equal_the_plain_model(documents, share, depth, least, shard_tokens):
     how = {"entry_share": 1e-4, "depth": depth, "divergence": 0.05, "discount": 0.6, "smoothing": 3.0}
-    got = {r.doc_id: r for r in score_texts(documents, train(), symbol_share=share, block_bytes=60_000, **how).collect()}
+    longer = {"least": least, "long_smoothing": 0.7, "stretch": 2}
+    scored = score_texts(
+        documents, train(), symbol_share=share, block_bytes=60_000, shard_tokens=shard_tokens, **how, **longer
+    )
+    got = {r.doc_id: r for r in scored.collect()}
     texts = {r.doc_id: plain_tokens(r.text) for r in documents.collect()}
-    teach = [t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 10]
-    model = PlainModel(teach, share, *how.values())
+    teaches = {i: zlib.crc32(str(i).encode()) % 10 != 0 for i in texts}
+    model = PlainModel([t for i, t in texts.items() if teaches[i]], share, *how.values())
+    below = PlainLongContexts(model, texts, teaches, share, least, how["divergence"], 0.7, 2)
+    if least == 2:
+        assert len(below.rounds) > 1 and all(n for _, n in below.rounds[:2])
     assert len(got) == len(texts)
     for i, tokens in texts.items():
         r = got[i]
         assert (r.n_tokens, r.train_tokens) == (len(tokens), model.n)
         assert r.n_known == sum(model.c[w] > 0 for w in tokens)
         assert r.base_score == pytest.approx(sum(math.log10(model.base(w)) for w in tokens), rel=1e-9)
-        assert r.score == pytest.approx(model.score(tokens, depth), rel=1e-9)
+        if least == 10**9:
+            assert r.score == pytest.approx(model.score(tokens, depth), rel=1e-9)
+        assert r.score == pytest.approx(below.score(i, tokens), rel=1e-9)
 
 
 def test_distributions_sum_to_one():
