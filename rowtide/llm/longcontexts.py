@@ -96,7 +96,7 @@ class Questions:
     def messages(self, block: int) -> pa.RecordBatch:
         """One packed row for each shard; sorted keys go as differences, byte by byte."""
         numbers, starts = np.unique(self.shards, return_index=True)
-        ends = np.append(starts[1:], len(self.shards))
+        ends = np.append(starts, len(self.shards))[1:]
         values = []
         for low, high in zip(starts, ends, strict=True):
             steps = np.diff(self.keys[low:high], prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8)
