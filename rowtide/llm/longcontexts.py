@@ -17,15 +17,20 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 
-NEXT_BITS = 24  # of a key's 64 bits; the others, and the shard, tell contexts apart
+# A key has so many bits of the context and of its next word. Two of a shard's contexts (about a million,
+# by the default) are taken for one by a chance of 1 in 16,000, two next words of a context by 1 in a million,
+# at every size of the corpus, as shards do not grow with it.
+CONTEXT_BITS, NEXT_BITS = 34, 20
+SHARD_BITS = 28  # of the context's hash, those that the key has not
 CODES = 8.0  # steps of a coded probability in each nat
 STEP = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2 ** 64
 BACK = pow(STEP, -1, 1 << 64)
 
 
 def packed(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed value; ``unpacked`` needs their types."""
-    parts = [np.array([a.size for a in arrays], np.int64).tobytes(), *(a.tobytes() for a in arrays)]
+    """Arrays as one compressed value, byte by byte; ``unpacked`` needs their types."""
+    planes = (np.ascontiguousarray(a.view(np.uint8).reshape(a.size, -1).T) if a.size else a for a in arrays)
+    parts = [np.array([a.size for a in arrays], np.int64).tobytes(), *(p.tobytes() for p in planes)]
     return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
 
 
@@ -33,12 +38,22 @@ def unpacked(value: bytes, *types) -> list[np.ndarray]:
     data = zstandard.ZstdDecompressor().decompress(value)
     sizes = np.frombuffer(data, np.int64, len(types))
     arrays, at = [], sizes.nbytes
-    for size, kind in zip(sizes, types, strict=True):
-        arrays.append(np.frombuffer(data, kind, int(size), at))
-        at += arrays[-1].nbytes
+    for size, kind in zip(sizes.tolist(), map(np.dtype, types), strict=True):
+        planes = np.frombuffer(data, np.uint8, size * kind.itemsize, at).reshape(kind.itemsize, size)
+        arrays.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+        at += planes.nbytes
     return arrays
 
 
+def packed_words(words: list[bytes]) -> bytes:
+    """Words as one value; none has white space."""
+    return packed(np.frombuffer(b"\n".join(words), np.uint8))
+
+
+def unpacked_words(value: bytes) -> list[bytes]:
+    return unpacked(value, np.uint8)[0].tobytes().split(b"\n")
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     """A hash of each word, with a next word's bits never all zero."""
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
@@ -56,13 +71,25 @@ def decoded(code: np.ndarray) -> np.ndarray:
 
 def contexts_before(hashes: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     """A hash of the ``length`` words before each place ``at``, in a fixed number of steps."""
+    # Arrays of a block's length are changed in place, as their number is what a task needs in memory.
     n = len(hashes)
-    powers, backs = np.cumprod(np.full(n, STEP, np.uint64)), np.cumprod(np.full(n, BACK, np.uint64))
-    sums = np.append(np.uint64(0), np.cumsum(hashes * powers, dtype=np.uint64))
-    mixed = (sums[at] - sums[at - length]) * backs[at - length]
-    mixed = (mixed ^ (mixed >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    mixed = (mixed ^ (mixed >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return mixed ^ (mixed >> np.uint64(33))
+    sums = np.zeros(n + 1, np.uint64)
+    sums[1:] = STEP
+    np.cumprod(sums[1:], out=sums[1:])
+    sums[1:] *= hashes
+    np.cumsum(sums[1:], out=sums[1:])
+    before = at - length
+    mixed = sums[at]
+    mixed -= sums[before]
+    del sums
+    backs = np.cumprod(np.full(n, BACK, np.uint64))
+    mixed *= backs[before]
+    del backs, before
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        mixed ^= mixed >> np.uint64(33)
+        mixed *= np.uint64(factor)
+    mixed ^= mixed >> np.uint64(33)
+    return mixed
 
 
 @dataclass
@@ -79,28 +106,30 @@ class Questions:
     def about(cls, contexts, nexts, learn, codes, shards: int) -> Questions:
         """``nexts`` of zero stand for words that cannot be kept; ``learn`` says which places teach."""
         small = np.uint16 if shards <= 1 << 16 else np.uint32
-        shard = ((contexts >> np.uint64(64 - NEXT_BITS)) % np.uint64(shards)).astype(small)
-        mask = np.uint64((1 << NEXT_BITS) - 1)
-        keys = (contexts << np.uint64(NEXT_BITS)) | (nexts & mask)
-        order = np.argsort(keys)
-        order = order[np.argsort(shard[order], kind="stable")]
+        shard = ((contexts >> np.uint64(64 - SHARD_BITS)) % np.uint64(shards)).astype(small)
+        keys = contexts & np.uint64((1 << CONTEXT_BITS) - 1)
+        keys <<= np.uint64(NEXT_BITS)
+        keys |= nexts & np.uint64((1 << NEXT_BITS) - 1)
+        order = np.argsort(keys).astype(np.int32)
+        order = order[np.argsort(shard[order], kind="stable").astype(np.int32)]
         shard, keys = shard[order], keys[order]
         new = np.ones(len(keys), bool)
         new[1:] = (keys[1:] != keys[:-1]) | (shard[1:] != shard[:-1])
-        entry = np.cumsum(new) - 1
-        of = np.empty(len(keys), np.int64)
+        shard, keys = shard[new], keys[new]
+        entry = np.cumsum(new, dtype=np.int32) - 1
+        of = np.empty(len(order), np.int32)
         of[order] = entry
-        counts = np.bincount(entry, learn[order], minlength=int(new.sum())).astype(np.uint32)
-        return cls(shard[new], keys[new], counts, codes[order][new], of)
+        counts = np.bincount(of[learn], minlength=len(keys)).astype(np.uint32)
+        return cls(shard, keys, counts, codes[order[new]], of)
 
     def messages(self, block: int) -> pa.RecordBatch:
-        """One packed row for each shard; sorted keys go as differences, byte by byte."""
+        """One packed row for each shard; sorted keys go as differences."""
         numbers, starts = np.unique(self.shards, return_index=True)
         ends = np.append(starts, len(self.shards))[1:]
         values = []
         for low, high in zip(starts, ends, strict=True):
-            steps = np.diff(self.keys[low:high], prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8)
-            values.append(packed(np.ascontiguousarray(steps.T), self.counts[low:high], self.codes[low:high]))
+            steps = np.diff(self.keys[low:high], prepend=np.uint64(0))
+            values.append(packed(steps, self.counts[low:high], self.codes[low:high]))
         return pa.RecordBatch.from_arrays(
             [pa.array(numbers, pa.int32()), pa.array([block] * len(numbers), pa.int64()), pa.array(values, pa.binary())],
             ["shard", "block", "asked"],
@@ -111,21 +140,20 @@ ASKED = "shard int, block long, asked binary"
 ANSWERED = "block long, shard int, told binary"
 
 
-def answers_of(questions: DataFrame, least: int, divergence: float, discount: float) -> DataFrame:
+def answers_of(questions: DataFrame, least: int, divergence: float) -> DataFrame:
     """For each question the counts of its context, if the divergence test retains that.
 
     An answer has the string's count if it is kept (seen ``least`` times or more), the context's
-    count and discounted kept mass, all zero for a context that is not retained, and whether longer
-    contexts may tell more: something is kept, and not all that follows is one word.
+    count, how much of it is not kept and how many next words are, all zero for a context that is
+    not retained, and whether longer contexts may tell more: something is kept, and not all that
+    follows is one word.
     """
 
     def tell(asked: pa.Table) -> pa.Table:
         values = asked.column("asked").to_pylist()
-        parts = [unpacked(v, np.uint8, np.uint32, np.uint8) for v in values]
+        parts = [unpacked(v, np.uint64, np.uint32, np.uint8) for v in values]
         sizes = np.array([len(codes) for *_, codes in parts])
-        keys = np.concatenate(
-            [np.cumsum(np.ascontiguousarray(s.reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64) for s, *_ in parts]
-        )
+        keys = np.concatenate([np.cumsum(steps, dtype=np.uint64) for steps, *_ in parts])
         order = np.argsort(keys)
         ordered = keys[order]
         new = np.append(True, ordered[1:] != ordered[:-1])
@@ -146,7 +174,8 @@ def answers_of(questions: DataFrame, least: int, divergence: float, discount: fl
         gain += np.where(rest > 1e-12, rest * np.log(np.maximum(rest, 1e-12) / shorter), 0)
         some = np.bincount(context, kept) > 0
         retained = some & (gain >= divergence)
-        mass = np.bincount(context, np.where(kept, n - discount, 0.0))
+        other = total - np.bincount(context, seen).astype(np.int64)
+        words = np.bincount(context, kept).astype(np.int64)
         most = np.maximum.reduceat(seen, np.flatnonzero(np.diff(context, prepend=-1)))
         longer = some & (most < total)
         back = np.empty(len(keys), np.int64)
@@ -156,9 +185,7 @@ def answers_of(questions: DataFrame, least: int, divergence: float, discount: fl
             at = back[low : low + size]
             c = context[at]
             holds = retained[c]
-            told.append(
-                packed(np.where(holds, seen[at], 0), np.where(holds, total[c], 0), np.where(holds, mass[c], 0.0), longer[c])
-            )
+            told.append(packed(*(np.where(holds, x, 0) for x in (seen[at], total[c], other[c], words[c])), longer[c]))
             low += size
         return pa.Table.from_arrays(
             [asked.column("block"), asked.column("shard"), pa.array(told, pa.binary())], ["block", "shard", "told"]
@@ -169,7 +196,7 @@ def answers_of(questions: DataFrame, least: int, divergence: float, discount: fl
 
 def told_to(answers: pa.Table) -> list[np.ndarray]:
     """A block's answers, in the order of its questions."""
-    types = (np.int64, np.int64, np.float64, bool)
+    types = (np.int64, np.int64, np.int64, np.int64, bool)
     rows = sorted(zip(answers.column("shard").to_pylist(), answers.column("told").to_pylist(), strict=True))
     parts = [unpacked(v, *types) for _, v in rows]
     return [np.concatenate(a) for a in zip(*parts, strict=True)] if parts else [np.zeros(0, t) for t in types]
@@ -200,14 +227,14 @@ def word_counts(blocks: DataFrame, shards: int, least: int) -> DataFrame:
         for batch in batches:
             columns = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
             for row in range(batch.num_rows):
-                words = columns["words"][row].values.to_pylist()
-                counts = columns["counts"][row].values.to_numpy(zero_copy_only=False)
+                words = unpacked_words(columns["words"][row].as_py())
+                (counts,) = unpacked(columns["counts"][row].as_py(), np.int64)
                 numbers, values = [], []
                 for shard, at in enumerate(words_asked(words, shards)):
                     if len(at):
                         named = np.frombuffer(b"\n".join(words[i] for i in at), np.uint8)
                         numbers.append(shard)
-                        values.append(packed(named, counts[at].astype(np.int64)))
+                        values.append(packed(named, counts[at]))
                 block = columns["block"][row].as_py()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(numbers, pa.int32()), pa.array([block] * len(numbers), pa.int64()), pa.array(values, pa.binary())],

@@ -11,6 +11,7 @@ them, so neither a vocabulary nor a tree is ever held whole.
 from __future__ import annotations
 
 import itertools
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,13 +25,28 @@ from pyspark.sql import types as T
 
 from rowtide.llm import longcontexts as far
 from rowtide.llm.common import stored
+from rowtide.session import scratch
 
 END = b""  # no word is empty, so this stands for the end of a text
 
 
-def tokens_of(text: bytes) -> list[bytes]:
-    """Words of a text in lower case (A to Z), without the end."""
-    return text.lower().split()
+def tokens_of(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Different words of texts in lower case (A to Z), each text's tokens as numbers of these, and its size.
+
+    Each text has an end, which is word 0.
+    """
+    lower = pa.array([text.lower() for text in texts], pa.binary()).view(pa.string())
+    cut = pc.ascii_split_whitespace(lower)
+    ends = cut.offsets.to_numpy()
+    parts = cut.values
+    full = pc.not_equal(pc.binary_length(parts), 0).to_numpy(zero_copy_only=False)
+    sizes = np.diff(np.append(0, np.cumsum(full))[ends]) + 1
+    encoded = parts.filter(pa.array(full)).dictionary_encode()
+    tokens = np.zeros(int(sizes.sum()), np.int32)
+    inside = np.ones(len(tokens), bool)
+    inside[np.cumsum(sizes) - 1] = False
+    tokens[inside] = encoded.indices.to_numpy() + 1
+    return [END, *encoded.dictionary.view(pa.binary()).to_pylist()], tokens, sizes.astype(np.int32)
 
 
 # ---------------------------------------------------------------------------- blocks
@@ -44,8 +60,9 @@ def _block_schema(ident: T.DataType) -> T.StructType:
             T.StructField("trains", T.BinaryType()),
             T.StructField("sizes", T.BinaryType()),
             T.StructField("tokens", T.BinaryType()),
-            T.StructField("words", T.ArrayType(T.BinaryType())),
-            T.StructField("counts", T.ArrayType(T.LongType())),
+            T.StructField("words", T.BinaryType()),
+            T.StructField("counts", T.BinaryType()),
+            T.StructField("n_words", T.LongType()),
             T.StructField("learned", T.LongType()),
             T.StructField("n_tokens", T.LongType()),
         ]
@@ -53,37 +70,30 @@ def _block_schema(ident: T.DataType) -> T.StructType:
 
 
 class _Block:
-    """Documents that are being gathered for a block. The end of a text is word 0."""
+    """Documents that are being gathered for a block."""
 
     def __init__(self) -> None:
-        self.ids, self.trains, self.parts, self.bytes = [], [], [], 0
-        self.numbers: dict[bytes, int] = {END: 0}
+        self.ids, self.trains, self.texts, self.bytes = [], [], [], 0
 
     def add(self, ident, train: bool, text: bytes) -> None:
-        numbers = self.numbers
-        words = tokens_of(text)
-        for word in set(words).difference(numbers):
-            numbers[word] = len(numbers)
-        part = np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))
         self.ids.append(ident)
         self.trains.append(train)
-        self.parts.append(np.append(part, np.int32(0)))
+        self.texts.append(text)
         self.bytes += len(text) + 64
 
     def batch(self, block: int, ident: pa.DataType) -> pa.RecordBatch:
-        sizes = np.array([len(p) for p in self.parts], np.int32)
-        tokens = np.concatenate(self.parts)
+        words, tokens, sizes = tokens_of(self.texts)
         trains = np.array(self.trains, bool)
-        counts = np.bincount(tokens[np.repeat(trains, sizes)], minlength=len(self.numbers))
-        words = sorted(self.numbers, key=self.numbers.__getitem__)
+        counts = np.bincount(tokens[np.repeat(trains, sizes)], minlength=len(words)).astype(np.int64)
         values = {
             "block": pa.array([block], pa.int64()),
             "ids": pa.array([self.ids], pa.list_(ident)),
             "trains": pa.array([trains.tobytes()], pa.binary()),
             "sizes": pa.array([sizes.tobytes()], pa.binary()),
             "tokens": pa.array([far.packed(tokens)], pa.binary()),
-            "words": pa.array([words], pa.list_(pa.binary())),
-            "counts": pa.ListArray.from_arrays(pa.array([0, len(counts)], pa.int32()), pa.array(counts, pa.int64())),
+            "words": pa.array([far.packed_words(words)], pa.binary()),
+            "counts": pa.array([far.packed(counts)], pa.binary()),
+            "n_words": pa.array([len(words)], pa.int64()),
             "learned": pa.array([int(counts.sum())], pa.int64()),
             "n_tokens": pa.array([len(tokens)], pa.int64()),
         }
@@ -92,8 +102,8 @@ class _Block:
 
 def blocks_of(
     docs: DataFrame, ident: str, text: str, train: Column, block_bytes: int
-) -> DataFrame:
-    """The documents as a written table of blocks, of about ``block_bytes`` of text each.
+) -> tuple[DataFrame, int]:
+    """The documents as a written table of blocks, of about ``block_bytes`` of text each, and its buckets.
 
     A block's number is that of its task and its place there; only what the committed attempt of
     a task wrote is read, so lost executors and repeated tasks leave no second copy.
@@ -117,7 +127,24 @@ def blocks_of(
         if block.ids:
             yield block.batch(next(numbers), arrow)
 
-    return stored(narrow.mapInArrow(gather, _block_schema(kind)), "lm-blocks", compression="zstd")
+    written = narrow.mapInArrow(gather, _block_schema(kind))
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * narrow.rdd.getNumPartitions())
+    return _bucketed(written, "lm-blocks", buckets), buckets
+
+
+def _bucketed(blocks: DataFrame, purpose: str, buckets: int) -> DataFrame:
+    """Rows of blocks, written in buckets, so that answers join them where they lie, without a shuffle of theirs.
+
+    Spark knows buckets of tables only. The table's name is dropped again at once: its files are
+    outside the warehouse and stay, as those of every other step.
+    """
+    spark = blocks.sparkSession
+    name = f"{purpose}-{uuid.uuid4().hex}".replace("-", "_")
+    writer = blocks.write.format("parquet").option("path", scratch(spark, purpose)).option("compression", "zstd")
+    writer.bucketBy(buckets, "block").saveAsTable(name)
+    written = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return written
 
 
 @dataclass
@@ -170,6 +197,11 @@ def _lookup(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """The index of each wanted key among sorted keys, or -1."""
     if not len(keys):
         return np.full(len(wanted), -1, np.int64)
+    if keys[-1] < max(4 * len(wanted), 1 << 16):
+        # A table over all keys up to the last takes less time than a search for each.
+        table = np.full(int(keys[-1]) + 2, -1, np.int64)
+        table[keys] = np.arange(len(keys))
+        return table[np.where((wanted < 0) | (wanted > keys[-1]), len(table) - 1, wanted)]
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
     return np.where(keys[at] == wanted, at, -1)
 
@@ -190,7 +222,7 @@ class SuffixTree:
 
     def symbols_of(self, words: list[bytes]) -> np.ndarray:
         rare = self.rare
-        return np.fromiter((self.symbols.get(w, rare) for w in words), np.int64, len(words))
+        return np.fromiter(map(self.symbols.get, words, itertools.repeat(rare)), np.int64, len(words))
 
     def paths(self, symbols: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
         """For each length of context the number of the one before each position, or -1.
@@ -248,7 +280,7 @@ def _following(blocks: DataFrame, tree: SuffixTree, paths: np.ndarray) -> DataFr
             for row in range(batch.num_rows):
                 block = _Tokens.read(columns, row)
                 learn = np.repeat(block.trains, block.sizes)
-                words = columns["words"][row].values.to_pylist()
+                words = far.unpacked_words(columns["words"][row].as_py())
                 symbols = seeking.symbols_of(words)[block.tokens]
                 *_, context = seeking.paths(symbols, block.sizes)
                 use = learn & (context >= 0)
@@ -357,15 +389,19 @@ class _Reach:
     p: np.ndarray
     codes: np.ndarray
 
-    KINDS = (np.int32, np.uint64, np.int32, np.int32, bool, np.int64, np.float64, np.uint8)
+    KINDS = (np.int32, np.uint64, np.int32, np.int32, bool, np.int32, np.float64, np.uint8)
 
     def packed(self) -> bytes:
-        values = (self.tokens, self.hashes, self.sizes, self.rows, self.trains, self.at, self.p, self.codes)
+        # Probabilities are carried with 36 binary digits, as each byte counts for the size of what is written.
+        p = ((self.p.view(np.uint64) + np.uint64(1 << 15)) & ~np.uint64((1 << 16) - 1)).view(np.float64)
+        values = (self.tokens, self.hashes, self.sizes, self.rows, self.trains, self.at, p, self.codes)
         return far.packed(*(v.astype(k, copy=False) for v, k in zip(values, self.KINDS, strict=True)))
 
     @classmethod
     def unpacked(cls, value: bytes) -> _Reach:
-        return cls(*far.unpacked(value, *cls.KINDS))
+        reach = cls(*far.unpacked(value, *cls.KINDS))
+        reach.at = reach.at.astype(np.int64)
+        return reach
 
     def asking(self, length: int, shards: int) -> far.Questions:
         """Questions about the places' contexts of ``length`` words, all of them in the text."""
@@ -376,8 +412,8 @@ class _Reach:
 
     def told(self, of, answers, discount: float, smoothing: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probabilities and codes by the longer contexts that are retained, and where to go on."""
-        n, total, mass, longer = (a[of] for a in answers)
-        own, left = np.where(n > 0, n - discount, 0.0), total - mass + smoothing
+        n, total, other, words, longer = (a[of] for a in answers)
+        own, left = np.where(n > 0, n - discount, 0.0), other + discount * words + smoothing
 
         def mixed(p):
             return np.where(total > 0, (own + left * p) / (total + smoothing), p)
@@ -424,27 +460,27 @@ class _Scale:
         about the next words of a very common one; what is longer is asked about.
         """
         symbols = self.tree.symbols_of(words)
-        below = symbols == self.tree.rare
+        most = min(1.0, (self.least - 0.9) / self.denominator / self.tree.root[self.tree.rare])
         p = np.empty(len(block.tokens))
+        codes = np.empty(len(block.tokens), np.uint8)
         held = np.zeros(len(block.tokens), bool)
         starts = np.cumsum(block.sizes) - block.sizes
         low = 0
         # Bounded memory: the walk is done over a limited number of tokens at a time.
         while low < len(block.sizes):
-            high = max(int(np.searchsorted(starts, starts[low] + 1_000_000)), low + 1)
+            high = max(int(np.searchsorted(starts, starts[low] + 250_000)), low + 1)
             span = slice(starts[low], starts[high] if high < len(starts) else len(block.tokens))
             own, sizes = symbols[block.tokens[span]], block.sizes[low:high]
             p[span], context = self.tree.walk(own, sizes)
+            codes[span] = far.coded(p[span] * np.where(own == self.tree.rare, most, 1.0))
             if len(self.tree.layers) == self.length:
                 pooled = np.append(0, np.cumsum(own == self.tree.rare))
                 at = np.arange(len(own))
                 held[span] = (context >= 0) & (pooled[at] == pooled[np.maximum(at - self.length, 0)])
             low = high
         at = np.flatnonzero(block.places >= self.length)
-        most = min(1.0, (self.least - 0.9) / self.denominator / self.tree.root[self.tree.rare])
-        codes = far.coded(p[at] * np.where(below[block.tokens[at]], most, 1.0))
         rows = np.arange(len(block.sizes), dtype=np.int32)
-        return p, _Reach(block.tokens, far.word_hashes(words), block.sizes, rows, block.trains, at, p[at], codes), held[at]
+        return p, _Reach(block.tokens, far.word_hashes(words), block.sizes, rows, block.trains, at, p[at], codes[at]), held[at]
 
 
 def _sum_by(of: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -469,8 +505,8 @@ def score_texts(
     least: int = 2,
     long_smoothing: float = 1.0,
     stretch: int = 3,
-    block_bytes: int = 16_000_000,
-    shard_tokens: int = 4_000_000,
+    block_bytes: int = 8_000_000,
+    shard_tokens: int = 1_000_000,
 ) -> DataFrame:
     """Scores every text: its id, ``n_tokens, n_known, train_tokens, base_score, score``.
 
@@ -502,10 +538,10 @@ def score_texts(
     nothing teaches, N and V are 0 and both scores fall back to the base's formula. An empty table
     gives an empty result.
     """
-    blocks = blocks_of(docs, ident, text, train, block_bytes)
+    blocks, buckets = blocks_of(docs, ident, text, train, block_bytes)
     total, listed, tokens = blocks.agg(
         F.coalesce(F.sum("learned"), F.lit(0)),
-        F.coalesce(F.sum(F.size("words")), F.lit(0)),
+        F.coalesce(F.sum("n_words"), F.lit(0)),
         F.coalesce(F.sum("n_tokens"), F.lit(0)),
     ).first()
     top_least = max(2, int(np.ceil(total * symbol_share)))
@@ -525,7 +561,7 @@ def score_texts(
             break
     scale = _Scale(tree, total, denominator, top_least)
     growth = _Growth(least, divergence, discount, long_smoothing, stretch, shard_tokens)
-    return _scored(blocks, known, (word_shards, 1 + tokens // shard_tokens), scale, growth, ident)
+    return _scored(blocks, known, (word_shards, 1 + tokens // shard_tokens, buckets), scale, growth, ident)
 
 
 @dataclass
@@ -553,7 +589,7 @@ _REACH = [T.StructField("reach", T.BinaryType()), T.StructField("places", T.Long
 
 def _scored(blocks, known, numbers, scale: _Scale, growth: _Growth, ident) -> DataFrame:
     sent = blocks.sparkSession.sparkContext.broadcast(scale)
-    word_shards, shards = numbers
+    word_shards, shards, buckets = numbers
     length = scale.length
 
     def ask(batches):
@@ -561,14 +597,14 @@ def _scored(blocks, known, numbers, scale: _Scale, growth: _Growth, ident) -> Da
             columns = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
             for row in range(batch.num_rows):
                 block = _Tokens.read(columns, row)
-                _, reach, held = sent.value.begin(block, columns["words"][row].values.to_pylist())
+                _, reach, held = sent.value.begin(block, far.unpacked_words(columns["words"][row].as_py()))
                 yield _without(reach, held).asking(length, shards).messages(columns["block"][row].as_py())
 
     def score(block: pa.Table, answers: pa.Table) -> pa.Table:
         scale = sent.value
         columns = {name: block.column(name).combine_chunks() for name in block.column_names}
         held = _Tokens.read(columns, 0)
-        words = columns["words"][0].values.to_pylist()
+        words = far.unpacked_words(columns["words"][0].as_py())
         far_away = pc.field("kind") == 1
         c = far.counts_told(answers.filter(~far_away), words, word_shards)
         base = np.log10((c + 0.1) / scale.denominator)
@@ -611,15 +647,14 @@ def _scored(blocks, known, numbers, scale: _Scale, growth: _Growth, ident) -> Da
     )
     rows = blocks.select("block", "ids", "sizes", "trains", "tokens", "words")
     told = far.answers_of(
-        rows.mapInArrow(ask, far.ASKED), growth.least, growth.divergence, growth.discount
+        rows.mapInArrow(ask, far.ASKED), growth.least, growth.divergence
     ).withColumn("kind", F.lit(1))
     told = told.unionByName(
         known.filter("told IS NOT NULL").select("block", "shard", "told", F.lit(0).alias("kind"))
     )
-    first = stored(
-        rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(score, schema), "lm-scores", compression="zstd"
-    )
-    changes = _lengthened(first, length * growth.stretch, growth)
+    scored = rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(score, schema)
+    first = _bucketed(scored, "lm-scores", buckets)
+    changes = _lengthened(first, length * growth.stretch, growth, buckets)
     each = F.arrays_zip("ids", "n_tokens", "n_known", "base_score", "score")
     texts = first.select("block", F.posexplode(each).alias("row", "each")).select(
         "block",
@@ -658,7 +693,7 @@ def _further(reach: _Reach | None) -> list[pa.Array]:
     return [pa.array([reach.packed()], pa.binary()), pa.array([len(reach.at)], pa.int64())]
 
 
-def _lengthened(first: DataFrame, length: int, growth: _Growth) -> list[DataFrame]:
+def _lengthened(first: DataFrame, length: int, growth: _Growth, buckets: int) -> list[DataFrame]:
     """Lets contexts grow until no place is left; what each length changes in the texts' scores."""
     changes, now = [], first
     schema = T.StructType(
@@ -674,7 +709,7 @@ def _lengthened(first: DataFrame, length: int, growth: _Growth) -> list[DataFram
         places = now.agg(F.coalesce(F.sum("places"), F.lit(0))).first()[0]
         if not places:
             return changes
-        now = _one_longer(now, length, 1 + places // growth.shard_tokens, growth, schema)
+        now = _bucketed(_one_longer(now, length, 1 + places // growth.shard_tokens, growth, schema), "lm-longer", buckets)
         changes.append(now.select("block", F.inline(F.arrays_zip("rows", "changes")).alias("row", "change")))
         length *= growth.stretch
 
@@ -701,6 +736,5 @@ def _one_longer(now: DataFrame, length: int, shards: int, growth: _Growth, schem
         )
 
     state = now.select("block", "reach")
-    told = far.answers_of(state.mapInArrow(ask, far.ASKED), growth.least, growth.divergence, growth.discount)
-    joined = state.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(change, schema)
-    return stored(joined, "lm-longer", compression="zstd")
+    told = far.answers_of(state.mapInArrow(ask, far.ASKED), growth.least, growth.divergence)
+    return state.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(change, schema)
