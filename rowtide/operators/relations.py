@@ -11,11 +11,12 @@ def with_parent(
 ) -> DataFrame:
     """Child rows with columns of their parent, by inner join.
 
-    The parent is cut to what is needed before the join. Whether it is broadcast is left to
-    Spark, which checks its size; a parent with very many children is split by the adaptive
-    skew join, which the unique parent key allows.
+    The parent is cut to what is needed before the join. It is not broadcast: Spark estimates its size by
+    the files it was made from, which are compressed and say nothing of a log decoded from them, and a
+    parent that is larger than that would have to fit the driver. A parent with very many children is
+    split by the adaptive skew join, which the unique parent key allows.
     """
-    looked_up = parent.select(F.col(key).alias("_parent"), *columns)
+    looked_up = parent.select(F.col(key).alias("_parent"), *columns).hint("merge")
     return child.join(looked_up, child[foreign_key] == looked_up["_parent"], "inner").drop(
         "_parent"
     )

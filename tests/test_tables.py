@@ -203,3 +203,11 @@ def test_change_rate(spark):
     got = sorted((r.n_changes, r.n_deletes) for r in rates.collect())
     assert got == [(1, 0), (2, 1)]
     assert rate_alerts(rates, 1).count() == 1
+
+
+def test_a_parent_is_never_broadcast(spark):
+    """Its size is an estimate by compressed files, whatever was decoded from them."""
+    child = spark.range(9).select("id", (F.col("id") % 3).alias("user_id"))
+    found = with_parent(child, spark.range(2).select("id", F.lit("a").alias("name")), "user_id", ["name"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan and found.count() == 6
