@@ -29,42 +29,54 @@ def versions(log: DataFrame, spec: TableSpec, *, slot: int = SLOT) -> DataFrame:
     A key of more than ``slot`` changes is cut by ranges of positions, each sorted by itself; what the
     ranges behind it add is one row a range.
     """
+    return dated(placed(log, spec), spec.key_columns, slot=slot).drop("cut")
+
+
+def placed(log: DataFrame, spec: TableSpec) -> DataFrame:
+    """The changes that are versions, with where they begin and ``cut``, whether they are truncates."""
     keys = spec.key_columns
     truncate = F.col("op") == TRUNCATE_OP
     named = {f"pk_{k}": F.when(~truncate, F.coalesce(F.col(f"pk_{k}"), F.col(k))) for k in spec.key}
     whole = truncate | F.concat(*(F.col(k).cast("string") for k in keys)).isNotNull()
     place = F.coalesce(F.col("lsn"), F.raise_error(F.lit("a change without lsn: it cannot be ordered")).cast("long"))
-    changes = (
+    return (
         log.filter(F.col("op").isin(*AFTER_OPS, DELETE_OP, TRUNCATE_OP))
         .withColumns(named)
         .filter(whole)
         .select(*keys, place.alias("valid_from"), F.col("event_ts").alias("from_ts"), "is_deleted", truncate.alias("cut"), *spec.columns)
     )
-    return dated(changes, keys, slot=slot).drop("cut")
 
 
-def dated(changes: DataFrame, keys: list[str], *, slot: int = SLOT) -> DataFrame:
+def dated(changes: DataFrame, keys: list[str], *, slot: int = SLOT, prefer: str | None = None) -> DataFrame:
     """Adds ``valid_to`` and ``to_ts`` to changes with ``valid_from``, ``from_ts`` and ``cut``, whether they are
-    truncates. A change that is there several times counts once."""
+    truncates. A change that is there several times counts once: the one with the largest ``prefer``, a column
+    without nulls, if that is given.
+
+    Whole rows are shuffled once, by key and range; what says which keys are cut by ranges are counts.
+    """
     carried = [c for c in changes.columns if c not in (*keys, "valid_from")]
-    once = changes.groupBy(*keys, "valid_from").agg(F.first(F.struct(*carried)).alias("row")).select(*keys, "valid_from", "row.*")
-    cuts = once.filter("cut").select("valid_from", "from_ts")
-    rows = once.filter("NOT cut")
+    row = F.struct(*carried)
+    one = F.max_by(row, prefer) if prefer else F.first(row)
+    cuts = changes.filter("cut").groupBy(*keys, "valid_from").agg(one.alias("row")).select(*keys, "valid_from", "row.*")
+    rows = changes.filter("NOT cut")
+    # Of all changes at most one in ``slot``.
     many = rows.groupBy(*keys).count().filter(F.col("count") > slot).select(*keys, F.lit(True).alias("many"))
-    rows = rows.join(many, keys, "left").withColumn(
-        "slot", F.when(F.col("many"), F.floor(F.col("valid_from") / slot)).otherwise(F.lit(0).cast("long"))
-    )
-    behind = W.partitionBy(*keys, "slot").orderBy("valid_from").rowsBetween(1, W.unboundedFollowing)
-    within = rows.withColumns({
-        "next": F.min("valid_from").over(behind), "next_ts": F.min("from_ts").over(behind)
-    })
+    range_ = F.floor(F.col("valid_from") / slot)
     # One row for each range of a key of many changes: what the ranges after it begin with.
-    ranges = rows.filter("many").groupBy(*keys, "slot").agg(F.min("valid_from").alias("first"), F.min("from_ts").alias("first_ts"))
-    later = W.partitionBy(*keys).orderBy("slot").rowsBetween(1, W.unboundedFollowing)
+    ranges = rows.join(F.broadcast(many), keys).groupBy(*keys, range_.alias("slot"))
+    ranges = ranges.agg(F.min("valid_from").alias("first"), F.min("from_ts").alias("first_ts"))
+    later = W.partitionBy(*keys).orderBy(F.desc("slot")).rowsBetween(W.unboundedPreceding, -1)
     ranges = ranges.select(*keys, "slot", F.min("first").over(later).alias("after"), F.min("first_ts").over(later).alias("after_ts"))
+    rows = rows.join(F.broadcast(many), keys, "left").withColumn("slot", F.when(F.col("many"), range_).otherwise(F.lit(0).cast("long")))
+    last_first = W.partitionBy(*keys, "slot").orderBy(F.desc("valid_from"), *([F.desc(prefer)] if prefer else []))
+    behind = last_first.rowsBetween(W.unboundedPreceding, -1)
+    once = rows.withColumn("again", F.lag("valid_from").over(last_first).eqNullSafe(F.col("valid_from"))).filter("NOT again")
+    within = once.withColumns({
+        "next": F.min("valid_from").over(behind), "next_ts": F.min("from_ts").over(behind)
+    })
     # As many as there are truncates of the table.
     all_cuts = cuts.agg(F.coalesce(F.collect_list(F.struct("valid_from", "from_ts")), F.array())).scalar()
-    joined = within.join(ranges, [*keys, "slot"], "left").withColumn("cuts", all_cuts)
+    joined = within.join(ranges.hint("merge"), [*keys, "slot"], "left").withColumn("cuts", all_cuts)
     ahead = F.filter("cuts", lambda c: c["valid_from"] > F.col("valid_from"))
     ended = joined.withColumns({
         "valid_to": F.least("next", "after", F.array_min(F.transform(ahead, lambda c: c["valid_from"]))),
@@ -72,7 +84,7 @@ def dated(changes: DataFrame, keys: list[str], *, slot: int = SLOT) -> DataFrame
     })
     columns = [*keys, "valid_from", "valid_to", "from_ts", "to_ts", *(c for c in carried if c != "from_ts")]
     nothing = [F.lit(None).cast(t).alias(n) for n, t in (("valid_to", "long"), ("to_ts", "timestamp"))]
-    return ended.select(*columns).unionByName(once.filter("cut").select("*", *nothing).select(*columns))
+    return ended.select(*columns).unionByName(cuts.select("*", *nothing).select(*columns))
 
 
 def live(rows: DataFrame, spec: TableSpec) -> DataFrame:
@@ -110,7 +122,8 @@ def interval_join(
     An equal join: an interval goes to the one or two blocks of time that it touches among blocks about as
     long as itself, and a point to its block of each length that there is. So no pair meets twice, and long
     intervals meet few points outside them. Open intervals end at the last point. A value of ``on`` that
-    very many rows share is spread over its blocks, and Spark's skew join splits what remains. Both
+    very many rows share is spread over its blocks, and Spark's skew join splits what remains. Neither side
+    is broadcast: Spark's estimate is that of the files behind them, before the rows are dealt to blocks. Both
     sides keep their columns; those of ``on`` are there once. Null times and null values join nothing.
     """
     micros = F.expr(f"unix_micros(TIMESTAMP '1970-01-01 00:00:00Z' + INTERVAL {resolution})")
@@ -128,13 +141,13 @@ def interval_join(
     size = lambda column: F.lit(unit) * F.pow(F.lit(2.0), column).cast("long")
     block = lambda moment, column: F.floor(moment / size(column))
     blocks = F.array_distinct(F.array(block(F.col("_from"), F.col("_level")), block(F.col("_to") - 1, F.col("_level"))))
-    placed = sized.select("*", F.explode(blocks).alias("_block"))
+    dealt = sized.select("*", F.explode(blocks).alias("_block"))
     at = F.unix_micros(time)
     asked = points.filter(F.col(time).isNotNull()).withColumn("_level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>")))
     asked = asked.withColumn("_block", block(at, F.col("_level")))
     clash = set(points.columns) & set(intervals.columns) - set(on)
     if clash:
         raise ValueError(f"points and intervals both have {sorted(clash)}")
-    found = asked.join(placed, [*on, "_level", "_block"])
+    found = asked.join(dealt.hint("merge"), [*on, "_level", "_block"])
     held = (F.unix_micros(time) >= F.col("_from")) & (F.unix_micros(time) < F.col("_to"))
     return found.filter(held).select(*points.columns, *(c for c in intervals.columns if c not in on))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowtide.operators.changelog import AFTER_OPS, DELETE_OP
-from rowtide.operators.intervals import SLOT, at_position, at_time, dated, live, versions
+from rowtide.operators.intervals import SLOT, at_position, at_time, dated, live, placed, versions
 from rowtide.operators.state import TRUNCATE_OP
 from rowtide.specs import TableSpec
 from rowtide.streaming.maintained import NO_KEY, Numbered
@@ -34,26 +34,22 @@ class History:
         spec, before = self.spec, number - 1
         keys = [F.coalesce(F.col(f"pk_{k}"), F.col(k)) for k in spec.key]
         said = log.filter(F.col("op").isin(*AFTER_OPS, DELETE_OP, TRUNCATE_OP))
-        newer = versions(said, spec, slot=self.slot)
+        buckets = None
         if said.filter(F.col("op") == TRUNCATE_OP).isEmpty():
-            earlier = self.rows.latest(before, self.rows.touched(keys, said))
-            wanted = said.select(*(k.alias(n) for k, n in zip(keys, spec.key_columns, strict=True))).distinct()
-            earlier = earlier.join(wanted, spec.key_columns, "left_semi")
+            buckets = self.rows.touched(keys, said)
             # Truncates end what comes late, too.
-            earlier = earlier.unionByName(self.rows.latest(before, [NO_KEY]))
-        else:
-            earlier = self.rows.latest(before)
-        ends = ["valid_to", "to_ts"]
-        earlier = earlier.drop("batch_id")
-        cut = F.col(spec.key_columns[0]).isNull()
-        both = earlier.drop(*ends).unionByName(newer.drop(*ends)).withColumn("cut", cut)
-        now = dated(both, spec.key_columns, slot=self.slot).drop("cut").select(*self.rows.columns)
-        names = [*spec.key_columns, "valid_from"]
-        was = earlier.select(*(F.col(n).alias(f"_{n}") for n in names), *(F.col(e).alias(f"_{e}") for e in ends))
-        same = F.lit(True)
-        for name in (*names, *ends):
-            same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
-        self.rows.write(now.join(was, same, "left_anti"), number)
+            buckets = buckets and [*buckets, NO_KEY]
+        # All forms of a version with the batch that wrote it: the last one counts, and has the ends that are
+        # compared with. Versions of other keys in these buckets end as before and are not written.
+        ends, cut = ["valid_to", "to_ts"], F.col(spec.key_columns[0]).isNull()
+        earlier = self.rows.read(before, buckets).drop("bucket").withColumn("cut", cut)
+        earlier = earlier.withColumnsRenamed({e: f"was_{e}" for e in ends})
+        both = earlier.unionByName(placed(said, spec).withColumn("batch_id", F.lit(-1).cast("long")), allowMissingColumns=True)
+        now = dated(both, spec.key_columns, slot=self.slot, prefer="batch_id")
+        same = F.col("batch_id") >= 0
+        for end in ends:
+            same = same & F.col(end).eqNullSafe(F.col(f"was_{end}"))
+        self.rows.write(now.filter(~same), number)
 
     def versions(self) -> DataFrame:
         """All versions, deletes and truncates included."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rowtide import ORDERS
 from rowtide.operators import at_position, at_time, current_state, interval_join, state_as_of, versions
+from rowtide.operators.intervals import dated
 from rowtide.streaming import History
 
 T0 = datetime(2024, 1, 1)
@@ -127,3 +128,20 @@ def test_long_intervals_meet_no_pairs_in_vain(spark):
     points = spark.range(n).select(F.lit(1).alias("k"), F.col("id").alias("p"), at.alias("at"))
     spans = spark.range(n).select(F.lit(1).alias("k"), F.col("id").alias("v"), at.alias("start"), F.timestamp_micros(F.col("id") * 60_000_000 + 120_000_000).alias("end"))
     assert interval_join(points, spans, ["k"], "at", "start", "end", resolution="1 minute").count() == 2 * n - 1
+
+
+def test_an_interval_join_broadcasts_neither_side(spark):
+    at = F.timestamp_micros(F.col("id") * 60_000_000)
+    points = spark.range(3).select(F.lit(1).alias("k"), F.col("id").alias("p"), at.alias("at"))
+    spans = spark.range(3).select(F.lit(1).alias("k"), F.col("id").alias("v"), at.alias("start"), F.lit(None).cast("timestamp").alias("end"))
+    found = interval_join(points, spans, ["k"], "at", "start", "end")
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString() and found.count() == 6
+
+
+@pytest.mark.parametrize("slot", [10**6, 2])
+def test_the_last_form_of_a_version_counts(spark, slot):
+    """Forms of several batches are told apart where the rows are sorted, without a shuffle of their own."""
+    rows_ = [(1, n, T0 + timedelta(minutes=n), False, batch) for n in (1, 2, 5, 7) for batch in (0, 3, -1)] + [(None, 6, T0 + timedelta(minutes=6), True, b) for b in (2, 4)]
+    changes = spark.createDataFrame(rows_, "pk int, valid_from long, from_ts timestamp, cut boolean, batch_id long")
+    found = dated(changes, ["pk"], slot=slot, prefer="batch_id").select("pk", "valid_from", "valid_to", "batch_id")
+    assert rows(found) == sorted([(1, 1, 2, 3), (1, 2, 5, 3), (1, 5, 6, 3), (1, 7, None, 3), (None, 6, None, 4)], key=repr)
