@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +16,8 @@ from rowtide.specs import TableSpec
 # before, which is a repeat or comes late.
 NEW, REPEAT, BEHIND = "new", "repeat", "behind"
 
+BUCKETS = 8192  # rows of state that keys are dealt to
+
 
 def _packed(field: T.StructField) -> Column:
     column = F.col(field.name)
@@ -32,26 +33,30 @@ def _unpacked(field: T.StructField, place: int) -> Column:
     return value.cast(field.dataType).alias(field.name)
 
 
-def _mark(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """How each change of a key arrived, against the highest position before the batch and those in it."""
-    mark = state.get[0] if state.exists else None
-    top, here = mark, set()
+def _mark(bucket: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """How each change of a bucket's keys arrived, against the highest position of its key before the batch
+    and those in it."""
+    marks = dict(zip(*state.get, strict=True)) if state.exists else {}
+    tops, here = dict(marks), set()
     for frame in frames:
-        places = frame["lsn"].to_numpy()
-        said = np.full(len(places), NEW, object)
-        if mark is not None:
-            said[places == mark], said[places < mark] = REPEAT, BEHIND
-        for n in np.flatnonzero(said == NEW):
-            if (place := int(places[n])) in here:
-                said[n] = REPEAT
-            here.add(place)
+        said = []
+        for key, place in zip(frame["key"].tolist(), frame["lsn"].tolist(), strict=True):
+            mark = marks.get(key)
+            if mark is not None and place <= mark:
+                said.append(REPEAT if place == mark else BEHIND)
+            elif (key, place) in here:
+                said.append(REPEAT)
+            else:
+                here.add((key, place))
+                said.append(NEW)
+                if (top := tops.get(key)) is None or place > top:
+                    tops[key] = place
         yield pd.DataFrame({"row": frame["row"], "arrival": said})
     if here:
-        top = max(here) if top is None else max(top, *here)
-        state.update((top,))
+        state.update((list(tops), list(tops.values())))
 
 
-def with_arrival(log: DataFrame, spec: TableSpec) -> DataFrame:
+def with_arrival(log: DataFrame, spec: TableSpec, *, buckets: int = BUCKETS) -> DataFrame:
     """A streamed log, with ``lsn``, and how each change arrived: ``arrival``.
 
     The state is one position a key, the highest so far, whatever the number of changes and without a
@@ -60,23 +65,29 @@ def with_arrival(log: DataFrame, spec: TableSpec) -> DataFrame:
     nearly always a repeat, but it may come late; ``once`` tells these apart when the table is read, so
     that nothing is lost. Changes without a key or a position are ``new``: nothing tells them from others.
 
-    Rows go through Python in Arrow batches, as text, which is exact for all types of a log. The changes of one
-    key in one batch are seen by one task, as rows of a stream; only their positions are held.
+    Rows go through Python in Arrow batches, as text, which is exact for all types of a log. Keys are told
+    in ``buckets`` by their hash, each a row of state with its keys and their positions: Python is called once a
+    bucket and batch, not once a key. The changes of one bucket in one batch are seen by one task, as rows of a
+    stream; only keys and positions are held. The number of buckets stays with the checkpoint.
     """
     fields = log.schema.fields
     if any(isinstance(f.dataType, T.MapType) for f in fields):
         raise ValueError("the whole source part cannot be carried; keep lsn or position")
-    keys = [F.coalesce(F.col(f"pk_{k}"), F.col(k)).alias(f"_key_{k}") for k in spec.key]
-    names = [f"_key_{k}" for k in spec.key]
+    keys = {f"_key_{k}": F.coalesce(F.col(f"pk_{k}"), F.col(k)) for k in spec.key}
     row = F.array(*map(_packed, fields)).alias("row")
-    packed = log.select(*keys, "lsn", row)
+    packed = log.select(*(c.alias(n) for n, c in keys.items()), "lsn", row)
     told = F.col("lsn").isNotNull()
-    for name in names:
+    for name in keys:
         told = told & F.col(name).isNotNull()
+    texts = F.array(*(_packed(packed.schema[name]) for name in keys))
     marked = (
         packed.filter(told)
-        .groupBy(*names)
-        .applyInPandasWithState(_mark, "row array<string>, arrival string", "lsn long", "append", GroupStateTimeout.NoTimeout)
+        .select(F.to_json(texts).alias("key"), "lsn", "row")
+        .withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+        .groupBy("bucket")
+        .applyInPandasWithState(
+            _mark, "row array<string>, arrival string", "keys array<string>, places array<long>", "append", GroupStateTimeout.NoTimeout
+        )
     )
     others = packed.filter(~told).select("row", F.lit(NEW).alias("arrival"))
     unpacked = [_unpacked(f, place) for place, f in enumerate(fields)]

@@ -493,3 +493,21 @@ def test_configuration_holds_no_credentials():
 
 def test_record_columns():
     assert RECORD_TYPE.fieldNames() == ["key", "value", "topic", "partition", "offset", "timestamp", "timestampType"]
+
+
+def test_keys_of_a_bucket_share_a_row_of_state(spark, tmp_path):
+    """Python is called once a bucket, not once a key; keys of one bucket are told apart."""
+    from rowtide import ORDERS
+    topic, table, progress = (str(tmp_path / p) for p in ("topic", "table", "progress"))
+    log = spark.range(50).selectExpr("id", "id + 1 AS lsn").selectExpr(
+        "CAST(id AS INT) AS pk_id", "'u' AS op", "CAST(id AS INT) AS id", "1 AS user_id", "'a' AS product_name", "CAST(1 AS DECIMAL(20,2)) AS amount",
+        "TIMESTAMP '2024-01-01' AS created_at", "TIMESTAMP '2024-01-01' AS event_ts", "false AS is_deleted", "lsn",
+    )
+    for later in (0, 0, 1, -1):
+        log.withColumn("lsn", F.when(F.col("pk_id") < 10, F.col("lsn") + later).otherwise(F.col("lsn"))).write.mode("append").parquet(topic)
+        streamed = spark.readStream.schema(log.schema).parquet(topic)
+        job = append_to_table(with_arrival(streamed, ORDERS, buckets=2), table, progress, trigger=ONCE)
+        job.awaitTermination()
+        assert job.lastProgress.stateOperators[0].numRowsTotal == 2
+    found = {r.arrival: r["count"] for r in read_table(spark, table).groupBy("arrival").count().collect()}
+    assert found == {"new": 60, "repeat": 130, "behind": 10}
