@@ -9,36 +9,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.operators.state import last_changes
+from rowtide.operators.state import all_changes
 from rowtide.specs import TableSpec
 
 
-def net_changes(earlier: DataFrame, slice_: DataFrame, spec: TableSpec, cut: DataFrame) -> DataFrame:
-    """The state's rows after a slice, for the keys of both, with ``before`` and ``after``: the table's row
-    as it was and as it is, or null where there is none.
+def net_changes(earlier: DataFrame, slice_: DataFrame, spec: TableSpec, cut: DataFrame, *, all_keys: bool = True) -> DataFrame:
+    """The state's rows after a slice, for the keys of both, or without ``all_keys`` for those of the slice, with
+    ``before`` and ``after``: the table's row as it was and as it is, or null where there is none.
 
     ``earlier`` need only have the keys of the slice, but all keys if the slice has a truncate; ``cut`` has
     the state's last truncate, if any. The order of changes decides, not the slice they came in, so a
-    slice may overlap what came before. Both sides are reduced to a row a key before they meet.
+    slice may overlap what came before. Where ``earlier`` has a key several times, as of several batches
+    (``batch_id``), the last one is what was there. Both sides meet in one aggregate, which each task begins
+    before the shuffle.
     """
     keys = [*spec.key_columns, "truncates"]
     row = F.struct("is_deleted", *spec.columns)
-
-    def side(rows: DataFrame, is_earlier: bool) -> DataFrame:
-        return rows.select(*keys, "changed_at", row.alias("row"), F.lit(is_earlier).alias("earlier"))
-
-    newer = last_changes(slice_, spec, truncates=True)
-    was, now = F.when(F.col("earlier"), F.col("row")), F.col("row")
+    batch = F.col("batch_id") if "batch_id" in earlier.columns else F.lit(0).cast("long")
+    newer = all_changes(slice_, spec)
     both = (
-        side(earlier, True).unionByName(side(newer, False))
+        earlier.select(*keys, "changed_at", row.alias("row"), batch.alias("batch"))
+        .unionByName(newer.select(*keys, "changed_at", row.alias("row"), F.lit(None).cast("long").alias("batch")))
         .groupBy(*keys)
         .agg(
-            F.max_by(now, "changed_at").alias("now"),
+            F.max_by("row", "changed_at").alias("now"),
             F.max("changed_at").alias("changed_at"),
-            F.max(F.when(F.col("earlier"), F.col("changed_at"))).alias("was_at"),
-            F.first(was, ignorenulls=True).alias("was"),
+            F.max(F.when(F.col("batch").isNotNull(), F.col("changed_at"))).alias("was_at"),
+            F.max_by("row", "batch").alias("was"),
+            F.count_if(F.col("batch").isNull()).alias("said"),
         )
     )
+    if not all_keys:
+        both = both.filter("said > 0")
     old = cut.agg(F.max("changed_at").alias("at")).scalar()
     new = cut.select("changed_at").unionByName(newer.filter("truncates").select("changed_at"))
     new = new.agg(F.max("changed_at").alias("at")).scalar()

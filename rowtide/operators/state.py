@@ -109,14 +109,20 @@ def last_changes(
     if not truncates:
         rows = _live(log, spec, order).groupBy(*spec.key_columns)
         return rows.agg(F.max_by(row, order).alias("row")).select(*spec.key_columns, "row.*")
-    cut = F.col("op") == TRUNCATE_OP
+    last = all_changes(log, spec, order_by=order_by).groupBy(*spec.key_columns, "truncates").agg(
+        F.max_by(row, "changed_at").alias("row"), F.max("changed_at").alias("changed_at")
+    )
+    return last.select(*spec.key_columns, "truncates", "changed_at", "row.*")
+
+
+def all_changes(log: DataFrame, spec: TableSpec, *, order_by: tuple[str, ...] | None = None) -> DataFrame:
+    """The changes of rows and the truncates (``truncates``, without a key), with ``changed_at``, where in the log
+    each stands."""
+    cut, order = F.col("op") == TRUNCATE_OP, change_order(log, spec, order_by)
     keys = {f"pk_{k}": F.when(~cut, F.coalesce(F.col(f"pk_{k}"), F.col(k))) for k in spec.key}
     whole = cut | F.concat(*(F.col(k).cast("string") for k in spec.key_columns)).isNotNull()
     rows = log.filter(F.col("op").isin(*AFTER_OPS, DELETE_OP, TRUNCATE_OP)).withColumns(keys).filter(whole)
-    last = rows.withColumn("truncates", cut).groupBy(*spec.key_columns, "truncates").agg(
-        F.max_by(row, order).alias("row"), F.max(order).alias("changed_at")
-    )
-    return last.select(*spec.key_columns, "truncates", "changed_at", "row.*")
+    return rows.withColumns({"truncates": cut, "changed_at": order})
 
 
 def after_truncate(rows: DataFrame) -> DataFrame:

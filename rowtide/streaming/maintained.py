@@ -69,10 +69,18 @@ class Numbered:
     def write(self, rows: DataFrame, number: int) -> None:
         self._save(rows.select(*self.columns), f"{self.path}/batch_id={number}")
 
-    def fold(self, upto: int) -> None:
+    def fold(self, upto: int, passing: tuple[str, ...] = ()) -> None:
         """Reduces the batches up to one to the last row of each key; those are not read any more. Where
-        rows have a sign, keys that are gone are dropped."""
-        self._save(self.latest(upto).select(*self.columns, "batch_id"), f"{self.path}-folded/upto={upto}")
+        rows have a sign, keys that are gone are dropped. Columns that are ``passing`` are of use in the
+        batch that wrote them only, and kept for the last batch alone.
+
+        One shuffle, by ranges of bucket and key, both gathers keys and deals buckets to few files.
+        """
+        rows = self.read(upto).withColumns({
+            c: F.when(F.col("batch_id") == upto, F.col(c)) for c in passing
+        }).withColumn("place", F.xxhash64(*self.keys)).repartitionByRange("bucket", "place")
+        last = self._last(rows, ["bucket", "place", *self.keys], self.columns).select(*self.columns, "batch_id", "bucket")
+        last.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}-folded/upto={upto}")
 
     def touched(self, values: list[Column], rows: DataFrame) -> list[int] | None:
         """The buckets of rows by their values of the bucket's columns; none if that is nearly all of
@@ -95,10 +103,13 @@ class Numbered:
 
     def latest(self, upto: int, buckets: list[int] | None = None, columns: list[str] | None = None) -> DataFrame:
         """The last row of each key, or some columns of it."""
-        others = [c for c in columns or self.columns if c not in self.keys]
+        return self._last(self.read(upto, buckets), self.keys, columns or self.columns)
+
+    def _last(self, rows: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+        others = [c for c in columns if c not in self.keys]
         place = F.struct("batch_id", "sign") if "sign" in self.columns else F.col("batch_id")
         last = F.max_by(F.struct(*others, "batch_id"), place)
-        rows = self.read(upto, buckets).groupBy(*self.keys).agg(last.alias("row")).select(*self.keys, "row.*")
+        rows = rows.groupBy(*by).agg(last.alias("row")).select(*by, "row.*")
         return rows.filter("sign > 0") if "sign" in self.columns else rows
 
 
@@ -196,16 +207,9 @@ class MaintainedJoin:
         state = self.states[spec.name]
         key = [F.coalesce(F.col(f"pk_{k}"), F.col(k)) for k in spec.key]
         cut = state.latest(number - 1, [NO_KEY], ["changed_at"])
-        if slice_.filter(F.col("op") == TRUNCATE_OP).isEmpty():
-            earlier = state.latest(number - 1, state.touched(key, slice_), self._state_columns(spec))
-            wanted = slice_.select(*(k.alias(n) for k, n in zip(key, spec.key_columns, strict=True))).distinct()
-            earlier = earlier.join(wanted, spec.key_columns, "left_semi")
-        else:
-            earlier = state.latest(number - 1, None, self._state_columns(spec))
-        state.write(net_changes(earlier, slice_, spec, cut), number)
-
-    def _state_columns(self, spec: TableSpec) -> list[str]:
-        return [c for c in self.states[spec.name].columns if c not in ("before", "after")]
+        truncated = not slice_.filter(F.col("op") == TRUNCATE_OP).isEmpty()
+        earlier = state.read(number - 1, None if truncated else state.touched(key, slice_))
+        state.write(net_changes(earlier, slice_, spec, cut, all_keys=truncated), number)
 
     def read(self) -> DataFrame:
         """Child rows with the parent's columns, as of the last slice."""
@@ -219,7 +223,9 @@ class MaintainedJoin:
     def fold(self) -> None:
         """Reduces what the slices so far have left to a row a key."""
         if (done := self.done) >= 0:
-            for part in (*self.states.values(), self.by_parent, self.result):
+            for state in self.states.values():
+                state.fold(done, passing=("before", "after"))
+            for part in (self.by_parent, self.result):
                 part.fold(done)
 
 

@@ -134,3 +134,18 @@ def test_only_the_slice_and_matching_buckets_are_read(spark, tmp_path):
     join.apply(1, few, log(spark, USERS, []))
     changed = join.result.read(1).filter("batch_id = 1").select("id", "user_id", "sign").collect()
     assert sorted(map(tuple, changed)) == [(7, 3, 1), (7, 7, -1)]
+
+
+def test_a_fold_keeps_images_of_its_last_slice_alone(spark, tmp_path):
+    """Images before and after are read by the slice that wrote them; under its number it may be applied again."""
+    join = joined(spark, tmp_path)
+    orders, users = [order("c", i, i) for i in range(1, 9)], [user("c", 20, 1)]
+    join.apply(0, log(spark, ORDERS, orders), log(spark, USERS, users))
+    more = [order("u", 30, 3, 1, "new")]
+    join.apply(1, log(spark, ORDERS, more), log(spark, USERS, []))
+    join.fold()
+    kept = join.states["orders"].read(1)
+    assert kept.count() == 8 and rows(kept.filter("before IS NOT NULL OR after IS NOT NULL").select("pk_id", "batch_id")) == [(3, 1)]
+    check(spark, join, orders + more, users)
+    join.apply(1, log(spark, ORDERS, more), log(spark, USERS, []))
+    check(spark, join, orders + more, users)
