@@ -78,20 +78,26 @@ def spec_of(schema: str, topic: str, key_schema: str | None = None) -> tuple[Tab
 
 def schema_versions(records: DataFrame, topic: str) -> list[Version]:
     """The schemas of a topic's messages, in the order they were first seen: a row for each comes to the
-    driver. Tasks reduce their messages to one a schema before the shuffle."""
+    driver."""
+    return [Version(r.mark, *spec_of(r.schema, topic, r.key_schema), r.first) for r in first_seen(records, topic).collect()]
+
+
+def first_seen(records: DataFrame, topic: str) -> DataFrame:
+    """The schema parts of the first message of each mark. Tasks reduce their messages to one a mark before the
+    shuffle, in a map of a row for each: texts alone would be aggregated by sorting, which holds every message
+    of a task."""
     text, key = F.col("value").cast("string"), F.col("key").cast("string")
-    seen = (
+    return (
         records.filter((F.col("topic") == topic) & F.col("value").isNotNull())
         .select(schema_mark(text).alias("mark"), text.alias("text"), key.alias("key"), "offset")
         .filter("mark IS NOT NULL")
         .groupBy("mark")
-        .agg(F.min_by(F.struct("text", "key"), "offset").alias("one"), F.min("offset").alias("first"))
-        .select("mark", F.get_json_object("one.text", "$.schema").alias("schema"),
+        # The set of one mark is what has Spark aggregate in a map.
+        .agg(F.collect_set("mark").alias("marks"), F.min_by(F.struct("text", "key"), "offset").alias("one"), F.min("offset").alias("first"))
+        .select(F.get("marks", F.lit(0)).alias("mark"), F.get_json_object("one.text", "$.schema").alias("schema"),
                 F.get_json_object("one.key", "$.schema").alias("key_schema"), "first")
         .orderBy("first")
-        .collect()
     )
-    return [Version(r.mark, *spec_of(r.schema, topic, r.key_schema), r.first) for r in seen]
 
 
 def _wider(one: Field, other: Field) -> Field:

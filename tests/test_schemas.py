@@ -5,10 +5,12 @@ import json
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from rowtide import ORDERS, USERS
 from rowtide.operators import connect_schema, decode
 from rowtide.sources import RECORD_TYPE, decode_inferred, schema_versions, spec_of, widened
+from rowtide.sources.schemas import first_seen
 from rowtide.specs import Field, TableSpec
 
 TOPIC = "appdb.public.things"
@@ -119,3 +121,12 @@ def test_keys_come_from_the_key_schema(spark):
     log, table = decode_inferred(records(spark, row), TOPIC)
     by_hand = decode(records(spark, row), TableSpec("things", (Field("code", "text"), Field("n", "int")), key=("code",)))
     assert log.drop("rest").collect() == by_hand.collect() and table.key_columns == ["pk_code"]
+
+
+def test_versions_are_found_without_sorting_the_messages(spark):
+    message = F.concat(F.lit('{"schema":{"type":"struct","v":'), F.col("id") % 2, F.lit('},"payload":{}}')).cast("binary")
+    records = spark.range(20).select(F.lit("t").alias("topic"), F.lit(None).cast("binary").alias("key"), message.alias("value"), (100 - F.col("id")).alias("offset"))
+    found = first_seen(records, "t")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan
+    assert [(r.schema, r.first) for r in found.collect()] == [('{"type":"struct","v":1}', 81), ('{"type":"struct","v":0}', 82)]
