@@ -300,15 +300,16 @@ def decimal_scales(spark: SparkSession, sf_dir: str) -> DataFrame:
             filled("o_custkey", s, "3") if s else None,
         )
         for made, text, digits in ((narrow, small, 18), (wide, large, 38)):
-            made[f"s{s}"] = encode_decimal(text.cast(f"decimal({digits},{s})"), s, digits)
+            made[f"s{s}"] = text.cast(f"decimal({digits},{s})")
     parts = []
-    for source, table, key, made in (
-        ("customer", customers, "c_custkey", narrow),
-        ("orders", orders, "o_orderkey", wide),
+    for source, table, key, made, digits in (
+        ("customer", customers, "c_custkey", narrow, 18),
+        ("orders", orders, "o_orderkey", wide, 38),
     ):
-        # In a generator, so that decoding does not take the encoding's expressions in.
-        raw = F.struct(*(c.alias(name) for name, c in made.items()))
-        encoded = table.select(F.lit(source).alias("source"), F.col(key).alias("id"), F.inline(F.array(raw)))
+        # Numbers, bytes and numbers again each in a projection: Spark does not take one into the next where that
+        # would repeat its expressions, and computes what is common within one once, which no generator does.
+        numbers = table.select(F.lit(source).alias("source"), F.col(key).alias("id"), *(c.alias(n) for n, c in made.items()))
+        encoded = numbers.withColumns({f"s{s}": encode_decimal(F.col(f"s{s}"), s, digits) for s in SCALES})
         decoded = {f"s{s}": decode_decimal(F.col(f"s{s}"), 38, s) for s in SCALES}
         parts.append(encoded.withColumns(decoded))
     return parts[0].unionByName(parts[1])

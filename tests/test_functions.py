@@ -163,3 +163,21 @@ def test_generator_functions(spark):
     assert [tuple(r) for r in got] == [
         ("Hello", Decimal("10.13"), 1), ("", Decimal("499.99"), 3)
     ]
+
+
+def test_wide_decimals_take_their_own_digits(spark):
+    """Small, negative, longest and rounded numbers, and those of another scale than they are encoded at."""
+    texts = ["0", "-0.000000000000000001", "0.000001", "-0.000000999999999999", "1.5", "12345678901234567890.123456789012345678", "-99999999999999999999.999999999999999999"]
+    table = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("v", F.col("t").cast("decimal(38,18)"))
+    for text, raw in table.select("t", encode_decimal(F.col("v"), 18, 38)).collect():
+        number = int(Decimal(text).scaleb(18).to_integral_exact()) if len(text) < 25 else int(text.replace(".", ""))
+        assert int.from_bytes(raw, "big", signed=True) == number
+    odd = spark.sql("SELECT CAST(2.5 AS DECIMAL(38,1)) AS v")
+    assert [int.from_bytes(odd.select(encode_decimal(F.col("v"), s, 38)).first()[0], "big") for s in (0, 1, 3)] == [2, 25, 2500]
+
+
+def test_decimal_scales_evaluates_no_generator(spark, sf_dir):
+    from rowtide.plans import QUERIES
+
+    plan = QUERIES["decimal_scales"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and plan.count("Project") >= 6
