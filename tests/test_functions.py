@@ -173,7 +173,7 @@ def test_wide_decimals_take_their_own_digits(spark):
         number = int(Decimal(text).scaleb(18).to_integral_exact()) if len(text) < 25 else int(text.replace(".", ""))
         assert int.from_bytes(raw, "big", signed=True) == number
     odd = spark.sql("SELECT CAST(2.5 AS DECIMAL(38,1)) AS v")
-    assert [int.from_bytes(odd.select(encode_decimal(F.col("v"), s, 38)).first()[0], "big") for s in (0, 1, 3)] == [2, 25, 2500]
+    assert [int.from_bytes(odd.select(encode_decimal(F.col("v"), s, 38)).first()[0], "big") for s in (0, 1, 3)] == [3, 25, 2500]
 
 
 def test_decimal_scales_evaluates_no_generator(spark, sf_dir):
