@@ -26,21 +26,27 @@ def net_changes(earlier: DataFrame, slice_: DataFrame, spec: TableSpec, cut: Dat
     keys = [*spec.key_columns, "truncates"]
     row = F.struct("is_deleted", *spec.columns)
     batch = F.col("batch_id") if "batch_id" in earlier.columns else F.lit(0).cast("long")
-    newer = all_changes(slice_, spec)
+    newer, slice_row = all_changes(slice_, spec), F.col("batch").isNull()
     both = (
         earlier.select(*keys, "changed_at", row.alias("row"), batch.alias("batch"))
         .unionByName(newer.select(*keys, "changed_at", row.alias("row"), F.lit(None).cast("long").alias("batch")))
         .groupBy(*keys)
         .agg(
-            F.max_by("row", "changed_at").alias("now"),
-            F.max("changed_at").alias("changed_at"),
-            F.max(F.when(F.col("batch").isNotNull(), F.col("changed_at"))).alias("was_at"),
+            # Each side's row stands once in what is shuffled.
+            F.max_by("row", F.when(slice_row, F.col("changed_at"))).alias("new"),
+            F.max(F.when(slice_row, F.col("changed_at"))).alias("new_at"),
             F.max_by("row", "batch").alias("was"),
-            F.count_if(F.col("batch").isNull()).alias("said"),
+            F.max(F.when(~slice_row, F.col("changed_at"))).alias("was_at"),
         )
     )
     if not all_keys:
-        both = both.filter("said > 0")
+        both = both.filter("new_at IS NOT NULL")
+    later = F.col("was_at").isNull() | (F.col("new_at") > F.col("was_at"))
+    both = both.select(
+        *keys, "was", "was_at",
+        F.when(later, F.col("new")).otherwise(F.col("was")).alias("now"),
+        F.when(later, F.col("new_at")).otherwise(F.col("was_at")).alias("changed_at"),
+    )
     old = cut.agg(F.max("changed_at").alias("at")).scalar()
     new = cut.select("changed_at").unionByName(newer.filter("truncates").select("changed_at"))
     new = new.agg(F.max("changed_at").alias("at")).scalar()

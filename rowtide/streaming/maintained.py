@@ -78,8 +78,8 @@ class Numbered:
         """
         rows = self.read(upto).withColumns({
             c: F.when(F.col("batch_id") == upto, F.col(c)) for c in passing
-        }).withColumn("place", F.xxhash64(*self.keys)).repartitionByRange("bucket", "place")
-        last = self._last(rows, ["bucket", "place", *self.keys], self.columns).select(*self.columns, "batch_id", "bucket")
+        }).repartitionByRange("bucket", *self.keys)
+        last = self._last(rows, ["bucket", *self.keys], self.columns).select(*self.columns, "batch_id", "bucket")
         last.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}-folded/upto={upto}")
 
     def touched(self, values: list[Column], rows: DataFrame) -> list[int] | None:
@@ -92,7 +92,8 @@ class Numbered:
         """All rows up to a batch: of the newest fold and the batches after it, and of some buckets only if
         they are given."""
         upto_fold = max((n for n in self.folds() if n <= upto), default=-1)
-        found = self.spark.createDataFrame([], self.schema)
+        # The limit tells Spark that nothing is there, and joins with it are dropped from plans.
+        found = self.spark.createDataFrame([], self.schema).limit(0)
         if upto_fold >= 0:
             found = self.spark.read.schema(self.schema).parquet(f"{self.path}-folded/upto={upto_fold}")
         parts = [f"{self.path}/batch_id={n}" for n in self.batches() if upto_fold < n <= upto]
