@@ -16,8 +16,9 @@ from rowtide.llm.common import flat_bytes, pieces
 # that repeat one shortly before, and words.
 SHAPES, LETTERS, REPEATS, WORDS = 1024, 2048, 8, 1016
 SLOTS = SHAPES + LETTERS + REPEATS + WORDS
-_BLOCK_BYTES = 2_000_000
-_BLOCK_ROWS = 1024
+# Counting terms takes about 66 bytes of memory a byte of a block, in every Python worker of an executor.
+_BLOCK_BYTES = 250_000
+_BLOCK_ROWS = 128
 _GOLDEN = np.uint32(2654435761)
 
 

@@ -1,4 +1,5 @@
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -95,3 +96,18 @@ def test_blocks_cover_all_rows():
 
     texts = pa.array([b"ab cd " * n for n in (1, 0, 700_000, 3)] * 3, pa.binary())
     assert sum(len(b) for b in _blocks(texts)) == 12
+
+
+def test_scoring_takes_little_memory_beside_the_texts():
+    from rowtide.llm.quality import _blocks
+
+    rng = np.random.default_rng(1)
+    axes, vectors = rng.standard_normal((SLOTS, 8)).astype(np.float32), rng.standard_normal((2048, 8)).astype(np.float32)
+    model = QualityModel(np.ones(SLOTS, np.float32), axes, vectors, rng.integers(0, 2, 2048).astype(np.float32), 15, 8.0)
+    short, long = pa.array([b"ab cd "] * 5000, pa.binary()), pa.array([b"ab cd ef " * 300] * 2000, pa.binary())
+    for texts in (short, long):
+        tracemalloc.start()
+        scores = [model.score(counts) for counts in _blocks(texts)]
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert sum(map(len, scores)) == len(texts) and peak < 40_000_000
