@@ -7,18 +7,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.session import scratch
+from rowtide.session import defaults, scratch
 
+# Shuffled files of a query go when it ends, and not when the driver happens to collect its garbage.
+FREED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
-def stored(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
+
+def stored(df: DataFrame, purpose: str, compression: str = "snappy", free: bool = False) -> DataFrame:
     """The rows, written to the folder that all executors share and read again.
 
     This cuts the lineage: what is read afterwards does not depend on an executor that may be
-    lost, and is not computed again.
+    lost, and is not computed again. With ``free``, what was shuffled for it goes at once.
     """
     spark = df.sparkSession
     path = scratch(spark, purpose)
-    df.write.parquet(path, compression=compression)
+    with defaults(spark, FREED if free else {}):
+        df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

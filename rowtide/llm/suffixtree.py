@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowtide.llm import longcontexts as far
-from rowtide.llm.common import stored
-from rowtide.session import scratch
+from rowtide.llm.common import FREED, stored
+from rowtide.session import defaults, scratch
 
 END = b""  # no word is empty, so this stands for the end of a text
 
@@ -141,7 +141,8 @@ def _bucketed(blocks: DataFrame, purpose: str, buckets: int) -> DataFrame:
     spark = blocks.sparkSession
     name = f"{purpose}-{uuid.uuid4().hex}".replace("-", "_")
     writer = blocks.write.format("parquet").option("path", scratch(spark, purpose)).option("compression", "zstd")
-    writer.bucketBy(buckets, "block").saveAsTable(name)
+    with defaults(spark, FREED):
+        writer.bucketBy(buckets, "block").saveAsTable(name)
     written = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
     return written
@@ -307,7 +308,7 @@ def _grow(
     ``divergence`` nats. Next symbols seen fewer than ``least`` times share what is left.
     """
     width = len(tree.root)
-    followed = stored(_following(blocks, tree, paths), "lm-contexts")
+    followed = stored(_following(blocks, tree, paths), "lm-contexts", free=True)
     context = F.floor(F.col("key") / F.lit(width)).cast("long")
     sums = followed.groupBy(context.alias("context")).agg(F.sum("n").alias("n"))
     at, n = _columns(sums, "context", "n")  # one row for each candidate
@@ -546,7 +547,7 @@ def score_texts(
     ).first()
     top_least = max(2, int(np.ceil(total * symbol_share)))
     word_shards = 1 + listed // shard_tokens
-    known = stored(far.word_counts(blocks, word_shards, top_least), "lm-words", compression="zstd")
+    known = stored(far.word_counts(blocks, word_shards, top_least), "lm-words", compression="zstd", free=True)
     words, counts, vocabulary = _frequent(known)
     denominator = total + 0.1 * (vocabulary + 1)
     p = (counts + 0.1) / denominator
