@@ -25,17 +25,20 @@ SHARD_BITS = 28  # of the context's hash, those that the key has not
 CODES = 8.0  # steps of a coded probability in each nat
 STEP = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2 ** 64
 BACK = pow(STEP, -1, 1 << 64)
+LONGER, AGAIN = 1, 2  # flags of an answer
+# Made once for a worker, as making one takes longer than a message does.
+_COMPRESSOR, _DECOMPRESSOR = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
 def packed(*arrays: np.ndarray) -> bytes:
     """Arrays as one compressed value, byte by byte; ``unpacked`` needs their types."""
     planes = (np.ascontiguousarray(a.view(np.uint8).reshape(a.size, -1).T) if a.size else a for a in arrays)
     parts = [np.array([a.size for a in arrays], np.int64).tobytes(), *(p.tobytes() for p in planes)]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+    return _COMPRESSOR.compress(b"".join(parts))
 
 
 def unpacked(value: bytes, *types) -> list[np.ndarray]:
-    data = zstandard.ZstdDecompressor().decompress(value)
+    data = _DECOMPRESSOR.decompress(value)
     sizes = np.frombuffer(data, np.int64, len(types))
     arrays, at = [], sizes.nbytes
     for size, kind in zip(sizes.tolist(), map(np.dtype, types), strict=True):
@@ -145,8 +148,8 @@ def answers_of(questions: DataFrame, least: int, divergence: float) -> DataFrame
 
     An answer has the string's count if it is kept (seen ``least`` times or more), the context's
     count, how much of it is not kept and how many next words are, all zero for a context that is
-    not retained, and whether longer contexts may tell more: something is kept, and not all that
-    follows is one word.
+    not retained. Its flags say whether longer contexts may tell more (something is kept, and not all that
+    follows is one word) and whether the string itself is kept, be its context retained or not.
     """
 
     def tell(asked: pa.Table) -> pa.Table:
@@ -177,7 +180,8 @@ def answers_of(questions: DataFrame, least: int, divergence: float) -> DataFrame
         other = total - np.bincount(context, seen).astype(np.int64)
         words = np.bincount(context, kept).astype(np.int64)
         most = np.maximum.reduceat(seen, np.flatnonzero(np.diff(context, prepend=-1)))
-        longer = some & (most < total)
+        longer = np.where(some & (most < total), LONGER, 0).astype(np.uint8)
+        again = np.where(kept, AGAIN, 0).astype(np.uint8)
         back = np.empty(len(keys), np.int64)
         back[order] = entry
         told, low = [], 0
@@ -185,7 +189,8 @@ def answers_of(questions: DataFrame, least: int, divergence: float) -> DataFrame
             at = back[low : low + size]
             c = context[at]
             holds = retained[c]
-            told.append(packed(*(np.where(holds, x, 0) for x in (seen[at], total[c], other[c], words[c])), longer[c]))
+            values = (np.where(holds, x, 0) for x in (seen[at], total[c], other[c], words[c]))
+            told.append(packed(*values, longer[c] | again[at]))
             low += size
         return pa.Table.from_arrays(
             [asked.column("block"), asked.column("shard"), pa.array(told, pa.binary())], ["block", "shard", "told"]
@@ -196,7 +201,7 @@ def answers_of(questions: DataFrame, least: int, divergence: float) -> DataFrame
 
 def told_to(answers: pa.Table) -> list[np.ndarray]:
     """A block's answers, in the order of its questions."""
-    types = (np.int64, np.int64, np.int64, np.int64, bool)
+    types = (np.int64, np.int64, np.int64, np.int64, np.uint8)
     rows = sorted(zip(answers.column("shard").to_pylist(), answers.column("told").to_pylist(), strict=True))
     parts = [unpacked(v, *types) for _, v in rows]
     return [np.concatenate(a) for a in zip(*parts, strict=True)] if parts else [np.zeros(0, t) for t in types]

@@ -374,11 +374,12 @@ def _strings(tree: SuffixTree, context: np.ndarray) -> np.ndarray:
 
 @dataclass
 class _Reach:
-    """Texts whose longer contexts may tell more, and the places where these do.
+    """The words of texts that longer contexts may have, and the places where these may tell more.
 
     ``hashes`` has one for each word of the block, zero for words that occur fewer than twice in
     training texts. ``p`` and ``codes`` are the probabilities that shorter contexts give to the places
     ``at``, the second one coded for the test, with rare words at the most that they can have.
+    ``room`` is how many words before a place its contexts may have; they stand there without a gap.
     """
 
     tokens: np.ndarray
@@ -389,13 +390,14 @@ class _Reach:
     at: np.ndarray
     p: np.ndarray
     codes: np.ndarray
+    room: np.ndarray
 
-    KINDS = (np.int32, np.uint64, np.int32, np.int32, bool, np.int32, np.float64, np.uint8)
+    KINDS = (np.int32, np.uint64, np.int32, np.int32, bool, np.int32, np.float64, np.uint8, np.int32)
 
     def packed(self) -> bytes:
         # Probabilities are carried with 36 binary digits, as each byte counts for the size of what is written.
         p = ((self.p.view(np.uint64) + np.uint64(1 << 15)) & ~np.uint64((1 << 16) - 1)).view(np.float64)
-        values = (self.tokens, self.hashes, self.sizes, self.rows, self.trains, self.at, p, self.codes)
+        values = (self.tokens, self.hashes, self.sizes, self.rows, self.trains, self.at, p, self.codes, self.room)
         return far.packed(*(v.astype(k, copy=False) for v, k in zip(values, self.KINDS, strict=True)))
 
     @classmethod
@@ -412,31 +414,41 @@ class _Reach:
         return far.Questions.about(contexts, hashes[self.at], learn, self.codes, shards)
 
     def told(self, of, answers, discount: float, smoothing: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Probabilities and codes by the longer contexts that are retained, and where to go on."""
-        n, total, other, words, longer = (a[of] for a in answers)
+        """Probabilities and codes by the longer contexts that are retained, and the answers' flags."""
+        n, total, other, words, flags = (a[of] for a in answers)
         own, left = np.where(n > 0, n - discount, 0.0), other + discount * words + smoothing
 
         def mixed(p):
             return np.where(total > 0, (own + left * p) / (total + smoothing), p)
 
-        return mixed(self.p), far.coded(mixed(far.decoded(self.codes))), longer
+        return mixed(self.p), far.coded(mixed(far.decoded(self.codes))), flags
 
-    def kept(self, places: np.ndarray, length: int) -> _Reach | None:
-        """Of the places with so many words before them, all seen twice, the texts that have some."""
-        tokens, at = self.tokens, self.at
-        unseen = np.append(0, np.cumsum(self.hashes[tokens] == 0))
-        go = (places[at] >= length) & (unseen[at] == unseen[np.maximum(at - length, 0)])
-        at = at[go]
+    def kept(self, go: np.ndarray, once: np.ndarray, asked: int, length: int) -> _Reach | None:
+        """What is left to ask about contexts of ``length`` words, at the places that ``go`` on.
+
+        Nothing is kept after a context that is not seen twice, nor after any that has a string which is
+        not. Such strings are the words of hash zero, and the ``asked`` words before each of the places
+        ``once`` with the word there. Words that no context can have any more are left out.
+        """
+        n = len(self.tokens)
+        last = np.full(n + 1, -1)  # the last start of such a string that ends before a place
+        last[once + 1] = once - asked
+        unseen = np.flatnonzero(self.hashes[self.tokens] == 0)
+        last[unseen + 1] = unseen
+        np.maximum.accumulate(last, out=last)
+        room = np.minimum(self.room, self.at - 1 - last[self.at])
+        go = go & (room >= length)
+        at, room = self.at[go], room[go]
         if not len(at):
             return None
-        text = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        has = np.zeros(len(self.sizes), bool)
-        has[text[at]] = True
-        stay = has[text]
+        within = np.bincount(at - room, minlength=n + 1) - np.bincount(at + 1, minlength=n + 1)
+        stay = np.cumsum(within)[:n] > 0
+        sizes = np.bincount(np.repeat(np.arange(len(self.sizes)), self.sizes)[stay], minlength=len(self.sizes))
+        has = sizes > 0
         at = (np.cumsum(stay) - 1)[at]
-        used, tokens = np.unique(tokens[stay], return_inverse=True)
+        used, tokens = np.unique(self.tokens[stay], return_inverse=True)
         return _Reach(
-            tokens, self.hashes[used], self.sizes[has], self.rows[has], self.trains[has], at, self.p[go], self.codes[go]
+            tokens, self.hashes[used], sizes[has], self.rows[has], self.trains[has], at, self.p[go], self.codes[go], room
         )
 
 
@@ -479,9 +491,12 @@ class _Scale:
                 at = np.arange(len(own))
                 held[span] = (context >= 0) & (pooled[at] == pooled[np.maximum(at - self.length, 0)])
             low = high
-        at = np.flatnonzero(block.places >= self.length)
+        places = block.places
+        at = np.flatnonzero(places >= self.length)
         rows = np.arange(len(block.sizes), dtype=np.int32)
-        return p, _Reach(block.tokens, far.word_hashes(words), block.sizes, rows, block.trains, at, p[at], codes[at]), held[at]
+        hashes = far.word_hashes(words)
+        reach = _Reach(block.tokens, hashes, block.sizes, rows, block.trains, at, p[at], codes[at], places[at])
+        return p, reach, held[at]
 
 
 def _sum_by(of: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -615,14 +630,13 @@ def _scored(blocks, known, numbers, scale: _Scale, growth: _Growth, ident) -> Da
         reach.p = p[reach.at]
         asked = _without(reach, top)
         of = asked.asking(length, shards).of
-        new, codes, longer = asked.told(of, far.told_to(answers.filter(far_away)), growth.discount, growth.smoothing)
+        new, codes, flags = asked.told(of, far.told_to(answers.filter(far_away)), growth.discount, growth.smoothing)
         p[asked.at] = new
         reach.p[~top], reach.codes[~top] = new, codes
         go = top.copy()
-        go[~top] = longer
+        go[~top] = flags & far.LONGER > 0
         reach.hashes = np.where(c >= 2, reach.hashes, np.uint64(0))
-        reach.at, reach.p, reach.codes = reach.at[go], reach.p[go], reach.codes[go]
-        further = reach.kept(held.places, length * growth.stretch)
+        further = reach.kept(go, asked.at[flags & far.AGAIN == 0], length, length * growth.stretch)
         n = len(held.sizes)
         text = np.repeat(np.arange(n), held.sizes)
         sums = [
@@ -684,7 +698,7 @@ def _scored(blocks, known, numbers, scale: _Scale, growth: _Growth, ident) -> Da
 def _without(reach: _Reach, held: np.ndarray) -> _Reach:
     return _Reach(
         reach.tokens, reach.hashes, reach.sizes, reach.rows, reach.trains,
-        reach.at[~held], reach.p[~held], reach.codes[~held],
+        reach.at[~held], reach.p[~held], reach.codes[~held], reach.room[~held],
     )
 
 
@@ -724,13 +738,14 @@ def _one_longer(now: DataFrame, length: int, shards: int, growth: _Growth, schem
     def change(block: pa.Table, answers: pa.Table) -> pa.Table:
         reach = _Reach.unpacked(block.column("reach")[0].as_py())
         of = reach.asking(length, shards).of
-        p, codes, longer = reach.told(of, far.told_to(answers), growth.discount, growth.smoothing)
+        p, codes, flags = reach.told(of, far.told_to(answers), growth.discount, growth.smoothing)
         n = len(reach.sizes)
         text = np.repeat(np.arange(n), reach.sizes)[reach.at]
         changed = _sum_by(text, np.log10(p / reach.p), n)
         rows = reach.rows
-        reach.at, reach.p, reach.codes = reach.at[longer], p[longer], codes[longer]
-        further = reach.kept(_places(reach.sizes), length * growth.stretch)
+        reach.p, reach.codes = p, codes
+        once = reach.at[flags & far.AGAIN == 0]
+        further = reach.kept(flags & far.LONGER > 0, once, length, length * growth.stretch)
         return pa.Table.from_arrays(
             [block.column("block").combine_chunks(), pa.array([rows]), pa.array([changed]), *_further(further)],
             schema.names,

@@ -1,4 +1,5 @@
 import math
+import os
 import zlib
 from collections import Counter
 
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowtide.llm.common import remainder
-from rowtide.llm.suffixtree import END, Layer, SuffixTree, score_texts
+from rowtide.llm.suffixtree import END, Layer, SuffixTree, _Reach, score_texts
 
 
 
@@ -233,3 +234,60 @@ def test_odd_rows(odd_docs, no_docs):
     untaught = score_texts(odd_docs, F.lit(False)).collect()
     assert {(r.train_tokens, r.n_known) for r in untaught} == {(0, 0)}
     assert all(r.score == pytest.approx(r.base_score) == pytest.approx(0) for r in untaught)
+
+
+def test_no_context_is_asked_about_that_has_a_string_seen_once():
+    rng = np.random.default_rng(3)
+    sizes = np.array([30, 1, 200, 70], np.int32)
+    tokens = rng.integers(0, 40, sizes.sum()).astype(np.int32)
+    hashes = np.arange(1, 41, dtype=np.uint64)
+    hashes[:2] = 0
+    place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    at = np.flatnonzero(place >= 2)
+    p, codes = rng.random(len(at)), np.arange(len(at)).astype(np.uint8)
+    reach = _Reach(tokens, hashes, sizes, np.arange(4, dtype=np.int32), np.array([True, False, True, True]), at, p, codes, place[at])
+    go, once = rng.random(len(at)) < 0.7, rng.random(len(at)) < 0.1
+    strings = [(j - 2, j) for j in at[once]] + [(j, j) for j in np.flatnonzero(tokens < 2)]
+    length, asked = 2, at[once]
+    for further in (6, 9):
+        left = reach.kept(go, asked, length, further)
+        left = _Reach.unpacked(left.packed())
+        bound = [i - 1 - max([lo for lo, hi in strings if hi < i], default=-1) for i in at]
+        room = np.minimum(place[at], bound)
+        want = np.flatnonzero(go & (room >= further))
+        assert 0 < len(want) < go.sum() and (left.room == room[want]).all() and (left.codes == codes[want]).all()
+        words = left.hashes[left.tokens]
+        text = left.rows[np.repeat(np.arange(len(left.sizes)), left.sizes)]
+        for k, i in enumerate(want):
+            here = slice(left.at[k] - left.room[k], left.at[k] + 1)
+            assert (words[here] == hashes[tokens[at[i] - room[i] : at[i] + 1]]).all()
+            assert (text[here] == np.searchsorted(np.cumsum(sizes), at[i], side="right")).all()
+        # Those that go on are asked about again, and one of the longer strings is not seen twice.
+        at, codes, p = at[want], codes[want], p[want]
+        reach, length = left, further
+        place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        go, one = np.ones(len(at), bool), len(at) // 2
+        asked, strings = left.at[[one]], [*strings, (at[one] - further, at[one])]
+
+
+def test_messages_come_from_one_compressor(monkeypatch):
+    import zstandard
+
+    from rowtide.llm import longcontexts
+
+    monkeypatch.setattr(zstandard, "ZstdCompressor", None)
+    arrays = [np.arange(1000, dtype=np.uint64), np.zeros(0, np.uint8)]
+    for got, want in zip(longcontexts.unpacked(longcontexts.packed(*arrays), np.uint64, np.uint8), arrays, strict=True):
+        assert (got == want).all()
+
+
+def test_nothing_shuffled_is_left_once_it_is_written(spark, documents):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = (files.apply(i).getPath() for i in range(files.size()))
+        return {n for n in names if "/shuffle_" in n and n.endswith(".data")}
+
+    before = shuffled()
+    score_texts(documents, train(), symbol_share=1e-3, block_bytes=60_000, shard_tokens=5_000)
+    left = shuffled() - before
+    assert sum(os.path.getsize(n) for n in left if os.path.exists(n)) < 300_000
