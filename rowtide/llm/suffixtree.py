@@ -590,6 +590,7 @@ class _Growth:
     smoothing: float
     stretch: int
     shard_tokens: int
+    bucket_places: int = 500_000
 
 
 def _frequent(known: DataFrame) -> tuple[list[bytes], np.ndarray, int]:
@@ -709,8 +710,12 @@ def _further(reach: _Reach | None) -> list[pa.Array]:
 
 
 def _lengthened(first: DataFrame, length: int, growth: _Growth, buckets: int) -> list[DataFrame]:
-    """Lets contexts grow until no place is left; what each length changes in the texts' scores."""
+    """Lets contexts grow until no place is left; what each length changes in the texts' scores.
+
+    Fewer places are written in fewer buckets, as a task takes time of its own.
+    """
     changes, now = [], first
+    cores = first.sparkSession.sparkContext.defaultParallelism
     schema = T.StructType(
         [
             T.StructField("block", T.LongType()),
@@ -724,6 +729,7 @@ def _lengthened(first: DataFrame, length: int, growth: _Growth, buckets: int) ->
         places = now.agg(F.coalesce(F.sum("places"), F.lit(0))).first()[0]
         if not places:
             return changes
+        buckets = min(buckets, max(cores, 1 + places // growth.bucket_places))
         now = _bucketed(_one_longer(now, length, 1 + places // growth.shard_tokens, growth, schema), "lm-longer", buckets)
         changes.append(now.select("block", F.inline(F.arrays_zip("rows", "changes")).alias("row", "change")))
         length *= growth.stretch
