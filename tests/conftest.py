@@ -19,6 +19,7 @@ def spark():
         .appName("rowtide-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="rowtide-tests-"))
     )
     for name, value in ENGINE_CONF.items():
